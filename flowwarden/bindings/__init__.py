@@ -1,0 +1,6 @@
+"""Bindings of the operators to the driver tables."""
+
+from flowwarden.bindings import detection  # noqa: F401
+from flowwarden.bindings.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
