@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 V4_OCTET = r"(0|[1-9][0-9]?|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 V4_PATTERN = rf"^{V4_OCTET}(\.{V4_OCTET}){{3}}$"
-V6_PATTERN = r"^([0-9A-Fa-f]{1,4}|:)[0-9A-Fa-f:]*$"
+V6_GROUPS = r"[0-9a-f]{1,4}(:[0-9a-f]{1,4})*"
+V6_FULL = r"^[0-9a-f]{1,4}(:[0-9a-f]{1,4}){7}$"
+V6_SHORT = rf"^({V6_GROUPS})?::({V6_GROUPS})?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -33,31 +35,29 @@ def ip_to_num(ip: Column | str) -> Column:
     return F.when(ip.rlike(V4_PATTERN), value)
 
 
+def _padded(groups: Column) -> Column:
+    """Colon-separated hex groups -> their digits, four per group."""
+    wide = F.regexp_replace(groups, "([0-9a-f]+)", "000$1")
+    return F.regexp_replace(F.regexp_replace(wide, "0*([0-9a-f]{4})(?![0-9a-f])", "$1"), ":", "")
+
+
 def _v6_digits(ip: Column) -> Column:
     """32 hex digits of an IPv6 text, null when malformed."""
+    low = F.lower(ip)
     # A dotted tail (::ffff:1.2.3.4) is turned into two hex groups first.
-    tail = F.regexp_extract(ip, r"([0-9]+\.[0-9.]+)$", 1)
-    tail_hex = _hex(ip_to_num(tail), 8)
-    head = F.regexp_replace(ip, r"[0-9]+\.[0-9.]+$", "")
-    plain = F.when(tail == "", ip).otherwise(
-        F.concat(head, F.substring(tail_hex, 1, 4), F.lit(":"), F.substring(tail_hex, 5, 4))
+    tail = _hex(ip_to_num(F.substring_index(low, ":", -1)), 8)
+    head = F.regexp_replace(low, "[^:]*$", "")
+    plain = F.when(~low.contains("."), low).otherwise(
+        F.concat(head, F.regexp_replace(tail, "(....)(....)", "$1:$2"))
     )
-    halves = F.split(plain, "::", -1)
-
-    def groups(half: Column) -> Column:
-        return F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":", -1))
-
-    left = groups(F.try_element_at(halves, F.lit(1)))
-    right = F.when(F.size(halves) == 2, groups(F.try_element_at(halves, F.lit(2)))).otherwise(
-        F.array().cast("array<string>")
+    groups = F.regexp_count(plain, F.lit("[0-9a-f]+"))
+    left = _padded(F.substring_index(plain, "::", 1))
+    right = _padded(F.substring_index(plain, "::", -1))
+    # Zeros fill the gap between both halves.
+    spread = F.concat(F.left(F.rpad(left, 32, "0"), 32 - F.length(right)), right)
+    return F.when(plain.rlike(V6_FULL), _padded(plain)).when(
+        plain.rlike(V6_SHORT) & (groups <= 7), spread
     )
-    gap = F.lit(8) - F.size(left) - F.size(right)
-    fits = F.when(F.size(halves) == 2, gap >= 1).otherwise((F.size(halves) == 1) & (gap == 0))
-    well_formed = F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9A-Fa-f]{1,4}$"))
-    zeros = F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0)))
-    padded = F.transform(F.concat(left, zeros, right), lambda g: F.lpad(F.lower(g), 4, "0"))
-    ok = plain.rlike(V6_PATTERN) & plain.contains(":") & fits & well_formed
-    return F.when(ok, F.array_join(padded, ""))
 
 
 def ip_key(ip: Column | str) -> Column:
@@ -94,41 +94,46 @@ def _prefix_length(text: Column) -> Column:
     return F.coalesce(number, from_netmask, from_hostmask)
 
 
+def _let(value: Column, body) -> Column:
+    """Bind a value used several times, so that its expression is not repeated in the plan."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def network(entry: Column | str) -> Column:
     """CIDR text -> struct(prefix, digits); null when malformed or when host bits are set."""
     entry = _col(entry)
-    base = F.substring_index(entry, "/", 1)
-    key = ip_key(base)
-    suffix = F.substring_index(entry, "/", -1)
+    base, suffix = F.substring_index(entry, "/", 1), F.substring_index(entry, "/", -1)
     is_v6 = base.contains(":")
     prefix = F.when(is_v6, F.when(suffix.rlike("^[0-9]+$"), suffix.try_cast("int"))).otherwise(
         _prefix_length(suffix)
     )
     limit = F.when(is_v6, F.lit(128)).otherwise(F.lit(32))
-    digits = masked(key, prefix)
-    whole = F.rpad(digits, F.length(key).cast("int"), F.lit("0"))
-    ok = (
-        (F.size(F.split(entry, "/")) == 2)
-        & key.isNotNull()
-        & prefix.between(F.lit(0), limit)
-        & (whole == key)
-    )
-    return F.when(ok, F.struct(prefix.alias("prefix"), digits.alias("digits")))
+    parsed = F.struct(ip_key(base).alias("key"), F.when(prefix.between(F.lit(0), limit), prefix).alias("prefix"))
+
+    def check(net: Column) -> Column:
+        digits = masked(net["key"], net["prefix"])
+        whole = F.rpad(digits, F.length(net["key"]), F.lit("0"))
+        return F.when(whole == net["key"], F.struct(net["prefix"].alias("prefix"), digits.alias("digits")))
+
+    one_slash = F.size(F.split(entry, "/")) == 2
+    return F.when(one_slash, _let(parsed, check))
 
 
 def cidr_range(entry: Column | str) -> Column:
     """IPv4 CIDR -> struct(lo, hi) of numeric bounds; null when malformed or host bits are set."""
     entry = _col(entry)
-    net = network(entry)
-    lo = ip_to_num(F.substring_index(entry, "/", 1))
-    size = F.pow(F.lit(2.0), 32 - net["prefix"]).cast("bigint")
-    return F.when(
-        net.isNotNull() & lo.isNotNull(), F.struct(lo.alias("lo"), (lo + size - 1).alias("hi"))
-    )
+    parsed = F.struct(network(entry).alias("net"), ip_to_num(F.substring_index(entry, "/", 1)).alias("lo"))
+
+    def bounds(p: Column) -> Column:
+        size = F.pow(F.lit(2.0), 32 - p["net"]["prefix"]).cast("bigint")
+        known = p["net"].isNotNull() & p["lo"].isNotNull()
+        return F.when(known, F.struct(p["lo"].alias("lo"), (p["lo"] + size - 1).alias("hi")))
+
+    return _let(parsed, bounds)
 
 
 def ip_in_cidr(ip: Column | str, entry: Column | str) -> Column:
     """True when the address lies in the network; False for anything malformed."""
-    net = network(entry)
-    hit = masked(ip_key(ip), net["prefix"]) == net["digits"]
+    both = F.struct(network(entry).alias("net"), ip_key(ip).alias("key"))
+    hit = _let(both, lambda b: masked(b["key"], b["net"]["prefix"]) == b["net"]["digits"])
     return F.coalesce(hit, F.lit(False))

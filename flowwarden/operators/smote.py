@@ -94,8 +94,8 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
         reach, f"vid {vid}, vec array<double>, qblock bigint, first bigint, last bigint"
     )
     queries = durable(bounded).withColumn("block", F.explode(F.sequence("first", "last")))
-    pairs = queries.select("qblock", "block").distinct()
-    targets = placed.select("vid", "vec", "block").join(pairs, "block")
+    pairs = queries.select("qblock", "block").distinct().toDF("tq", "tb")
+    targets = placed.join(pairs, F.col("block") == F.col("tb")).select("vid", "vec", "tq", "tb")
 
     def search(q: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         rows = [
@@ -106,7 +106,7 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     found = (
         queries.select("qblock", "block", "vid", "vec")
         .groupBy("qblock", "block")
-        .cogroup(targets.groupBy("qblock", "block"))
+        .cogroup(targets.groupBy("tq", "tb"))
         .applyInPandas(search, f"vid {vid}, other {vid}, distance double")
     )
     best = Window.partitionBy("vid").orderBy("distance", "other")  # k rows per visited block

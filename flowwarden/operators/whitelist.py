@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions import netaddr as N
-from flowwarden.session import BROADCAST_ROWS, small_enough
+from flowwarden.session import BROADCAST_ROWS
 
 
 def whitelist_networks(whitelist: DataFrame) -> DataFrame:
@@ -26,26 +26,38 @@ def flag_whitelisted(
     uses, so the rows are not shuffled.  A larger one is tested against the distinct addresses,
     and the verdicts are joined back.  An address that does not parse is never whitelisted.
     """
+    spark = rows.sparkSession
+    known = [r["entry"] for r in whitelist.select("entry").distinct().limit(max_rows + 1).collect()]
+    small = len(known) <= max_rows
+    if small:
+        # The checked list becomes a local table, so that its parsing is not repeated per lookup.
+        whitelist = spark.createDataFrame([(e,) for e in known], "entry string")
     exact = whitelist.filter(~F.col("entry").contains("/")).select("entry").distinct()
     nets = whitelist_networks(whitelist)
+    if small:
+        found = [tuple(r) for r in nets.collect()]
+        by_length: dict[tuple[str, int], list[str]] = {}
+        for prefix, digits in found:
+            by_length.setdefault((digits[0], prefix), []).append(digits)
+        return _probe(rows, exact, by_length, ip)
     # A prefix length per family: at most 33 + 129 rows.
     family = F.substring("digits", 1, 1).alias("family")
     lengths = sorted((r["family"], r["prefix"]) for r in nets.select(family, "prefix").distinct().collect())
-    if small_enough(whitelist, max_rows):
-        return _probe(rows, exact, nets, lengths, ip)
     return _by_distinct_address(rows, exact, nets, lengths, ip)
 
 
-def _probe(rows, exact, nets, lengths: Sequence[tuple[str, int]], ip: str) -> DataFrame:
+def _probe(rows: DataFrame, exact: DataFrame, by_length: dict[tuple[str, int], list[str]], ip: str) -> DataFrame:
+    spark = rows.sparkSession
+    lengths = sorted(by_length)
     known = exact.select(F.col("entry").alias("_entry"), F.lit(True).alias("_exact"))
-    out = rows.withColumn("_key", N.ip_key(ip))
-    out = out.join(F.broadcast(known), out[ip] == known["_entry"], "left")
+    keyed = rows.withColumn("_key", N.ip_key(ip))
+    # The digits to look up, one column per prefix length.
+    out = keyed.select("*", *[N.masked("_key", prefix).alias(f"_p{i}") for i, (_, prefix) in enumerate(lengths)])
+    out = out.join(F.broadcast(known), F.col(ip) == F.col("_entry"), "left")
     marks = [F.col("_exact")]
-    for i, (family, prefix) in enumerate(lengths):
-        side = nets.filter((F.col("prefix") == prefix) & F.col("digits").startswith(family))
-        side = side.select(F.col("digits").alias(f"_d{i}"), F.lit(True).alias(f"_m{i}"))
-        mine = N.masked("_key", prefix) == F.col(f"_d{i}")
-        out = out.join(F.broadcast(side), mine, "left")
+    for i, length in enumerate(lengths):
+        side = spark.createDataFrame([(d, True) for d in by_length[length]], f"_d{i} string, _m{i} boolean")
+        out = out.join(F.broadcast(side), F.col(f"_p{i}") == F.col(f"_d{i}"), "left")
         marks.append(F.col(f"_m{i}"))
     verdict = F.col("_key").isNotNull() & F.coalesce(*marks, F.lit(False))
     return out.select(*rows.columns, verdict.alias("whitelisted"))
