@@ -95,6 +95,15 @@ def window_groups(
     return rolling_file_window(partials(found, [file, ip]), files, n, [ip], mode, file)
 
 
+def fresh_attackers(groups: DataFrame, per_file: DataFrame, files: DataFrame, ip: str = "src_ip", file: str = "file") -> DataFrame:
+    """Groups of rolling windows whose attacker has hits in the window's newest file.
+
+    Without this, an attacker is reported by every window that still holds one of its files.
+    """
+    newest = per_file.join(files.select(file, "file_seq"), file).select(F.col("file_seq").alias("window_id"), ip)
+    return groups.join(newest, ["window_id", ip], "left_semi")
+
+
 def existing_windows(groups: DataFrame, windows: DataFrame) -> DataFrame:
     return groups.join(windows.select("window_id"), "window_id", "left_semi")
 
