@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions import netaddr as N
-from flowwarden.session import BROADCAST_ROWS
+from flowwarden.session import BROADCAST_ROWS, local_strings
 
 
 def whitelist_networks(whitelist: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def flag_whitelisted(
     small = len(known) <= max_rows
     if small:
         # The checked list becomes a local table, so that its parsing is not repeated per lookup.
-        whitelist = spark.createDataFrame([(e,) for e in known], "entry string")
+        whitelist = local_strings(spark, "entry", known)
     exact = whitelist.filter(~F.col("entry").contains("/")).select("entry").distinct()
     nets = whitelist_networks(whitelist)
     if small:
@@ -56,7 +56,7 @@ def _probe(rows: DataFrame, exact: DataFrame, by_length: dict[tuple[str, int], l
     out = out.join(F.broadcast(known), F.col(ip) == F.col("_entry"), "left")
     marks = [F.col("_exact")]
     for i, length in enumerate(lengths):
-        side = spark.createDataFrame([(d, True) for d in by_length[length]], f"_d{i} string, _m{i} boolean")
+        side = local_strings(spark, f"_d{i}", by_length[length]).withColumn(f"_m{i}", F.lit(True))
         out = out.join(F.broadcast(side), F.col(f"_p{i}") == F.col(f"_d{i}"), "left")
         marks.append(F.col(f"_m{i}"))
     verdict = F.col("_key").isNotNull() & F.coalesce(*marks, F.lit(False))

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,11 +35,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, cutting lineage in a way that survives lost executors.
 
-    Used where a value (a range-chunk number) must be the same in every later use of the rows.
+    Used where a value (a range-chunk number) must be the same in every later use of the rows.  The
+    table goes away when the session ends.
     """
-    path = scratch_path(df.sparkSession, "table")
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -49,3 +54,9 @@ def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint behind a size check; a larger side is left to a shuffled join."""
     return F.broadcast(df) if small_enough(df, max_rows) else df
+
+
+
+
+def local_strings(spark: SparkSession, name: str, values: list[str]) -> DataFrame:
+    return spark.createDataFrame(pa.table({name: pa.array(values, pa.string())}))

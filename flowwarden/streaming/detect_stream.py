@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from flowwarden.functions import scalars as S
 from flowwarden.operators import detect as D
 from flowwarden.operators import windows as W
-from flowwarden.operators.features import align_features
-from flowwarden.operators.forest import score
 from flowwarden.schema import BUCKETS, DetectConfig
 from flowwarden.sources.readers import read_table
 
@@ -29,12 +26,6 @@ PARTIALS_SCHEMA = (
     + ", ".join(f"b{i} bigint" for i in range(len(BUCKETS)))
     + ", batch_id bigint"
 )
-IDENTITY_COLUMNS = ["src_ip", "dst_ip", "src_port", "dst_port", "protocol", "flow_ts", "duration", "file"]
-
-
-def score_flows(model: PipelineModel, flows: DataFrame) -> DataFrame:
-    """Align, clean and score flow files; works on a batch and on a stream."""
-    return score(model, align_features(flows, keep=IDENTITY_COLUMNS)).select(*IDENTITY_COLUMNS, "p", "pred")
 
 
 def _file_partials(batch: DataFrame, config: DetectConfig) -> DataFrame:
