@@ -58,7 +58,7 @@ def validate_schema(df: DataFrame, expected: Sequence[str] = CANONICAL) -> tuple
 
 def feature_columns(df: DataFrame | None = None, label: str = LABEL) -> list[str]:
     """Feature names: every column but the label."""
-    return list(FEATURES) if df is None else [c for c in df.columns if c.strip() != label.strip()]
+    return list(FEATURES) if df is None else [c for c in df.columns if c.strip().lower() != label.strip().lower()]
 
 
 def is_nonfinite(c: Column) -> Column:
