@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from flowwarden.functions import netaddr as N
 from flowwarden.functions import scalars as S
+from flowwarden.operators.features import side_by_side
 from flowwarden.operators.positions import ordered_position
 from flowwarden.operators.whitelist import flag_whitelisted
 from flowwarden.schema import CONFIDENCE_FLOOR, TIERS, Tier
@@ -232,9 +233,7 @@ def block_counters(
         F.count_if(F.col("status") == "below_threshold").alias("skipped_below_threshold"),
         F.count_if(F.col("status") == "invalid").alias("skipped_invalid"),
     )
-    # Two one-row aggregates side by side.
-    one = F.lit(1).alias("_one")
-    both = blocks.select("*", one).join(F.broadcast(skips.select("*", one)), "_one").drop("_one")
+    both = side_by_side(blocks, skips)
     return both.withColumn("uptime_seconds", S.elapsed_seconds(started, now))
 
 

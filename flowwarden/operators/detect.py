@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions import scalars as S
+from flowwarden.operators.features import side_by_side
 from flowwarden.schema import ATTACK_TYPE, BUCKETS, DetectConfig
 
 # Sum, extremes and histogram of a group of probabilities: every one can be merged again.
@@ -218,8 +219,7 @@ def service_stats(
         F.count_if(F.col("status") == "generated").alias("total_alerts_generated"),
         F.count_if(F.col("status") == "skipped").alias("total_alerts_skipped"),
     )
-    # Two one-row aggregates side by side.
-    both = per_window.withColumn("_one", F.lit(1)).join(F.broadcast(flagged.withColumn("_one", F.lit(1))), "_one")
+    both = side_by_side(per_window, flagged)
     processed = F.col("last_window") if config.window_mode == "rolling" else F.col("total_window_detections")
     return both.select(
         processed.cast("bigint").alias("total_processed"),

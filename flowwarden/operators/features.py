@@ -139,3 +139,9 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
+
+
+def side_by_side(*tables: DataFrame) -> DataFrame:
+    """One-row tables with different columns -> one row with all of them, without a join."""
+    stacked = union_by_name(*tables)
+    return stacked.agg(*[F.max(quoted(c)).alias(c) for c in stacked.columns])

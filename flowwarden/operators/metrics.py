@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowwarden.operators.features import side_by_side
 from flowwarden.operators.positions import ordered_position
 
 
@@ -104,7 +105,4 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
 
 def evaluate(scored: DataFrame, label: str = "label", pred: str = "pred", score: str = "score") -> DataFrame:
     """All binary metrics and the area under the curve, one row."""
-    one = F.lit(1).alias("_one")
-    left = binary_metrics(scored, label, pred).select("*", one)
-    right = roc_auc(scored, label, score).select("*", one)
-    return left.join(F.broadcast(right), "_one").drop("_one")
+    return side_by_side(binary_metrics(scored, label, pred), roc_auc(scored, label, score))

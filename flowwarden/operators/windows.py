@@ -141,5 +141,7 @@ def flow_index(flows: DataFrame, files: DataFrame, n: int, mode: str = "rolling"
 
 def time_windows(found: DataFrame, ts: str, width: str, slide: str | None = None, ip: str = "src_ip") -> DataFrame:
     """Attackers per window of time (the mode whose width is a duration, not a number of files)."""
-    slot = F.window(F.col(ts).cast("timestamp"), width, slide) if slide else F.window(F.col(ts).cast("timestamp"), width)
+    # A cast would hide the watermark of a stream, so only other types are cast.
+    at = F.col(ts) if dict(found.dtypes)[ts] == "timestamp" else F.col(ts).cast("timestamp")
+    slot = F.window(at, width, slide) if slide else F.window(at, width)
     return partials(found.withColumn("window", slot), ["window", ip])

@@ -88,7 +88,7 @@ def read_alerts(spark: SparkSession, path: str, multi_line: bool = True, glob: s
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a whitelist document; a missing file is an empty whitelist."""
     try:
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
     except AnalysisException:
         return spark.createDataFrame([], "entry string, reason string, added timestamp, added_by string")
     entries = text.select(F.explode(F.from_json("value", WHITELIST_ENTRY)).alias("entry", "about"))

@@ -110,7 +110,7 @@ def alert_stream(
 
 def time_window_stream(found: DataFrame, ts: str, width: str, late: str, ip: str = "src_ip") -> DataFrame:
     """Attackers per window of event time on a stream; closed windows are final after `late`."""
-    timed = found.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
+    timed = found.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)  # a stream needs a zoned time
     return W.time_windows(timed, ts, width, ip=ip)
 
 
