@@ -117,7 +117,7 @@ def _packets(spark, sf):
 
 @query("packet_flows", PACKET_FLOWS)
 def packet_flows(spark, sf):
-    f = N.flows_from_packets(_packets(spark, sf), gap_seconds=GAP_HOURS * 3600.0, active_seconds=3600.0, slice_seconds=3600.0)
+    f = N.flows_from_packets(_packets(spark, sf), gap_seconds=GAP_HOURS * 3600.0, active_seconds=3600.0, slice_seconds=60.0)
 
     def col(source, name, places=None):
         c = F.col(f"`{source}`")

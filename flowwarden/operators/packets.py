@@ -82,7 +82,7 @@ def time_slices(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: floa
     )
 
 
-def iat_stats(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: float = 3600.0) -> DataFrame:
+def iat_stats(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: float = 10.0) -> DataFrame:
     """Number, mean, deviation (sample), longest and shortest gap between events of a key, in seconds."""
     slices = time_slices(df, keys, ts, slice_seconds)
     in_order = Window.partitionBy(*keys).orderBy("slice")
@@ -103,7 +103,7 @@ def iat_stats(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: float
 
 
 def session_flows(
-    df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float, sums: Sequence[str] = (), slice_seconds: float = 3600.0
+    df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float, sums: Sequence[str] = (), slice_seconds: float = 10.0
 ) -> DataFrame:
     """Sessions of each key, split where nothing happens for longer than the gap."""
     slices = time_slices(df, keys, ts, min(slice_seconds, gap_seconds), sums)

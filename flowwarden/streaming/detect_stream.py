@@ -20,11 +20,10 @@ from flowwarden.operators import windows as W
 from flowwarden.schema import BUCKETS, DetectConfig
 from flowwarden.sources.readers import read_table
 
-FILES_SCHEMA = "file string, flow_count bigint, capture_ts timestamp, file_seq bigint, batch_id bigint"
+FILES_SCHEMA = "file string, flow_count bigint, capture_ts timestamp, file_seq bigint, origin bigint"
 PARTIALS_SCHEMA = (
     "file string, src_ip string, all_flows bigint, flows bigint, p_sum double, p_min double, p_max double, "
     + ", ".join(f"b{i} bigint" for i in range(len(BUCKETS)))
-    + ", batch_id bigint"
 )
 
 
@@ -57,23 +56,27 @@ class RollingAlerts:
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         spark, n, mode = batch.sparkSession, self.config.window_files, self.config.window_mode
-        _file_partials(batch, self.config).write.mode("overwrite").parquet(self._at("partials", f"batch_id={batch_id}"))
-        mine = read_table(spark, self._at("partials", f"batch_id={batch_id}"), PARTIALS_SCHEMA.replace(", batch_id bigint", ""))
+        mine_at = self._at("partials", f"batch_id={batch_id}")
+        _file_partials(batch, self.config).write.mode("overwrite").parquet(mine_at)
+        mine = read_table(spark, mine_at, PARTIALS_SCHEMA)
 
-        known = read_table(spark, self._at("files"), FILES_SCHEMA).filter(F.col("batch_id") < batch_id)
+        # Each batch leaves the few newest files behind for the next one, so a step costs the same
+        # however long the stream has been running.
+        known = read_table(spark, self._at("files", f"batch_id={batch_id - 1}"), FILES_SCHEMA)
         last = known.agg(F.max("file_seq").alias("m")).first()["m"] or 0
         counted = mine.groupBy("file").agg(F.sum("all_flows").alias("flow_count"))
         fresh = counted.join(known.select("file"), "file", "left_anti")
         numbered = W.file_sequence(fresh).withColumn("file_seq", F.col("file_seq") + F.lit(last))
-        numbered.write.mode("overwrite").parquet(self._at("files", f"batch_id={batch_id}"))
-
-        files = read_table(spark, self._at("files"), FILES_SCHEMA)
-        files = files.filter((F.col("batch_id") <= batch_id) & (F.col("file_seq") > last - (n - 1)))
-        oldest = files.agg(F.min("batch_id").alias("m")).first()["m"]
-        if oldest is None:
+        both = known.unionByName(numbered.withColumn("origin", F.lit(batch_id).cast("bigint")))
+        files_at = self._at("files", f"batch_id={batch_id}")
+        both.filter(F.col("file_seq") > last - max(n - 1, 1)).write.mode("overwrite").parquet(files_at)
+        files = read_table(spark, files_at, FILES_SCHEMA).filter(F.col("file_seq") > last - (n - 1))
+        # Those files came with this batch or one of the n - 1 before it that brought any.
+        origins = sorted(r["origin"] for r in files.select("origin").distinct().collect())
+        if batch_id not in origins:
             return
-        stored = read_table(spark, self._at("partials"), PARTIALS_SCHEMA)
-        per_file = stored.filter(F.col("batch_id").between(oldest, batch_id) & (F.col("flows") > 0))
+        stored = spark.read.schema(PARTIALS_SCHEMA).parquet(*[self._at("partials", f"batch_id={i}") for i in origins])
+        per_file = stored.filter(F.col("flows") > 0)
         first_window = F.lit(last + 1) if mode == "rolling" else W.window_ids("fixed", n, "next")[0]
         windows = W.window_table(files, n, mode).withColumn("next", F.lit(last + 1).cast("bigint"))
         windows = windows.filter(F.col("window_id") >= first_window).drop("next")
