@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowwarden.bindings.registry import sql_round, table
 from flowwarden.schema import BUCKETS
-from flowwarden.session import local_strings
+from flowwarden.session import local_column
 
 HOSTS = {"click": "192.168.1.10", "view": "192.168.1.11", "error": "192.168.1.12", "signup": "192.168.1.13"}
 OTHER_HOST = "192.168.1.14"
@@ -115,7 +115,7 @@ WHITELIST = ("10.0.0.5", "10.0.0.77", "10.0.0.16/28", "10.0.0.33/24", "10.0.9",
 
 
 def whitelist(spark: SparkSession, entries=WHITELIST) -> DataFrame:
-    return local_strings(spark, "entry", list(entries))
+    return local_column(spark, "entry", list(entries))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

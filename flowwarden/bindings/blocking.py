@@ -298,10 +298,16 @@ def block_labels(spark, sf):
 
 @query(
     "set_changes",
-    """WITH old AS (SELECT DISTINCT o_custkey AS k FROM orders), new AS (SELECT DISTINCT c_custkey AS k FROM customer)
+    """WITH old AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'),
+new AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'O')
 SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.k IS NULL THEN 'added' ELSE 'removed' END AS change
 FROM old o FULL JOIN new n ON o.k = n.k WHERE o.k IS NULL OR n.k IS NULL""",
 )
 def set_changes(spark, sf):
-    old = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
-    return L.set_changes(old, table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), "k")
+    """Customers that have open orders but no finished ones, and the other way round."""
+    orders = table(spark, sf, "orders")
+
+    def having(status):
+        return orders.filter(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("k"))
+
+    return L.set_changes(having("F"), having("O"), "k")

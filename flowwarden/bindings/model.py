@@ -149,5 +149,5 @@ def forest_scores(spark, sf):
     wide = parts.select("vec_id", "target", "split", *[F.col("embedding")[i].alias(f"f{i}") for i in range(64)]).cache()
     features = [f"f{i}" for i in range(64)]
     train = P.with_class_weight(wide.filter(F.col("split") == "train"), "target")
-    model = train_forest(train, features, weight="weight", config=ForestConfig(trees=20, depth=8))
+    model = train_forest(train, features, weight="weight", config=ForestConfig())
     return score(model, wide).select("vec_id", "target", "split", rounded("p", 6).alias("p"), "pred")

@@ -1,4 +1,4 @@
-"""Streaming queries: the events table arrives in three instalments, with a restart in between."""
+"""Streaming queries: the events table arrives in two instalments, with a restart in between."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from flowwarden.sources import readers
 from flowwarden.streaming import block_stream as BS
 from flowwarden.streaming import detect_stream as DS
 
-INSTALMENTS = ("2024-01-11", "2024-01-21", "2024-02-01")
+INSTALMENTS = ("2024-01-16", "2024-02-01")
 
 
 @contextmanager

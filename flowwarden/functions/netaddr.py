@@ -25,14 +25,33 @@ def _hex(number: Column, width: int) -> Column:
     return F.lpad(F.lower(F.hex(number.cast("bigint"))), width, "0")
 
 
+def is_v4(ip: Column | str) -> Column:
+    return _col(ip).rlike(V4_PATTERN)
+
+
 def ip_to_num(ip: Column | str) -> Column:
     """IPv4 text -> unsigned 32-bit value in a bigint; null when it is not a strict IPv4 address."""
     ip = _col(ip)
-    parts = F.split(ip, r"\.")
+    first_two, last_two = F.substring_index(ip, ".", 2), F.substring_index(ip, ".", -2)
+    octets = [
+        F.substring_index(first_two, ".", 1),
+        F.substring_index(first_two, ".", -1),
+        F.substring_index(last_two, ".", 1),
+        F.substring_index(last_two, ".", -1),
+    ]
     value = F.lit(0).cast("bigint")
-    for i in range(4):
-        value = value * 256 + F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint")
-    return F.when(ip.rlike(V4_PATTERN), value)
+    for octet in octets:
+        value = value * 256 + octet.try_cast("bigint")
+    return F.when(is_v4(ip), value)
+
+
+def _let(value: Column, body) -> Column:
+    """Bind a value used several times, so that its expression is not repeated in the plan.
+
+    The lambda also keeps a long expression out of the generated loop, whose method would
+    otherwise grow beyond what the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _padded(groups: Column) -> Column:
@@ -60,16 +79,23 @@ def _v6_digits(ip: Column) -> Column:
     )
 
 
+def v6_key(ip: Column | str) -> Column:
+    """Family mark plus hex digits of an IPv6 address; null for everything else."""
+    ip = _col(ip)
+    return F.when(ip.contains(":"), _let(ip, lambda x: F.concat(F.lit("6"), _v6_digits(x))))
+
+
 def ip_key(ip: Column | str) -> Column:
     """Family mark plus hex digits of an address; null when the text is not an address."""
     ip = _col(ip)
     v4 = F.concat(F.lit("4"), _hex(ip_to_num(ip), 8))
-    v6 = F.concat(F.lit("6"), _v6_digits(ip))
-    return F.when(ip.contains(":"), v6).otherwise(v4)
+    return F.when(ip.contains(":"), v6_key(ip)).otherwise(v4)
 
 
 def is_valid_ip(ip: Column | str) -> Column:
-    return F.coalesce(ip_key(ip).isNotNull(), F.lit(False))
+    ip = _col(ip)
+    valid = F.when(ip.contains(":"), v6_key(ip).isNotNull()).otherwise(is_v4(ip))
+    return F.coalesce(valid, F.lit(False))
 
 
 def masked(key: Column | str, prefix: Column | str | int) -> Column:
@@ -94,11 +120,6 @@ def _prefix_length(text: Column) -> Column:
     return F.coalesce(number, from_netmask, from_hostmask)
 
 
-def _let(value: Column, body) -> Column:
-    """Bind a value used several times, so that its expression is not repeated in the plan."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def network(entry: Column | str) -> Column:
     """CIDR text -> struct(prefix, digits); null when malformed or when host bits are set."""
     entry = _col(entry)

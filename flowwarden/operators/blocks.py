@@ -15,7 +15,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowwarden.functions import netaddr as N
 from flowwarden.functions import scalars as S
 from flowwarden.operators.features import side_by_side
 from flowwarden.operators.positions import ordered_position
@@ -42,14 +41,14 @@ def alert_intake(
     alerts: DataFrame, whitelist: DataFrame, floor: float = CONFIDENCE_FLOOR, ip: str = "ip"
 ) -> DataFrame:
     """Add `status`: invalid, below_threshold, whitelisted or accepted, decided in this order."""
-    valid = N.is_valid_ip(ip) & F.col("confidence").isNotNull()
+    flagged = flag_whitelisted(alerts, whitelist, ip, validity="_valid")
     status = (
-        F.when(~valid, "invalid")
+        F.when(~F.col("_valid") | F.col("confidence").isNull(), "invalid")
         .when(F.col("confidence") < floor, "below_threshold")
         .when(F.col("whitelisted"), "whitelisted")
         .otherwise("accepted")
     )
-    return flag_whitelisted(alerts, whitelist, ip).withColumn("status", status).drop("whitelisted")
+    return flagged.withColumn("status", status).drop("whitelisted", "_valid")
 
 
 def block_tiers(alerts: DataFrame, tiers: Iterable[Tier] = TIERS, floor: float = CONFIDENCE_FLOOR) -> DataFrame:

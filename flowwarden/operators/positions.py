@@ -26,15 +26,13 @@ def ordered_position(
     `order` has to be a total order inside a key for the result to be unique.
     """
     keys = keys or []
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     weighted = df.withColumn("_weight", weight if weight is not None else F.lit(1).cast("bigint"))
-    ranged = durable(
-        weighted.repartitionByRange(n, *keys, *order).withColumn("_chunk", F.spark_partition_id())
-    )
+    # Without a number the chunks follow spark.sql.shuffle.partitions, fewer for a small table.
+    into = weighted.repartitionByRange(*([chunks] if chunks else []), *keys, *order)
+    ranged = durable(into.withColumn("_chunk", F.spark_partition_id()))
 
     totals = ranged.groupBy(*keys, "_chunk").agg(F.sum("_weight").alias("_sum"))
-    # At most `n` rows per key here, and only one row per chunk survives the filter.
+    # At most one row per key and chunk here, and only one row per chunk survives the filter.
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         totals.withColumn("_before", F.sum("_sum").over(earlier))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions import netaddr as N
-from flowwarden.session import BROADCAST_ROWS, local_strings
+from flowwarden.session import BROADCAST_ROWS, local_column
 
 
 def whitelist_networks(whitelist: DataFrame) -> DataFrame:
@@ -18,9 +18,9 @@ def whitelist_networks(whitelist: DataFrame) -> DataFrame:
 
 
 def flag_whitelisted(
-    rows: DataFrame, whitelist: DataFrame, ip: str = "ip", max_rows: int = BROADCAST_ROWS
+    rows: DataFrame, whitelist: DataFrame, ip: str = "ip", max_rows: int = BROADCAST_ROWS, validity: str | None = None
 ) -> DataFrame:
-    """Add a boolean `whitelisted`.
+    """Add a boolean `whitelisted`, and under the name `validity` whether the address parses.
 
     A whitelist whose size has been checked is broadcast and probed once per prefix length it
     uses, so the rows are not shuffled.  A larger one is tested against the distinct addresses,
@@ -31,7 +31,7 @@ def flag_whitelisted(
     small = len(known) <= max_rows
     if small:
         # The checked list becomes a local table, so that its parsing is not repeated per lookup.
-        whitelist = local_strings(spark, "entry", known)
+        whitelist = local_column(spark, "entry", known)
     exact = whitelist.filter(~F.col("entry").contains("/")).select("entry").distinct()
     nets = whitelist_networks(whitelist)
     if small:
@@ -39,28 +39,34 @@ def flag_whitelisted(
         by_length: dict[tuple[str, int], list[str]] = {}
         for prefix, digits in found:
             by_length.setdefault((digits[0], prefix), []).append(digits)
-        return _probe(rows, exact, by_length, ip)
+        return _probe(rows, exact, by_length, ip, validity)
     # A prefix length per family: at most 33 + 129 rows.
     family = F.substring("digits", 1, 1).alias("family")
     lengths = sorted((r["family"], r["prefix"]) for r in nets.select(family, "prefix").distinct().collect())
-    return _by_distinct_address(rows, exact, nets, lengths, ip)
+    flagged = _by_distinct_address(rows, exact, nets, lengths, ip)
+    return flagged.withColumn(validity, N.is_valid_ip(ip)) if validity else flagged
 
 
-def _probe(rows: DataFrame, exact: DataFrame, by_length: dict[tuple[str, int], list[str]], ip: str) -> DataFrame:
+def _probe(
+    rows: DataFrame, exact: DataFrame, by_length: dict[tuple[str, int], list[str]], ip: str, validity: str | None
+) -> DataFrame:
     spark = rows.sparkSession
-    lengths = sorted(by_length)
     known = exact.select(F.col("entry").alias("_entry"), F.lit(True).alias("_exact"))
-    keyed = rows.withColumn("_key", N.ip_key(ip))
-    # The digits to look up, one column per prefix length.
-    out = keyed.select("*", *[N.masked("_key", prefix).alias(f"_p{i}") for i, (_, prefix) in enumerate(lengths)])
-    out = out.join(F.broadcast(known), F.col(ip) == F.col("_entry"), "left")
+    # IPv4 is masked as a number; the text form of IPv6 is worked out only where there is a colon.
+    keyed = rows.withColumns({"_v4": N.ip_to_num(ip), "_v6": N.v6_key(ip)})
+    out = keyed.join(F.broadcast(known), F.col(ip) == F.col("_entry"), "left")
     marks = [F.col("_exact")]
-    for i, length in enumerate(lengths):
-        side = local_strings(spark, f"_d{i}", by_length[length]).withColumn(f"_m{i}", F.lit(True))
-        out = out.join(F.broadcast(side), F.col(f"_p{i}") == F.col(f"_d{i}"), "left")
+    for i, ((family, prefix), digits) in enumerate(sorted(by_length.items())):
+        if family == "4":
+            low = [int(d[1:].ljust(8, "0"), 16) for d in digits]
+            side, mine = local_column(spark, f"_d{i}", low), F.col("_v4") - F.col("_v4") % (1 << (32 - prefix))
+        else:
+            side, mine = local_column(spark, f"_d{i}", digits), N.masked("_v6", prefix)
+        out = out.join(F.broadcast(side.withColumn(f"_m{i}", F.lit(True))), mine == F.col(f"_d{i}"), "left")
         marks.append(F.col(f"_m{i}"))
-    verdict = F.col("_key").isNotNull() & F.coalesce(*marks, F.lit(False))
-    return out.select(*rows.columns, verdict.alias("whitelisted"))
+    valid = F.col("_v4").isNotNull() | F.col("_v6").isNotNull()
+    extra = [valid.alias(validity)] if validity else []
+    return out.select(*rows.columns, (valid & F.coalesce(*marks, F.lit(False))).alias("whitelisted"), *extra)
 
 
 def _by_distinct_address(rows, exact, nets, lengths: Sequence[tuple[str, int]], ip: str) -> DataFrame:

@@ -58,5 +58,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 
-def local_strings(spark: SparkSession, name: str, values: list[str]) -> DataFrame:
-    return spark.createDataFrame(pa.table({name: pa.array(values, pa.string())}))
+def local_column(spark: SparkSession, name: str, values: list) -> DataFrame:
+    """A small constant table that the optimiser knows as such (no job, no Python worker)."""
+    kind = pa.int64() if values and isinstance(values[0], int) else pa.string()
+    return spark.createDataFrame(pa.table({name: pa.array(values, kind)}))

@@ -90,11 +90,15 @@ class RollingAlerts:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("window_id").parquet(self._at(name))
 
+    def _windows(self, spark, name: str) -> DataFrame:
+        stored = spark.read.parquet(self._at(name))
+        return stored.withColumn("window_id", F.col("window_id").cast("bigint"))
+
     def alerts(self, spark) -> DataFrame:
-        return spark.read.parquet(self._at("alerts"))
+        return self._windows(spark, "alerts")
 
     def stats(self, spark) -> DataFrame:
-        return spark.read.parquet(self._at("stats"))
+        return self._windows(spark, "stats")
 
 
 def alert_stream(
