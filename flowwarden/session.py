@@ -16,15 +16,14 @@ BROADCAST_ROWS = 100_000
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="flowwarden-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="flowwarden-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
