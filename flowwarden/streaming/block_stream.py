@@ -19,12 +19,13 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from flowwarden.functions import scalars as S
 from flowwarden.operators.blocks import _slice, alert_intake
 from flowwarden.schema import CONFIDENCE_FLOOR, TIERS, Tier
+from flowwarden.sources.readers import read_table
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 SLICE_FIELDS = (
     "ip string, slice bigint, alerts bigint, first_ts timestamp, first_id {id}, first_tier string, first_confidence double, "
-    "first_flows bigint, first_file string, last_ts timestamp, last_tier string, source_batch bigint"
+    "first_flows bigint, first_file string, last_ts timestamp, last_tier string, source_batch bigint, clock timestamp"
 )
 # Inside the state machine a time is its microseconds, which knows no time zone.
 ACTION_FIELDS = (
@@ -67,12 +68,28 @@ class Intake:
         judged = alert_intake(batch, self.whitelist(batch.sparkSession))
         judged.write.mode("overwrite").parquet(verdicts)
         stored = batch.sparkSession.read.schema(judged.schema).parquet(verdicts)
-        sums = accepted_slices(stored.filter(F.col("status") == "accepted"), self.tiers)
+        accepted = stored.filter(F.col("status") == "accepted")
+        sums = accepted_slices(accepted, self.tiers).withColumn("source_batch", F.lit(batch_id).cast("bigint"))
         # All rows of an address go to one file, so the block step takes a batch's share as a whole.
-        whole = sums.withColumn("source_batch", F.lit(batch_id).cast("bigint")).repartition("ip")
+        whole = sums.withColumn("clock", F.timestamp_micros(F.lit(self._clock(accepted, batch_id)).cast("bigint"))).repartition("ip")
         whole.write.mode("overwrite").parquet(os.path.join(self.path, "slices", f"batch_id={batch_id}"))
 
 
+    def _clock(self, accepted: DataFrame, batch_id: int) -> int | None:
+        """Newest alert time of this batch and all before it, in microseconds.
+
+        It never goes back, so the block step can take it for event time: however late an alert
+        arrives, its row is not late for the engine and is not dropped.
+        """
+        spark = accepted.sparkSession
+        schema = "micros bigint"
+        before = read_table(spark, os.path.join(self.path, "clock", f"batch_id={batch_id - 1}"), schema)
+        newest = before.unionByName(accepted.select(F.unix_micros("ts").alias("micros"))).agg(F.max("micros").alias("micros"))
+        at = os.path.join(self.path, "clock", f"batch_id={batch_id}")
+        newest.coalesce(1).write.mode("overwrite").parquet(at)
+        return spark.read.schema(schema).parquet(at).first()["micros"]
+
+
 def intake_stream(
     alerts: DataFrame,
     path: str,
@@ -188,15 +205,15 @@ def block_stream(
 ) -> StreamingQuery:
     """The action log (block, reset, unblock) as an exactly-once file sink.
 
-    `late` only delays the `unblock` rows; their time is the end of the block itself.  Sums older
-    than it are late data and dropped by the engine, so it has to cover how far alerts may arrive
-    out of order.
+    `late` only delays the `unblock` rows; their time is the end of the block itself.  It should
+    cover how far alerts arrive out of order: an alert from before the end of a block that has
+    been closed already opens the next one.
     """
     spark = slices.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = slices.withColumn("first_us", F.unix_micros("first_ts")).withColumn("last_us", F.unix_micros("last_ts"))
     actions = (
-        timed.withWatermark("last_ts", late)
+        timed.withWatermark("clock", late)
         .groupBy("ip")
         .transformWithState(
             statefulProcessor=BlockMachine(tuple(tiers), id_type),
