@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from struct import pack
 
 import numpy as np
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from flowwarden.llm.text import fresh, slices, utf8
+from flowwarden.llm.text import fresh, ship, shipped, slices, utf8
 
 WORD_TABLE = 600_000
 ARC_BITS = 20
@@ -58,10 +58,6 @@ class Automaton:
     copied: dict[int, tuple[int, int]]
     made: dict[int, tuple[int, int]]
     special: dict[str, int]
-    _encoder: Encoder | None = field(default=None, repr=False)
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_encoder": None}
 
     @staticmethod
     def compile(merges: list[tuple[bytes, bytes]], ids: dict[bytes, int], special: dict[str, int]) -> Automaton:
@@ -98,12 +94,6 @@ class Automaton:
         ids = {raw(s): i for s, i in spec["model"]["vocab"].items() if s not in special}
         return Automaton.compile([(raw(a), raw(b)) for a, b in pairs], ids, special)
 
-    def encoder(self) -> Encoder:
-        """One encoder a worker process: kept beside the broadcast value, so later tasks go on with it."""
-        if self._encoder is None:
-            self._encoder = Encoder(self)
-        return self._encoder
-
 
 def _open(state: int, label: int, removed: dict, copied: dict, made: dict) -> bool:
     """Does the state after `state` have an arc `label`?
@@ -301,8 +291,7 @@ def encode_decode(docs: DataFrame, automaton: Automaton, text: str = "text", kee
     empty table gives an empty one.  Added columns whose name is taken get an underscore.  A text
     is held whole in its task, its ids beside it.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(automaton)
+    sent = ship(docs.sparkSession, automaton)
     added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     if keep_text:
         added += [("ids", T.ArrayType(T.LongType())), ("decoded", T.StringType())]
@@ -310,7 +299,7 @@ def encode_decode(docs: DataFrame, automaton: Automaton, text: str = "text", kee
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, (_, t) in zip(names, added, strict=True)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = sent.value.encoder()
+        encoder = shipped(sent, Encoder)
         for batch in batches:
             counts, digests, texts, lists, decoded = [], [], [], [], []
             for ids in _encoded(encoder, batch.column(batch.schema.get_field_index(text))):

@@ -32,3 +32,62 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_decode(docs, Automaton.load(tokenizer_path())).drop("text")
+
+
+@query
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: three-word shingles, similarity of 0.85 or more."""
+    from flowwarden.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before and after dropping those that an earlier document holds, and the kept text's digest."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.linededup import dedup_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = dedup_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op6_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, pos, line, k, length(k) >= 10 AS counts
+  FROM (SELECT doc_id, pos, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+        FROM (SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS pos
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)))),
+shared AS (
+  SELECT k, min(doc_id) AS first FROM lines WHERE counts GROUP BY k HAVING min(doc_id) < max(doc_id)),
+judged AS (
+  SELECT l.doc_id, l.pos, l.line, s.first IS NOT NULL AND l.doc_id > s.first AS gone
+  FROM lines l LEFT JOIN shared s ON l.counts AND l.k = s.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, ...) of every benchmark item that stands in a document, exactly or nearly."""
+    from flowwarden.llm.decontam import contaminations
+
+    return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and score of every document, by a model that never saw the held-out quarter."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.langid import identify, train
+    from flowwarden.llm.text import held_out
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs)
+    out = identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")

@@ -6,12 +6,15 @@ running sum, then mixed.  They are the same in every process and at every positi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -175,3 +178,41 @@ def fresh(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in have:
         wanted += "_"
     return wanted
+
+
+PIECE_BYTES = 1 << 20
+
+
+def gram_counts(data: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
+    """Counts of hashed byte n-grams of one text in 2^bits buckets; long texts are read in overlapping pieces."""
+    out = np.zeros(1 << bits, np.int64)
+    for at in range(0, max(1, len(data)), PIECE_BYTES):
+        part = data[at : at + PIECE_BYTES + max(sizes) - 1].astype(np.uint32)
+        for n in sizes:
+            count = min(len(part) - n + 1, PIECE_BYTES)
+            if count <= 0:
+                continue
+            code = part[:count] * np.uint32(0x9E3779B1)
+            for i in range(1, n):
+                code ^= (code << np.uint32(5)) + part[i : i + count] * np.uint32(0x85EBCA6B + 2 * i)
+            code *= np.uint32(0xC2B2AE35)
+            out += np.bincount(code >> np.uint32(32 - bits), minlength=1 << bits)
+    return out
+
+
+def sample_share(column: Column, share: Column | float) -> Column:
+    """True for about `share` of the rows, chosen by a hash; null is never chosen."""
+    return F.pmod(F.xxhash64(column, F.lit("sample")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * share
+
+
+def ship(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcasts an object with its class, so executors need not have this package installed."""
+    return spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+
+def shipped(sent: Broadcast, ready: Callable[[Any], Any] = lambda value: value) -> Any:
+    """`ready` of the object; a worker process makes it once and later tasks go on with it."""
+    box = sent.value
+    if "ready" not in box:
+        box["ready"] = ready(pickle.loads(box.pop("packed")))
+    return box["ready"]
