@@ -66,7 +66,8 @@ class Automaton:
         made: dict[int, tuple[int, int]] = {}
         for step, (left, right) in enumerate(merges):
             a, b, c = ids[left], ids[right], ids[left + right]
-            if c in made or not _open(a, b, removed, copied, made):
+            alive = all(len(part) == 1 or ids[part] in made for part in (left, right))
+            if not alive or c in made or not _open(a, b, removed, copied, made):
                 continue  # made before, or no path has a before b: the gadget would change nothing
             copied[c] = (b, step)
             made[c] = (a, step)
@@ -147,30 +148,25 @@ class Encoder:
 
         Nodes without a further byte share one empty row of `step`.
         """
+        made = self.automaton.made
+        ids = {label: i for label, i in self.automaton.ids.items() if len(label) == 1 or i in made}
         rows: dict[bytes, int] = {b"": 0}
-        for label in self.automaton.ids:
+        for label in ids:
             for cut in range(1, len(label)):
                 rows.setdefault(label[:cut], len(rows))
         inner = len(rows)
         self.step = np.full((inner + 1, 256), -1, np.int32)
-        ends = [-1] * inner
-        for label in self.automaton.ids:
-            if label in rows:
-                ends[rows[label]] = self.automaton.ids[label]
+        ends = [ids.get(prefix, -1) for prefix in rows]
         for prefix, node in rows.items():
             if prefix:
                 self.step[rows[prefix[:-1]], prefix[-1]] = node
-        for label, i in self.automaton.ids.items():
+        for label, i in ids.items():
             if label not in rows:
                 self.step[rows[label[:-1]], label[-1]] = len(ends)
                 ends.append(i)
         self.step, self.inner = self.step.ravel(), inner
         self.ends = np.array(ends, np.int32)
         self.length = np.array([len(label) for label in self.automaton.labels], np.int64)
-        first = np.zeros(len(self.automaton.labels), bool)  # labels with an arc from the start
-        first[list(self.automaton.made)] = True
-        first[[i for label, i in self.automaton.ids.items() if len(label) == 1]] = True
-        self.first = first
 
     def _forget_arcs(self) -> None:
         self.arc_key = np.full(ARC_TABLE, -1, np.int64)
@@ -229,7 +225,7 @@ class Encoder:
                 label = np.where(node >= 0, self.ends[node], -1)
                 ask = np.flatnonzero((label >= 0) & (last[at] < 0))
                 if len(ask):
-                    ok = self.first[label[ask]] if start == 0 else self._arcs(before[ask], label[ask])
+                    ok = slice(None) if start == 0 else self._arcs(before[ask], label[ask])  # the start has all arcs
                     good = ask[ok]
                     last[at[good]] = label[good]
                 on = (node >= 0) & (node < self.inner) & (at < end)
