@@ -91,3 +91,95 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs)
     out = identify(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base patterns, and all spans with novel strings."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.secret_scan import count_kind, joined, scan
+
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] != "novel")
+    return found.select(
+        "doc_id",
+        *[count_kind(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+        count_kind(spans, "novel").alias("n_novel"),
+    )
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license labels of every document."""
+    from flowwarden.llm.license_scan import scan
+
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "detections")
+
+
+@query
+def op9_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by its labelled neighbours, none of them held out."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.knn_quality import score, train
+    from flowwarden.llm.text import held_out
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    return out.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+#: The rules of op5.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url; where no rule fits, hosts with any link that carries a tracking mark are blocked."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.urlfilter import host_path, judge
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    tracked = pages.filter(F.col("url").contains("utm_")).select(host_path(F.col("url"))[0].alias("host"))
+    return judge(pages, URL_RULES, tracked).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op5_url_filter"] = r"""
+WITH cut AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut),
+tracked AS (SELECT DISTINCT host FROM parts WHERE contains(url, 'utm_')),
+rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+best AS (
+  SELECT p.host, p.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parts) p
+  JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.host, p.path)
+SELECT p.page_id, p.host, p.path, b.rule,
+       CASE WHEN b.rule IS NOT NULL THEN b.verdict WHEN t.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM parts p LEFT JOIN best b ON b.host = p.host AND b.path = p.path LEFT JOIN tracked t ON t.host = p.host"""
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of every document, the base rules, and the outliers of its language and source."""
+    from flowwarden.llm.quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"))
