@@ -5,11 +5,15 @@ largest hash, so 64 permutations give 128 values.  Bands of a few values are buc
 values in a band is the largest with which a pair just at the threshold meets in no bucket with a
 probability below `MISS` (one in a million).
 
-Equal sets are one node from the start.  In a bucket every node is compared with one hub only, so
-large groups of near copies cost a few comparisons each.  Links found so far are joined to
-components; then buckets that still hold several components are searched for pairs across
-components.  Such a pair is skipped only where sizes or distances to the hub (Jaccard distance is
-a metric) rule a link out.  So in each bucket every pair is linked, connected or ruled out.
+Equal sets are one node from the start.  In a bucket every node is compared with one hub only, the
+node that meets most others, so large groups of near copies cost a few comparisons each.  Links
+found so far are joined to components.  Around a hub that still meets several components, members of
+different components are compared where a link is possible.  With many members that is found
+by what sets them apart from the hub: for sets u and v with differences D(u), D(v) from the hub
+(shingles in one but not in both), the difference of u and v is |D(u)| + |D(v)| - 2 |D(u) & D(v)|, so
+a link needs a number of common elements of D(u) and D(v), and thus one among the rarest few
+of either.  Those are the keys of the join.  So of all nodes that share a bucket, every pair is
+linked, connected or ruled out, and no pairs are made but those with a rare difference in common.
 All links are confirmed on the full sets.  Nothing is collected; groups are never gathered in a task.
 """
 
@@ -31,6 +35,8 @@ from flowwarden.session import durable
 PERMUTATIONS = 64
 MISS = 1e-6
 ROWS_AT_ONCE = 2048
+#: Hubs with up to so many members are searched pair by pair; either way has the same result.
+FEW = 24
 
 SKETCH = "n_shingles bigint, d1 bigint, d2 bigint, keys array<bigint>"
 
@@ -177,19 +183,15 @@ def near_duplicates(
         .agg(F.min("id").alias("low"), F.max(F.col("id").isNull()).alias("bare"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
         .withColumn("nid", F.monotonically_increasing_id())
     )
-    buckets = nodes.select(F.explode("keys").alias("key"), "nid", "n")
-    hubs = buckets.groupBy("key").agg(F.min("nid").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    buckets = nodes.select(F.explode("keys").alias("key"), "nid")
+    counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     # Rows of buckets with two nodes or more; far fewer than all.
-    shared = durable(buckets.join(hubs.drop("c"), "key"))
-    sizes = nodes.select(F.col("nid").alias("b"), F.col("n").alias("nb"))
-    fits = percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb")
+    shared = durable(buckets.join(counts, "key"))
+    central = shared.groupBy("nid").agg(F.sum("c").alias("met"))
+    best = F.max(F.struct("met", (-F.col("nid")).alias("minus")))
+    hubs = shared.join(central, "nid").groupBy("key").agg((-best["minus"]).alias("hub"))
     first = durable(
-        shared.filter(F.col("nid") != F.col("hub"))
-        .select(F.col("nid").alias("a"), F.col("hub").alias("b"), F.col("n").alias("na"))
-        .distinct()
-        .join(sizes, "b")
-        .filter(fits)
-        .select("a", "b")
+        shared.join(hubs, "key").filter(F.col("nid") != F.col("hub")).select(F.col("nid").alias("a"), F.col("hub").alias("b")).distinct()
     )
     # Texts of the nodes that share a bucket, and their sets; the digest tells rows of one id apart.
     nothing = F.lit(-(1 << 63)).cast("bigint")
@@ -206,7 +208,8 @@ def near_duplicates(
     linked = similar(F.col("both"), F.col("na"), F.col("nb"), percent)
     links = star.filter(linked).select("a", "b")
     label = components(links, "a", "b")
-    links = links.union(durable(measured(_across(shared, label, star, percent), sets)).filter(linked).select("a", "b"))
+    more = durable(_across(star, label, sets, percent))
+    links = links.union(durable(measured(more, sets)).filter(linked).select("a", "b"))
     label = components(links, "a", "b")
     named = nodes.join(label, nodes["nid"] == label["node"], "left").select(
         "d1", "d2", "low", F.coalesce("component", "nid").alias("component")
@@ -220,30 +223,80 @@ def near_duplicates(
     )
 
 
-def _across(shared: DataFrame, label: DataFrame, star: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of nodes of one bucket that are in different components and may still be linked."""
-    placed = shared.join(label, shared["nid"] == label["node"], "left").select(
-        "key", "nid", "n", "hub", F.coalesce("component", "nid").alias("component")
-    )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    gap = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    far = star.select(F.col("a").alias("nid"), F.col("b").alias("hub"), gap.alias("gap"))
-    rows = durable(
-        placed.filter("nid <> hub")
-        .join(mixed.select("key"), "key", "left_semi")
-        .join(far, ["nid", "hub"], "left")
-        .select("key", "nid", "n", "component", "gap")
-    )
-    left = rows.select("key", F.col("nid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("gap").alias("ga"))
-    right = rows.select("key", F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("gap").alias("gb"))
-    reach = 1 - percent / 100 + 1e-9
-    may = (
-        (F.col("a") < F.col("b"))
-        & (F.col("ca") != F.col("cb"))
-        & (percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb"))
-        & F.coalesce(F.abs(F.col("ga") - F.col("gb")) <= reach, F.lit(True))
+def _across(star: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): nodes of different components around one hub that may still be linked.
+
+    star: (a, b, na, nb, both) of nodes a and their hubs b.
+    """
+    own = label.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    hub = label.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    placed = star.join(own, "a", "left").join(hub, "b", "left").select(
+        F.col("b").alias("hub"),
+        F.col("a").alias("nid"),
+        F.col("na").alias("n"),
+        F.coalesce("ca", "a").alias("component"),
+        F.coalesce("cb", "b").alias("hub_component"),
+        # Elements in one set but not in both, of the node and of the hub.
+        (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("d"),
+        F.col("nb").alias("nh"),
+        similar(F.col("both"), F.col("na"), F.col("nb"), percent).alias("near"),
     )
-    return left.join(right, "key").filter(may).select("a", "b").distinct()
+    low, high = F.min(F.least("component", "hub_component")), F.max(F.greatest("component", "hub_component"))
+    mixed = placed.groupBy("hub").agg(low.alias("x"), high.alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y and m > 1")
+    rows = durable(placed.join(mixed.select("hub", "m"), "hub").drop("hub_component"))
+    few = _pairs(rows.filter(F.col("m") <= FEW), rows.filter(F.col("m") <= FEW), ["hub"], percent)
+    many = rows.filter(F.col("m") > FEW)
+    c = (100 - percent) / (100 + percent)
+    # Common differences that a link needs: with a node that is not linked to the hub, and with one that is.
+    far = F.ceil((F.col("d") + c * (F.col("nh") - F.col("n"))) / 2 - 1e-6)
+    close = F.ceil(F.col("d") - c * F.col("n") * (1 + 100 / percent) - 1e-6)
+    keys = durable(_rarest(many, sets, {"to_far": far, "to_near": close}))
+    apart, linked = ~F.col("near"), F.col("near")
+    crossed = _pairs(keys.filter(linked & F.col("to_far")), keys.filter(apart & F.col("to_near")), ["hub", "element"], percent, False)
+    both = keys.filter(apart & F.col("to_far"))
+    return few.union(crossed).union(_pairs(both, both, ["hub", "element"], percent)).distinct()
+
+
+def _pairs(left: DataFrame, right: DataFrame, on: list[str], percent: int, once: bool = True) -> DataFrame:
+    """(a, b) with equal keys, different components and sizes that allow a link."""
+    x = left.select(*on, F.col("nid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = right.select(*on, F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    may = (F.col("ca") != F.col("cb")) & (percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb"))
+    if once:
+        may = may & (F.col("a") < F.col("b"))
+    return x.join(y, on).filter(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _rarest(rows: DataFrame, sets: DataFrame, needs: dict[str, Column]) -> DataFrame:
+    """rows (hub, nid, n, component, near) by their elements of difference, rarest first.
+
+    For each need a flag tells whether the element is among the first d - need + 1, one of which two nodes with so
+    many in common must share.  Elements that no other member has are counted, but not returned.
+    """
+    left = sets.select(F.col("nid"), F.col("members").alias("ma"))
+    right = sets.select(F.col("nid").alias("hub"), F.col("members").alias("mb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, cuts = [], [0]
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                out.append(np.setxor1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True))
+                cuts.append(cuts[-1] + len(out[-1]))
+            flat = np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+            elements = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), elements], names=["hub", "nid", "elements"])
+
+    pairs = rows.select("hub", "nid").join(left, "nid").join(right, "hub").select("hub", "nid", "ma", "mb")
+    apart = pairs.mapInArrow(run, "hub bigint, nid bigint, elements array<bigint>").select("hub", "nid", F.explode("elements").alias("element"))
+    apart = durable(apart)
+    times = apart.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    lists = apart.join(times, ["hub", "element"]).groupBy("hub", "nid").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("e"))
+    at = F.posexplode("e").alias("at", "e")
+    out = rows.join(lists.withColumn("alone", F.size("e")), ["hub", "nid"]).select(*rows.columns, "alone", at)
+    place = F.col("d") - F.col("alone") + F.col("at") + 1
+    flags = {k: place <= F.col("d") - F.greatest(need, F.lit(1)) + 1 for k, need in needs.items()}
+    out = out.withColumns(flags).select("hub", "nid", "n", "component", "near", F.col("e.element").alias("element"), *needs)
+    return out.filter(F.array_contains(F.array(*needs), True))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
