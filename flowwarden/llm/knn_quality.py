@@ -1,7 +1,8 @@
 """Quality of texts by the votes of labelled neighbours in a latent-semantic space.
 
-Texts become tf-idf weights of hashed byte n-grams (case and symbols kept), and these are projected on
-the leading singular vectors of a bounded labelled sample.  The labelled vectors are broadcast;
+Texts become tf-idf weights of hashed byte n-grams (case and symbols kept) beside a mark for the entropy of
+their counts, which is low in texts that repeat themselves; and these are projected on the leading
+singular vectors of a bounded labelled sample.  The labelled vectors are broadcast;
 every document is compared with all of them in blocks of exact cosine products, and its
 nearest neighbours vote with their similarity as weight.
 """
@@ -29,6 +30,8 @@ NEIGHBOURS = 25
 POWER = 4
 BLOCK = 256
 EMPTY_SCORE = 0.0
+#: Entropy marks (one a nat) and their weight beside the n-grams.
+MARKS, MARK_WEIGHT = 9, 0.6
 
 
 @dataclass
@@ -41,7 +44,7 @@ class Neighbours:
     labels: np.ndarray
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
-        return unit(unit(np.log1p(counts) * self.idf) @ self.project)
+        return unit(features(counts, self.idf) @ self.project)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Share of the votes for label 1 of each row of a block of n-gram counts."""
@@ -54,6 +57,14 @@ class Neighbours:
         return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
 
 
+def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit vectors of tf-idf weights and entropy marks; an entropy between two marks is shared by both."""
+    share = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    entropy = -(share * np.log(np.where(share > 0, share, 1))).sum(axis=1)
+    marks = np.clip(1 - np.abs(entropy[:, None] - np.arange(MARKS)), 0, None)
+    return unit(np.hstack([unit(np.log1p(counts) * idf), MARK_WEIGHT * unit(marks)]))
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
@@ -96,7 +107,7 @@ def train(
 
 def fit(counts: np.ndarray, idf: np.ndarray, labels: np.ndarray) -> Neighbours:
     """Leading right singular vectors by subspace iteration."""
-    x = unit(np.log1p(counts) * idf)
+    x = features(counts, idf)
     width = min(WIDTH, *x.shape)
     basis = np.linalg.qr(np.random.default_rng(3).standard_normal((x.shape[1], min(width + 12, *x.shape))))[0]
     for _ in range(6):
