@@ -145,14 +145,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], hosts: DataFrame,
     part = lambda k: F.pmod(F.xxhash64(F.lit("part"), k), F.lit(parts))
     out = split.withColumn(names["keys"], every)
     found = F.transform(F.col(names["keys"]), lambda k: F.lit(False))
-    for p in range(parts):
-        cascade = Cascade.build(table if parts == 1 else table.filter(part(F.col("key")) == p))
-        before = found
+
+    def step(at: int, cascade: Cascade, before: Column) -> Column:
+        return F.zip_with(F.col(names["keys"]), before, lambda k, f: F.when(part(k) == at, cascade.contains(k)).otherwise(f))
+
+    for at in range(parts):
         if parts == 1:
-            found = F.transform(F.col(names["keys"]), cascade.contains)
+            found = F.transform(F.col(names["keys"]), Cascade.build(table).contains)
         else:
-            step = F.zip_with(F.col(names["keys"]), before, lambda k, f, c=cascade, p=p: F.when(part(k) == p, c.contains(k)).otherwise(f))
-            out = durable(out.withColumn(names["found"], step))
+            cascade = Cascade.build(table.filter(part(F.col("key")) == at))
+            out = durable(out.withColumn(names["found"], step(at, cascade, found)))
             found = F.col(names["found"])
     # Which of a row's keys are listed, then the longest rule among them.
     known = F.filter(F.zip_with(F.col(names["keys"]), found, lambda k, f: F.when(f, k)), lambda k: k.isNotNull())
