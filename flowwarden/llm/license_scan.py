@@ -9,6 +9,7 @@ priority, or within a longer one of the same license family, is suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -135,11 +136,12 @@ class Scanner:
     def scan(self, lowered: bytes) -> tuple[list[tuple[int, str]], list[tuple[int, int, str, float]]]:
         """Base places (word, label), and detections (first word, word after the last, label, score)."""
         line = " " + " ".join(w.decode("utf-8", "replace") for w in WORD.findall(lowered)) + " "
+        gaps = [m.start() for m in re.finditer(" ", line)]  # a word's place is the number of spaces before it, less one
         base = []
         for phrase, label in PHRASES:
             at = line.find(f" {phrase} ")
             while at >= 0:
-                base.append((line.count(" ", 0, at), label))
+                base.append((bisect_left(gaps, at), label))
                 at = line.find(f" {phrase} ", at + 1)
         found = []
         for keyword, rules in self.by_keyword.items():
@@ -147,12 +149,19 @@ class Scanner:
                 found += [(m.start(), m.end(), r) for r in rules for m in r.pattern.finditer(line)]
         # Higher priority first, then longer, then earlier: what lies within a kept one is suppressed.
         found.sort(key=lambda f: (-f[2].priority, f[0] - f[1], f[0], f[2].label))
-        kept: list[tuple[int, int, Rule]] = []
-        for a, b, r in found:
-            if not any(x <= a and b <= y for x, y, _ in kept):
-                kept = [k for k in kept if not (a <= k[0] and k[1] <= b and k[2].family == r.family and b - a > k[1] - k[0])]
-                kept.append((a, b, r))
-        spans = [(line.count(" ", 0, a) - 1, line.count(" ", 0, b), r.label, r.score) for a, b, r in sorted(kept, key=lambda k: k[:2])]
+        kept: list[tuple[int, int, int, Rule]] = []  # in order of start; the third number only breaks ties
+        longest = 0
+        for place, (a, b, r) in enumerate(found):
+            around = kept[bisect_left(kept, (a - longest,)) : bisect_left(kept, (a + 1,))]
+            if any(x <= a and b <= y for x, y, *_ in around):
+                continue
+            within = kept[bisect_left(kept, (a,)) : bisect_left(kept, (b,))]
+            for k in within:  # shorter, of higher priority, of the same family
+                if k[1] <= b and k[3].family == r.family and b - a > k[1] - k[0]:
+                    del kept[bisect_left(kept, k[:3])]
+            insort(kept, (a, b, place, r))
+            longest = max(longest, b - a)
+        spans = [(bisect_left(gaps, a) - 1, bisect_left(gaps, b), r.label, r.score) for a, b, _, r in kept]
         return sorted(base), spans
 
 
