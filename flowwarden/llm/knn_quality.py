@@ -44,7 +44,7 @@ class Neighbours:
     labels: np.ndarray
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
-        return unit(features(counts, self.idf) @ self.project)
+        return unit(np.concatenate([features(c, self.idf) @ self.project for c in blocks(counts)]))
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """Share of the votes for label 1 of each row of a block of n-gram counts."""
@@ -65,6 +65,11 @@ def features(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return unit(np.hstack([unit(np.log1p(counts) * idf), MARK_WEIGHT * unit(marks)]))
 
 
+def blocks(rows: np.ndarray) -> list[np.ndarray]:
+    """Rows in blocks, so that work arrays stay small."""
+    return [rows[i : i + BLOCK] for i in range(0, max(1, len(rows)), BLOCK)]
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
@@ -100,16 +105,18 @@ def train(
     found.sort(key=lambda r: (r["label"], r["counts"]))
     if not found:
         return Neighbours(np.zeros(0), np.zeros((0, 0)), np.zeros((0, WIDTH)), np.zeros(0))
-    counts = np.array([np.frombuffer(r["counts"], np.int32) for r in found])
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    return fit(counts, idf, np.array([r["label"] for r in found], np.float64))
+    votes = np.array([r["label"] for r in found], np.float64)
+    counts = np.frombuffer(b"".join(r["counts"] for r in found), np.int32).reshape(len(found), -1)
+    del found
+    idf = np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1
+    return fit(counts, idf, votes)
 
 
 def fit(counts: np.ndarray, idf: np.ndarray, labels: np.ndarray) -> Neighbours:
     """Leading right singular vectors by subspace iteration."""
-    x = features(counts, idf)
+    x = np.concatenate([features(c, idf) for c in blocks(counts)])  # single precision
     width = min(WIDTH, *x.shape)
-    basis = np.linalg.qr(np.random.default_rng(3).standard_normal((x.shape[1], min(width + 12, *x.shape))))[0]
+    basis = np.linalg.qr(np.random.default_rng(3).standard_normal((x.shape[1], min(width + 12, *x.shape))))[0].astype(np.float32)
     for _ in range(6):
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
     small = x @ basis

@@ -328,7 +328,13 @@ class LineIndex:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", replace: bool = False) -> DataFrame:
-    """One batch: all rows go into a new index and are judged by it (see `LineIndex.dedup`)."""
-    index = LineIndex(docs.sparkSession)
+    """One batch: all rows go into a new index and are judged by it (see `LineIndex.dedup`).
+
+    The index goes away when the session ends; for one that stays, use `LineIndex` with a folder.
+    """
+    spark = docs.sparkSession
+    index = LineIndex(spark)
+    at = spark._jvm.org.apache.hadoop.fs.Path(index.root)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     index.insert(docs, id_col, text)
     return index.dedup(docs, id_col, text, replace)

@@ -244,7 +244,8 @@ def _across(star: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
     low, high = F.min(F.least("component", "hub_component")), F.max(F.greatest("component", "hub_component"))
     mixed = placed.groupBy("hub").agg(low.alias("x"), high.alias("y"), F.count(F.lit(1)).alias("m")).filter("x <> y and m > 1")
     rows = durable(placed.join(mixed.select("hub", "m"), "hub").drop("hub_component"))
-    few = _pairs(rows.filter(F.col("m") <= FEW), rows.filter(F.col("m") <= FEW), ["hub"], percent)
+    small = rows.filter(F.col("m") <= FEW).withColumn("rest", F.col("d"))
+    few = _pairs(small, small, ["hub"], percent)
     many = rows.filter(F.col("m") > FEW)
     c = (100 - percent) / (100 + percent)
     # Common differences that a link needs: with a node that is not linked to the hub, and with one that is.
@@ -258,17 +259,21 @@ def _across(star: DataFrame, label: DataFrame, sets: DataFrame, percent: int) ->
 
 
 def _pairs(left: DataFrame, right: DataFrame, on: list[str], percent: int, once: bool = True) -> DataFrame:
-    """(a, b) with equal keys, different components and sizes that allow a link."""
-    x = left.select(*on, F.col("nid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = right.select(*on, F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    """(a, b) with equal keys, different components, and sizes and differences that allow a link."""
+    names = {"nid": "", "n": "n", "component": "c", "d": "d", "rest": "r"}
+    x = left.select(*on, *[F.col(k).alias(v + "a") for k, v in names.items()])
+    y = right.select(*on, *[F.col(k).alias(v + "b") for k, v in names.items()])
+    # At the first element in common no more can be common than this one and what comes after it.
+    need = (F.col("da") + F.col("db") - (100 - percent) / (100 + percent) * (F.col("na") + F.col("nb"))) / 2 - 1e-6
     may = (F.col("ca") != F.col("cb")) & (percent * F.greatest("na", "nb") <= 100 * F.least("na", "nb"))
+    may = may & (1 + F.least("ra", "rb") >= need)
     if once:
         may = may & (F.col("a") < F.col("b"))
     return x.join(y, on).filter(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _rarest(rows: DataFrame, sets: DataFrame, needs: dict[str, Column]) -> DataFrame:
-    """rows (hub, nid, n, component, near) by their elements of difference, rarest first.
+    """rows (hub, nid, n, component, near, d) by their elements of difference, rarest first.
 
     For each need a flag tells whether the element is among the first d - need + 1, one of which two nodes with so
     many in common must share.  Elements that no other member has are counted, but not returned.
@@ -295,7 +300,9 @@ def _rarest(rows: DataFrame, sets: DataFrame, needs: dict[str, Column]) -> DataF
     out = rows.join(lists.withColumn("alone", F.size("e")), ["hub", "nid"]).select(*rows.columns, "alone", at)
     place = F.col("d") - F.col("alone") + F.col("at") + 1
     flags = {k: place <= F.col("d") - F.greatest(need, F.lit(1)) + 1 for k, need in needs.items()}
-    out = out.withColumns(flags).select("hub", "nid", "n", "component", "near", F.col("e.element").alias("element"), *needs)
+    out = out.withColumns(flags).select(
+        "hub", "nid", "n", "component", "near", "d", (F.col("d") - place).alias("rest"), F.col("e.element").alias("element"), *needs
+    )
     return out.filter(F.array_contains(F.array(*needs), True))
 
 
