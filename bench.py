@@ -32,6 +32,12 @@ HEADLINE = (
     "session_flows",
     "packet_flows",
     "iat_stats",
+    "minority_neighbours",
+    "smote_counts",
+    "forest_scores",
+    "alert_roundtrip",
+    "stream_rolling_alerts",
+    "stream_blocks",
 )
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from flowwarden.bindings import base as B
 from flowwarden.bindings.registry import query, sql_round, sql_ts, table, text_ts
-from flowwarden.functions.scalars import rounded
+from flowwarden.functions.scalars import lines_to_list, list_to_lines, rounded
 from flowwarden.operators import detect as D
 from flowwarden.operators import packets as N
 from flowwarden.operators import windows as W
+from flowwarden.operators.blocks import to_block_alerts
 from flowwarden.operators.positions import ordered_position
 from flowwarden.schema import DetectConfig
 from flowwarden.session import scratch_path
@@ -209,7 +210,7 @@ def alert_roundtrip(spark, sf):
     documents = writers.alert_documents(alerts, detail, W.window_targets(found, files, B.N_FILES, "row_pos"))
     path = scratch_path(spark, "alerts")
     writers.write_alerts(documents, path)
-    back = readers.read_alerts(spark, path, multi_line=False)
+    back = readers.read_alerts(spark, path)
 
     def line(f):
         return F.concat_ws(" ", f["flow_index"].cast("string"), f["dst_ip"], f["src_port"].cast("string"), f["timestamp"])
@@ -235,3 +236,143 @@ def flow_csv_roundtrip(spark, sf):
     back = readers.read_flows(spark, path, header=list(header.values()))
     total = F.col("`Tot Fwd Pkts`").cast("double").alias("total_fwd_packets")
     return back.select("src_ip", "dst_ip", "src_port", "dst_port", "protocol", "flow_ts", "duration", total)
+
+
+@query(
+    "alerts_to_blocks",
+    B.with_(B.FLOWS, B.HITS, B.FILES, B.SLOTS, B.WINDOWS)
+    + f"""SELECT 'SSH_BF_' || replace(src_ip, '.', '') || '_' || strftime(window_ts, '%Y%m%d%H%M%S') AS alert_id, src_ip AS ip,
+  {sql_ts('window_ts')} AS alert_ts, conf_avg AS confidence, n_flows AS total_flows,
+  'alert_' || replace(src_ip, '.', '_') || '_' || strftime(window_ts, '%Y%m%d_%H%M%S') || '.json' AS alert_file
+FROM (SELECT s.window_id, h.src_ip, count(*) AS n_flows, {B.CONFIDENCE} FROM hits h JOIN slots s ON h.file = s.file GROUP BY s.window_id, h.src_ip)
+JOIN windows USING (window_id)""",
+)
+def alerts_to_blocks(spark, sf):
+    """Alerts to documents, some of them in several parts, read back as the block policy takes them: each alert once."""
+    config = DetectConfig(threshold=B.THRESHOLD, window_files=B.N_FILES)
+    placed = ordered_position(B.flows(spark, sf), ["event_id"], ["file"], name="row_pos")
+    placed = placed.withColumn("row_pos", F.col("row_pos") - 1)
+    files = W.file_table(placed)
+    found = D.hits(placed, config)
+    alerts = D.alerts_from(W.window_groups(found, files, B.N_FILES), W.window_table(files, B.N_FILES), config)
+    targets = W.window_targets(found, files, B.N_FILES, "row_pos")
+    path = scratch_path(spark, "alerts")
+    writers.write_alerts(writers.alert_documents(alerts, W.flow_index(found, files, B.N_FILES), targets, part_rows=3), path)
+    taken = to_block_alerts(readers.read_alerts(spark, path))
+    return taken.select("alert_id", "ip", text_ts("ts").alias("alert_ts"), "confidence", "total_flows", "alert_file")
+
+
+MIXED = {"Src IP": "src_ip", "Dst Port": "dst_port", "Protocol": "protocol", "Flow Duration": "duration", "Tot Fwd Pkts": "event_id"}
+
+
+@query(
+    "mixed_headers",
+    B.with_(B.FLOWS)
+    + """SELECT event_id, src_ip, CASE WHEN event_id % 3 = 1 THEN 0 ELSE dst_port END AS dst_port, protocol, duration,
+  CASE WHEN event_id % 3 = 2 THEN 'more' END AS extra FROM flows""",
+)
+def mixed_headers(spark, sf):
+    """Flow files with three headers: another order, a column that is absent, and one that is not known."""
+    f = B.flows(spark, sf)
+    path = scratch_path(spark, "mixed")
+    names = list(MIXED)
+    orders = [names, [n for n in reversed(names) if n != "Dst Port"], ["Extra", *names[2:], *names[:2]]]
+    for part, order in enumerate(orders):
+        rows = f.filter(F.col("event_id") % 3 == part).withColumn("more", F.lit("more"))
+        writers.write_flow_csv(rows.select(*[F.col(MIXED.get(n, "more")).alias(n) for n in order]), f"{path}/{part}")
+    back = readers.read_flows(spark, f"{path}/*")
+    event = F.col("`Tot Fwd Pkts`").cast("bigint").alias("event_id")
+    return back.select(event, "src_ip", "dst_port", "protocol", "duration", F.col("Extra").alias("extra"))
+
+
+@query(
+    "two_sensors",
+    B.with_(B.FLOWS)
+    + """, named AS (SELECT event_id % 2 AS sensor, file, count(*) AS flow_count FROM flows GROUP BY 1, 2),
+seq AS (SELECT *, row_number() OVER (ORDER BY file, sensor) AS file_seq FROM named)
+SELECT sensor, file, file_seq, flow_count FROM seq""",
+)
+def two_sensors(spark, sf):
+    """Files of two sensors with the same base names stay apart: the full path is their identity."""
+    f = B.flows(spark, sf).withColumn("sensor", F.col("event_id") % 2)
+    full = F.concat(F.lit("/sensor"), F.col("sensor").cast("string"), F.lit("/"), F.col("file"))
+    files = W.file_table(f.withColumn("file", full))
+    sensor = F.substring("file", 8, 1).cast("bigint").alias("sensor")
+    return files.select(sensor, F.element_at(F.split("file", "/"), -1).alias("file"), "file_seq", "flow_count")
+
+
+@query(
+    "iat_regular",
+    f"""WITH t AS (SELECT event_id % 7 AS k, event_id, event_id * 60000000 + event_id * 7919 % 11 AS us FROM events),
+g AS (SELECT k, us - lag(us) OVER (PARTITION BY k ORDER BY event_id) AS gap FROM t)
+SELECT k, count(*) AS events, {sql_round('avg(gap)', 3)} AS mean_us, {sql_round('stddev_samp(gap)', 3)} AS std_us,
+  CAST(max(gap) AS DOUBLE) AS max_us, CAST(min(gap) AS DOUBLE) AS min_us FROM g GROUP BY k""",
+)
+def iat_regular(spark, sf):
+    """Gaps of seven minutes that differ by microseconds: their small deviation is not lost."""
+    e = table(spark, sf, "events").select("event_id", (F.col("event_id") % 7).alias("k"))
+    timed = e.withColumn("ts", F.timestamp_micros(F.col("event_id") * 60_000_000 + F.col("event_id") * 7919 % 11))
+    stats = N.iat_stats(timed, ["k"], "ts")
+    micro = [rounded(F.col(f"iat_{a}") * 1e6, 3).alias(f"{b}_us") for a, b in (("mean", "mean"), ("std", "std"), ("max", "max"), ("min", "min"))]
+    return stats.select("k", "events", *micro)
+
+
+@query(
+    "state_and_history",
+    """WITH e AS (SELECT user_id, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY user_id)
+SELECT '10.0.0.' || user_id AS ip, CASE WHEN user_id % 2 = 0 THEN b ELSE a END AS attempt_count, CAST(1 AS BIGINT) AS history_rows FROM e WHERE user_id % 5 <> 0""",
+)
+def state_and_history(spark, sf):
+    """State saved, read back, upserted and closed; history of a batch written twice counts once."""
+    users = _events(spark, sf).groupBy("user_id").agg(F.min("event_id").alias("a"), F.max("event_id").alias("b"))
+    ip = F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("ip")
+    root = scratch_path(spark, "state")
+    schema = "ip string, attempt_count bigint"
+    writers.save_state(users.select(ip, F.col("a").alias("attempt_count")), root, 1)
+    state = writers.load_state(spark, root, 1, schema)
+    changed = writers.upsert_state(state, users.filter("user_id % 2 = 0").select(ip, F.col("b").alias("attempt_count")))
+    writers.save_state(changed, root, 2)
+    gone = users.filter("user_id % 5 = 0").select(ip)
+    left = writers.close_blocks(writers.load_state(spark, root, 2, schema), gone)
+    history = left.select("ip", F.lit("202401").alias("month"))
+    for _ in range(2):
+        writers.append_history(history, f"{root}/history", "run-1")
+    rows = readers.read_table(spark, f"{root}/history", "ip string, month string").groupBy("ip").agg(F.count(F.lit(1)).alias("history_rows"))
+    return left.join(rows, "ip").select("ip", "attempt_count", "history_rows")
+
+
+@query("whitelist_file", "SELECT c_name AS entry, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS reason FROM customer")
+def whitelist_file(spark, sf):
+    """A whitelist document written as one JSON object and read back; an absent file is an empty list."""
+    c = table(spark, sf, "customer")
+    reason = F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))
+    # A whitelist is one document by its format.
+    line = F.concat(F.expr("substring(to_json(array(c_name)), 2, length(to_json(array(c_name))) - 2)"), F.lit(": "), F.to_json(F.struct(reason.alias("reason"))))
+    path = scratch_path(spark, "whitelist")
+    body = c.agg(F.array_join(F.collect_list(line), ",\n").alias("b")).select(F.concat(F.lit("{"), "b", F.lit("}")).alias("value"))
+    body.coalesce(1).write.text(path)
+    found = readers.read_whitelist(spark, path).unionByName(readers.read_whitelist(spark, f"{path}-absent"))
+    return found.select("entry", "reason")
+
+
+@query(
+    "left_window_files",
+    B.with_(B.FLOWS, B.FILES) + f"SELECT file FROM files WHERE file_seq <= (SELECT max(file_seq) FROM files) - {B.N_FILES}",
+)
+def left_window_files(spark, sf):
+    """Processed files that the newest window no longer holds."""
+    files = W.file_table(B.flows(spark, sf))
+    newest = files.agg(F.max("file_seq").alias("top"))
+    window = files.filter(F.col("file_seq") > newest.scalar() - B.N_FILES)
+    return I.left_window(files, window)
+
+
+@query(
+    "text_lines",
+    """SELECT item_id, len(l) AS n_lines, array_to_string(l, chr(10)) AS lines
+FROM (SELECT item_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM benchmark)""",
+)
+def text_lines(spark, sf):
+    """Alias text to its entries and back."""
+    items = table(spark, sf, "benchmark").withColumn("l", lines_to_list("text"))
+    return items.select("item_id", F.size("l").cast("bigint").alias("n_lines"), list_to_lines("l").alias("lines"))

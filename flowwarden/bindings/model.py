@@ -11,6 +11,7 @@ from flowwarden.operators import sampling as P
 from flowwarden.operators import smote as O
 from flowwarden.operators.forest import score, train_forest
 from flowwarden.schema import ForestConfig
+from flowwarden.session import durable
 
 
 @query("class_distribution", "SELECT quality, count(*) AS n FROM labels GROUP BY quality")
@@ -119,7 +120,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour_
 )
 def minority_neighbours(spark, sf):
     minority = table(spark, sf, "embeddings").filter(F.col("label") == MINORITY)
-    near = O.nearest_neighbours(minority, "vec_id", "embedding", k=5)
+    near = O.nearest_neighbours(minority, "vec_id", "embedding", k=5, block_rows=64)
     return near.select("id", "neighbour_id", rounded("distance", 4).alias("distance"), "rank")
 
 
@@ -141,13 +142,42 @@ def smote_counts(spark, sf):
     )
 
 
-@query("forest_scores")
+@query(
+    "smote_rows",
+    f"""WITH c AS (SELECT count(*) FILTER (WHERE label = {MINORITY}) AS few, count(*) FILTER (WHERE label <> {MINORITY}) AS many FROM embeddings)
+SELECT greatest(many - few, 0) AS synthetic, greatest(many - few, 0) AS on_segment FROM c""",
+)
+def smote_rows(spark, sf):
+    """Synthetic rows, and those that lie on the segment between their two parents."""
+    grown = O.smote(_labelled_vectors(spark, sf), "vec_id", "embedding", "target", block_rows=16, parents=True)
+    line = F.zip_with("base", "other", lambda a, b: a + F.col("u") * (b - a))
+    off = F.aggregate(F.zip_with("embedding", line, lambda x, y: F.abs(x - y)), F.lit(0.0), lambda a, x: F.greatest(a, x))
+    fine = (off < 1e-9) & F.col("u").between(0, 1)
+    return grown.agg(F.count_if("synthetic").alias("synthetic"), F.count_if(F.col("synthetic") & fine).alias("on_segment"))
+
+
+@query(
+    "forest_scores",
+    f"""SELECT vec_id, CAST(label = {MINORITY} AS INTEGER) AS target,
+  CASE WHEN rn <= floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS split, true AS p_in_range, true AS pred_fits_p, true AS beats_majority
+FROM (SELECT *, row_number() OVER (PARTITION BY label = {MINORITY} ORDER BY vec_id * 7919 % 10007, vec_id) AS rn,
+             count(*) OVER (PARTITION BY label = {MINORITY}) AS n FROM embeddings)""",
+)
 def forest_scores(spark, sf):
-    """Class and probability of the forest, trained on the split's train part, for every row."""
+    """Split and checks of the forest's scores for every row: probability, class, and accuracy on the test part."""
     vectors = _labelled_vectors(spark, sf)
-    parts = P.stratified_split(vectors, "target", "vec_id")
-    wide = parts.select("vec_id", "target", "split", *[F.col("embedding")[i].alias(f"f{i}") for i in range(64)]).cache()
-    features = [f"f{i}" for i in range(64)]
+    parts = P.stratified_split(vectors, "target", "vec_id", mix=F.col("vec_id") * 7919 % 10007, span=10007)
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    features = [f"f{i}" for i in range(width)]
+    wide = durable(parts.select("vec_id", "target", "split", *[F.col("embedding")[i].alias(f) for i, f in enumerate(features)]))
     train = P.with_class_weight(wide.filter(F.col("split") == "train"), "target")
     model = train_forest(train, features, weight="weight", config=ForestConfig())
-    return score(model, wide).select("vec_id", "target", "split", rounded("p", 6).alias("p"), "pred")
+    scored = durable(score(model, wide).select("vec_id", "target", "split", "p", "pred"))
+    test = scored.filter(F.col("split") == "test")
+    share = F.avg((F.col("pred") == F.col("target")).cast("double"))
+    majority = F.greatest(F.avg("target"), 1 - F.avg("target"))
+    better = test.agg((share >= majority).alias("beats_majority"))
+    fits = F.col("pred").cast("int") == (F.col("p") > 0.5).cast("int")
+    return scored.select(
+        "vec_id", F.col("target").cast("int").alias("target"), "split", F.col("p").between(0, 1).alias("p_in_range"), fits.alias("pred_fits_p")
+    ).withColumn("beats_majority", better.scalar())

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from flowwarden.bindings import base as B
 from flowwarden.bindings.blocking import STATE_COLUMNS, _state
 from flowwarden.bindings.detection import CONFIG, _alerts_sql, _flat_alerts
-from flowwarden.bindings.registry import query
+from flowwarden.bindings.registry import query, sql_ts, text_ts
+from flowwarden.operators import detect as D
 from flowwarden.session import scratch_path
 from flowwarden.sources import readers
 from flowwarden.streaming import block_stream as BS
 from flowwarden.streaming import detect_stream as DS
 
-INSTALMENTS = ("2024-01-16", "2024-02-01")
+SPLIT = "2024-01-16"  # the second instalment holds all that is not before, whatever its date
 
 
 @contextmanager
@@ -32,11 +33,9 @@ def _few_partitions(spark):
 
 
 def _instalments(df):
-    start = F.lit("2000-01-01").cast("timestamp")
-    for end in INSTALMENTS:
-        stop = F.lit(end).cast("timestamp")
-        yield df.filter((F.col("ts") >= start) & (F.col("ts") < stop))
-        start = stop
+    early = F.coalesce(F.col("ts") < F.lit(SPLIT).cast("timestamp"), F.lit(False))
+    yield df.filter(early)
+    yield df.filter(~early)
 
 
 @query("stream_rolling_alerts", _alerts_sql(B.SLOTS))
@@ -74,3 +73,24 @@ def stream_blocks(spark, sf):
             BS.block_stream(slices, out, os.path.join(root, "c2"), id_type="bigint").awaitTermination()
     episodes = BS.episodes_from_actions(spark.read.parquet(out)).withColumn("status", F.lit(""))
     return episodes.select("episode", *_state(episodes)).drop("status")
+
+
+@query(
+    "stream_time_windows",
+    B.with_(B.FLOWS, B.HITS)
+    + f"""SELECT {sql_ts("time_bucket(INTERVAL 6 HOURS, ts)")} AS window_start, src_ip, count(*) AS total_flows FROM hits
+WHERE time_bucket(INTERVAL 6 HOURS, ts) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM hits) GROUP BY 1, 2""",
+)
+def stream_time_windows(spark, sf):
+    """Windows of event time on a stream: those that the watermark has closed are final."""
+    root = scratch_path(spark, "windows")
+    inbox, out, mark = (os.path.join(root, x) for x in ("inbox", "out", "checkpoint"))
+    hits = D.hits(B.flows(spark, sf), CONFIG).select("ts", "src_ip", "p")
+    hits.write.parquet(inbox)
+    with _few_partitions(spark):
+        stream = spark.readStream.schema(hits.schema).parquet(inbox)
+        found = DS.time_window_stream(stream, "ts", "6 hours", "0 seconds").select("window", "src_ip", "flows")
+        writer = found.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    closed = spark.read.schema(found.schema).parquet(out)
+    return closed.select(text_ts("window.start").alias("window_start"), "src_ip", F.col("flows").alias("total_flows"))

@@ -25,7 +25,12 @@ ALERT_COLUMNS = ["ip", "ts", "alert_id", "confidence", "total_flows", "alert_fil
 
 
 def to_block_alerts(documents: DataFrame) -> DataFrame:
-    """Alert documents -> the flat columns the block policy works on."""
+    """Alert documents -> the flat columns the block policy works on.
+
+    A long alert comes in several documents (`part` 0, 1, ...) with the same totals; it counts once.
+    """
+    if "part" in documents.columns:
+        documents = documents.filter(F.coalesce("part", F.lit(0)) == 0)
     file = F.col("alert_file") if "alert_file" in documents.columns else F.lit("unknown")
     return documents.select(
         F.col("attacker_ip").alias("ip"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,15 +46,13 @@ def align_features(df: DataFrame, keep: Sequence[str] = (), canonical: bool = Fa
     return df.select(*projected)
 
 
-def validate_schema(df: DataFrame, expected: Sequence[str] = CANONICAL) -> tuple[bool, str]:
-    """Compare column names with the expected ones, position by position (no job runs)."""
-    have = df.columns
-    if len(have) != len(expected):
-        return False, f"Expected {len(expected)} columns, got {len(have)}"
-    for i, (want, got) in enumerate(zip(expected, have)):
-        if want != got:
-            return False, f"Column mismatch at position {i}: expected '{want}', got '{got}'"
-    return True, "Validation successful"
+def validate_schema(df: DataFrame, expected: Sequence[str] = CANONICAL) -> list[tuple[int, str | None, str | None]]:
+    """(place, expected name, found name) wherever the column names differ; empty if they agree (no job runs).
+
+    A name that is missing at the end of either list is None.
+    """
+    pairs = zip_longest(expected, df.columns)
+    return [(place, want, found) for place, (want, found) in enumerate(pairs) if want != found]
 
 
 def feature_columns(df: DataFrame | None = None, label: str = LABEL) -> list[str]:

@@ -32,6 +32,7 @@ def train_forest(
         minInstancesPerNode=config.min_leaf,
         maxBins=config.max_bins,
         seed=config.seed,
+        maxMemoryInMB=1024,  # more nodes in each pass over the rows
     )
     if weight:
         forest = forest.setWeightCol(weight)

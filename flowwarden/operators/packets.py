@@ -24,13 +24,20 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
+WHOLE = "decimal(38,0)"
+
+
+def _square(c: Column) -> Column:
+    return (c.cast("decimal(19,0)") * c.cast("decimal(19,0)")).cast(WHOLE)
+
+
 def _gap_aggs(gap: Column, name: str) -> list[Column]:
-    """Mergeable summary of gaps (nulls are no gaps)."""
-    g = gap.cast("double")
+    """Mergeable summary of whole numbers such as gaps (nulls are no gaps); sums are exact."""
+    g = gap.cast("bigint")
     return [
         F.count(g).alias(f"{name}_n"),
-        F.coalesce(F.sum(g), F.lit(0.0)).alias(f"{name}_s"),
-        F.coalesce(F.sum(g * g), F.lit(0.0)).alias(f"{name}_q"),
+        F.coalesce(F.sum(g.cast("decimal(19,0)")), F.lit(0)).cast(WHOLE).alias(f"{name}_s"),
+        F.coalesce(F.sum(_square(g)), F.lit(0)).cast(WHOLE).alias(f"{name}_q"),
         F.max(g).alias(f"{name}_max"),
         F.min(g).alias(f"{name}_min"),
     ]
@@ -38,30 +45,36 @@ def _gap_aggs(gap: Column, name: str) -> list[Column]:
 
 def _gap_merge(name: str, boundary: Column) -> list[Column]:
     """Merge slice summaries in order, adding the gap in front of each slice."""
-    b = boundary.cast("double")
-    extra = F.coalesce(b, F.lit(0.0))
+    b = boundary.cast("bigint")
+    extra = F.coalesce(b, F.lit(0))
     return [
         F.sum(F.col(f"{name}_n") + b.isNotNull().cast("bigint")).alias(f"{name}_n"),
-        F.sum(F.col(f"{name}_s") + extra).alias(f"{name}_s"),
-        F.sum(F.col(f"{name}_q") + extra * extra).alias(f"{name}_q"),
+        F.sum(F.col(f"{name}_s") + extra.cast("decimal(19,0)")).cast(WHOLE).alias(f"{name}_s"),
+        F.sum(F.col(f"{name}_q") + _square(extra)).cast(WHOLE).alias(f"{name}_q"),
         F.max(F.greatest(F.col(f"{name}_max"), b)).alias(f"{name}_max"),
         F.min(F.least(F.col(f"{name}_min"), b)).alias(f"{name}_min"),
     ]
 
 
 def _mean(name: str) -> Column:
-    return F.coalesce(F.try_divide(F.col(f"{name}_s"), F.col(f"{name}_n").cast("double")), F.lit(0.0))
+    total, n = F.col(f"{name}_s").cast("double"), F.col(f"{name}_n").cast("double")
+    return F.coalesce(F.try_divide(total, n), F.lit(0.0))
 
 
 def _variance(name: str) -> Column:
-    """Sample variance from count, sum and sum of squares; 0 below two values."""
-    n = F.col(f"{name}_n").cast("double")
-    spread = F.col(f"{name}_q") - F.try_divide(F.col(f"{name}_s") * F.col(f"{name}_s"), n)
-    return F.coalesce(F.try_divide(F.greatest(spread, F.lit(0.0)), F.nullif(n - 1, F.lit(0.0))), F.lit(0.0))
+    """Sample variance from count, sum and sum of squares; 0 below two values.
+
+    All three are whole and n * q - s * s is exact, so regular gaps keep their small deviation.
+    """
+    n = F.col(f"{name}_n")
+    total, squares = F.col(f"{name}_s").cast(WHOLE), F.col(f"{name}_q").cast(WHOLE)
+    spread = ((n.cast("decimal(19,0)") * squares).cast(WHOLE) - (total * total).cast(WHOLE)).cast("double")
+    pairs = n.cast("double") * (n.cast("double") - 1)
+    return F.coalesce(F.try_divide(spread, F.nullif(pairs, F.lit(0.0))), F.lit(0.0))
 
 
 def _zero(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(0.0)).cast("double")
+    return F.coalesce(F.col(c), F.lit(0)).cast("double")
 
 
 def time_slices(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: float, sums: Sequence[str] = ()) -> DataFrame:
@@ -147,18 +160,14 @@ def _packet_slices(packets: DataFrame, width: int) -> DataFrame:
     def flag(bit: int) -> Column:
         return (F.col("tcp_flags").bitwiseAND(bit) != 0)
 
-    payload = F.col("payload_length").cast("double")
+    payload = F.col("payload_length").cast("bigint")
     ends = F.struct("_t", "side", "src_ip", "src_port", "dst_ip", "dst_port")
     aggs = [
         F.count(F.lit(1)).alias("n"),
         F.min("_t").alias("first"),
         F.max("_t").alias("last"),
         F.min(ends).alias("opening"),
-        F.count(payload).alias("len_n"),
-        F.sum(payload).alias("len_s"),
-        F.sum(payload * payload).alias("len_q"),
-        F.max(payload).alias("len_max"),
-        F.min(payload).alias("len_min"),
+        *_gap_aggs(payload, "len"),
         F.count_if(F.col("_g") > SECOND).alias("pauses"),
         *_gap_aggs(F.col("_g"), "iat"),
     ]
@@ -168,11 +177,7 @@ def _packet_slices(packets: DataFrame, width: int) -> DataFrame:
         aggs += [
             F.min(on(s, "_t")).alias(f"first_{s}"),
             F.max(on(s, "_t")).alias(f"last_{s}"),
-            F.count(on(s, payload)).alias(f"len_{s}_n"),
-            F.coalesce(F.sum(on(s, payload)), F.lit(0.0)).alias(f"len_{s}_s"),
-            F.coalesce(F.sum(on(s, payload * payload)), F.lit(0.0)).alias(f"len_{s}_q"),
-            F.max(on(s, payload)).alias(f"len_{s}_max"),
-            F.min(on(s, payload)).alias(f"len_{s}_min"),
+            *_gap_aggs(on(s, payload), f"len_{s}"),
             F.coalesce(F.sum(on(s, "header_length")), F.lit(0)).alias(f"head_{s}"),
             F.min(on(s, "header_length")).alias(f"seg_{s}"),
             F.count_if((F.col("side") == s) & flag(PSH)).alias(f"psh_{s}"),
@@ -328,7 +333,7 @@ def _flow_columns(flows: DataFrame) -> DataFrame:
         number(F.col("cwr")).alias("CWE Flag Count"),
         number(F.col("ece")).alias("ECE Flag Cnt"),
         F.coalesce(F.try_divide(F.col("lb_n").cast("double"), F.col("lf_n").cast("double")), F.lit(0.0)).alias("Down/Up Ratio"),
-        F.try_divide(F.col("len_s"), F.col("n").cast("double")).alias("Pkt Size Avg"),
+        F.try_divide(F.col("len_s").cast("double"), F.col("n").cast("double")).alias("Pkt Size Avg"),
         _mean("lf").alias("Fwd Seg Size Avg"),
         _mean("lb").alias("Bwd Seg Size Avg"),
         *[F.lit(0.0).alias(f"{d} {c} Avg") for d in ("Fwd", "Bwd") for c in ("Byts/b", "Pkts/b", "Blk Rate")],

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowwarden.operators.positions import ordered_position
-
-MAX_STRATA = 10_000
 CELLS = 4096
 HASH_SPAN = 1 << 40
 
@@ -44,14 +41,9 @@ def stratified_split(
     cuts = cuts.filter(F.col("upto") > F.col("quota")).groupBy(label).agg(
         F.min("_cell").alias("cut"), F.min_by(F.col("quota") - F.col("upto") + F.col("n"), "_cell").alias("left")
     )
-    found = cuts.limit(MAX_STRATA + 1).collect()
-    if len(found) > MAX_STRATA:
-        return _split_by_position(df, mixed, label, key, test)
-
-    # A label whose quota is all of its rows has no cut.
-    strata = df.sparkSession.createDataFrame([tuple(r) for r in found], cuts.schema)
-    known = strata.withColumnRenamed(label, "_label")
-    joined = celled.join(F.broadcast(known), F.col(label).eqNullSafe(F.col("_label")), "left")
+    # A label whose quota is all of its rows has no cut.  Execution broadcasts the cuts if they are few.
+    known = cuts.withColumnRenamed(label, "_label")
+    joined = celled.join(known, F.col(label).eqNullSafe(F.col("_label")), "left")
     at_cut = F.coalesce(F.col("_cell") == F.col("cut"), F.lit(False))
     sure = F.when(F.coalesce(F.col("_cell") < F.col("cut"), F.lit(True)), "test").otherwise("train")
     decided = joined.filter(~at_cut).select(*df.columns, sure.alias("split"))
@@ -61,15 +53,6 @@ def stratified_split(
     return decided.unionByName(close.select(*df.columns, drawn.alias("split")))
 
 
-def _split_by_position(df: DataFrame, mixed: DataFrame, label: str, key: str, test: float) -> DataFrame:
-    """The same split for any number of labels: exact positions, and label sizes joined on."""
-    placed = ordered_position(mixed, ["_mix", key], [label], name="_place")
-    sizes = placed.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    joined = placed.join(sizes.withColumnRenamed(label, "_label"), F.col(label).eqNullSafe(F.col("_label")))
-    quota = F.floor(F.col("_n") * F.lit(test) + 0.5)
-    return joined.select(*df.columns, F.when(F.col("_place") <= quota, "test").otherwise("train").alias("split"))
-
-
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (classes * n_class) per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

@@ -1,11 +1,11 @@
 """Minority oversampling by interpolation between near neighbours.
 
-The neighbour search is exact.  Points are cut into blocks along their distance to a pivot; by
-the triangle inequality a block whose range is further away than a point's current k-th distance
-cannot hold one of its neighbours.  A first pass inside each block bounds that distance, a second
-pass visits the blocks that are left.  Work is grouped by (query block, target block), so a task
-holds two blocks at most, and k rows per point and block are emitted, never all pairs.  Exact
-copies are collapsed before the search and expanded after it.
+The neighbour search is exact.  Points are cut into blocks along their distance to a pivot; a block
+whose range is further away than a point's k-th distance inside its own block cannot hold one of its neighbours.
+Work is grouped by (query block, target block), so a task holds two blocks, and k rows per point and
+block are emitted.  In many dimensions the pivot rules few blocks out, so the work grows nearly with
+the square of the rows; oversampling therefore draws from a bounded number of them.  Exact copies
+are collapsed before the search and expanded after it.
 """
 
 from __future__ import annotations
@@ -16,27 +16,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowwarden.operators.positions import ordered_position
-from flowwarden.operators.sampling import hash_mix
+from flowwarden.operators.sampling import HASH_SPAN, hash_mix
 from flowwarden.session import durable
 
 BLOCK_ROWS = 2048
-MAX_BLOCKS = 50_000
+#: Default bound of the minority rows that oversampling draws from.
+FIT_ROWS = 100_000
 STEP = 32  # query rows per distance matrix
 
 
 def _nearest(query: pd.DataFrame, data: pd.DataFrame, k: int):
-    """For each query row: positions and distances of its k nearest data rows, itself excluded."""
-    points = np.stack(data["vec"].to_numpy()) if len(data) else np.empty((0, 1))
-    ids = data["vid"].to_numpy()
-    for start in range(0, len(query), STEP):
-        part = query.iloc[start : start + STEP]
-        gaps = np.stack(part["vec"].to_numpy())[:, None, :] - points[None, :, :]
-        dist = np.sqrt((gaps * gaps).sum(axis=2))
-        dist[part["vid"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        for row in range(len(part)):
-            order = np.lexsort((ids, dist[row]))[:k]
-            order = order[np.isfinite(dist[row][order])]
-            yield part.iloc[row], ids[order], dist[row][order]
+    """For each query row: ids and distances of its k nearest data rows, itself excluded, ties by id."""
+    own, ids = query["vid"].to_numpy(), data["vid"].to_numpy()
+    by_id = np.argsort(ids, kind="stable")  # columns in order of id, so a stable sort breaks ties
+    ids = ids[by_id]
+    if not len(ids):
+        for _ in own:
+            yield ids, np.empty(0)
+        return
+    points = np.stack(data["vec"].to_numpy())[by_id]
+    wanted = np.stack(query["vec"].to_numpy())
+    last = min(k, len(ids)) - 1
+    for start in range(0, len(own), STEP):
+        gaps = wanted[start : start + STEP, None, :] - points[None, :, :]
+        dist = np.sqrt(np.einsum("ijk,ijk->ij", gaps, gaps))
+        dist[own[start : start + STEP, None] == ids[None, :]] = np.inf
+        reach = np.partition(dist, last, axis=1)[:, last]
+        row, at = np.nonzero((dist <= reach[:, None]) & np.isfinite(dist))
+        order = np.lexsort((at, dist[row, at], row))
+        row, at = row[order], at[order]
+        cuts = np.searchsorted(row, np.arange(len(dist) + 1))
+        for r in range(len(dist)):
+            best = at[cuts[r] : cuts[r + 1]][:k]
+            yield ids[best], dist[r, best]
 
 
 def _distinct_vectors(points: DataFrame, k: int) -> DataFrame:
@@ -61,17 +73,21 @@ def _blocked(vectors: DataFrame, block_rows: int) -> tuple[DataFrame, list[float
         F.zip_with("vec", pivot, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x
     )
     projected = vectors.withColumn("proj", F.sqrt(square))
-    blocks = max(1, min(MAX_BLOCKS, n // block_rows))
+    blocks = max(1, n // block_rows)
     placed = ordered_position(projected, ["proj", "vid"], name="place")
     block = F.floor((F.col("place") - 1) * F.lit(blocks) / F.lit(n)).cast("bigint")
     placed = placed.withColumn("block", block)
     ranges = placed.groupBy("block").agg(F.min("proj").alias("lo"), F.max("proj").alias("hi"))
-    bounds = ranges.orderBy("block").collect()  # at most MAX_BLOCKS rows
+    bounds = ranges.orderBy("block").collect()  # two numbers a block; oversampling bounds the rows
     return placed.drop("place"), [r["lo"] for r in bounds], [r["hi"] for r in bounds]
 
 
 def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, neighbour_id, distance, rank) of the k nearest other rows, ties by id.  Exact."""
+    """(id, neighbour_id, distance, rank) of the k nearest other rows, ties by id.  Exact.
+
+    Blocks that the pivot rules out are few in many dimensions, so the work is close to all pairs (in blocks, k
+    rows kept for each point and block).  It is meant for inputs of bounded size; `smote` bounds its own.
+    """
     points = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     vectors = durable(_distinct_vectors(points, k))
     placed, lows, highs = _blocked(vectors, max(block_rows, k + 1))
@@ -79,15 +95,12 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     lo, hi = np.array(lows), np.array(highs)
 
     def reach(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for q, ids, dist in _nearest(pdf, pdf, k):
-            radius = dist[k - 1] if len(dist) >= k else np.inf
-            # The spare margin covers rounding in `proj`.
-            margin = radius * (1 + 1e-9) + 1e-9
-            first = int(np.searchsorted(hi, q["proj"] - margin, side="left"))
-            last = int(np.searchsorted(lo, q["proj"] + margin, side="right")) - 1
-            rows.append((q["vid"], q["vec"], q["block"], first, last))
-        return pd.DataFrame(rows, columns=["vid", "vec", "qblock", "first", "last"])
+        radius = np.array([dist[k - 1] if len(dist) >= k else np.inf for _, dist in _nearest(pdf, pdf, k)])
+        # The spare margin covers rounding in `proj`.
+        margin, proj = radius * (1 + 1e-9) + 1e-9, pdf["proj"].to_numpy()
+        first = np.searchsorted(hi, proj - margin, side="left")
+        last = np.searchsorted(lo, proj + margin, side="right") - 1
+        return pd.DataFrame({"vid": pdf["vid"], "vec": pdf["vec"], "qblock": pdf["block"], "first": first, "last": last})
 
     vid = dict(df.dtypes)[key]
     bounded = placed.groupBy("block").applyInPandas(
@@ -98,9 +111,8 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     targets = placed.join(pairs, F.col("block") == F.col("tb")).select("vid", "vec", "tq", "tb")
 
     def search(q: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        rows = [
-            (row["vid"], other, d) for row, ids, dist in _nearest(q, data, k) for other, d in zip(ids, dist)
-        ]
+        found = zip(q["vid"], _nearest(q, data, k), strict=True)
+        rows = [(vid, other, d) for vid, (ids, dist) in found for other, d in zip(ids, dist, strict=True)]
         return pd.DataFrame(rows, columns=["vid", "other", "distance"])
 
     found = (
@@ -135,22 +147,33 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
 
 
 def smote(
-    df: DataFrame, key: str, vector: str, label: str, minority: int = 1, k: int = 5, seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    df: DataFrame, key: str, vector: str, label: str, minority: int | None = None, k: int = 5, seed: int = 42,
+    block_rows: int = BLOCK_ROWS, fit_rows: int = FIT_ROWS, parents: bool = False,
 ) -> DataFrame:
     """Rows of `df` (`vector`, `label`, `synthetic`) plus interpolated minority rows up to parity.
 
+    The minority is the class with fewer rows unless one is named.  Synthetic rows serve to fit a classifier, so base
+    rows and neighbours come from about `fit_rows` minority rows at most, chosen by a hash of the key; all rows of
+    `df` are returned.  With `parents` each synthetic row carries the vectors it lies between, and its fraction.
     Every base row gets an equal share of the draws.  Neighbour and fraction come from a hash of
     (id, draw), so the result does not depend on partitioning or retries.
     """
-    sizes = {r["minor"]: r["n"] for r in df.groupBy((F.col(label) == minority).alias("minor"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
-    few, many = sizes.get(True, 0), sizes.get(False, 0)
+    sizes = {r[label]: r["n"] for r in df.filter(F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if minority is None:
+        minority = min((0, 1), key=lambda c: (sizes.get(c, 0), -c))
+    few, many = sizes.get(minority, 0), sizes.get(1 - minority, 0)
     original = df.select(F.col(vector).cast("array<double>").alias(vector), label, F.lit(False).alias("synthetic"))
+    if parents:
+        original = original.withColumns({c: F.lit(None).cast(t) for c, t in (("base", "array<double>"), ("other", "array<double>"), ("u", "double"))})
     missing = many - few
     if few < 2 or missing <= 0:
         return original
     base = df.filter(F.col(label) == minority)
+    if few > fit_rows:
+        base = durable(base.filter(hash_mix(key, seed=seed + 2) < int(HASH_SPAN * fit_rows / few)))
+        few = base.count()
+        if few < 2:
+            return original
     share, rest = divmod(missing, few)
     picked = base.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     picked = picked.withColumn("_mix", hash_mix("id", seed=seed))
@@ -170,6 +193,7 @@ def smote(
     made = each.join(vectors, "other")
     mixed = F.zip_with("vec", "ovec", lambda a, b: a + F.col("u") * (b - a))
     fresh = made.select(
-        mixed.alias(vector), F.lit(minority).cast(dict(df.dtypes)[label]).alias(label), F.lit(True).alias("synthetic")
+        mixed.alias(vector), F.lit(minority).cast(dict(df.dtypes)[label]).alias(label), F.lit(True).alias("synthetic"),
+        *([F.col("vec").alias("base"), F.col("ovec").alias("other"), "u"] if parents else []),
     )
     return original.unionByName(fresh)

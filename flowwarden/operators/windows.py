@@ -37,6 +37,8 @@ def file_sequence(files: DataFrame, file: str = "file") -> DataFrame:
 def file_table(flows: DataFrame, files: DataFrame | None = None, file: str = "file") -> DataFrame:
     """One row per file: name, capture time, sequence number, flow count.
 
+    `file` is whatever tells files apart, such as the full path; only windows show base names.
+
     Pass the listing as `files` where files without rows have to take a window slot.
     """
     counted = flows.groupBy(file).agg(F.count(F.lit(1)).alias("flow_count"))
@@ -68,7 +70,7 @@ def window_table(files: DataFrame, n: int, mode: str = "rolling", file: str = "f
     spread = files.withColumn("window_id", F.explode(window_ids(mode, n)))
     rows = F.array_sort(F.collect_list(F.struct("file_seq", file)))  # at most n files
     grouped = spread.groupBy("window_id").agg(
-        F.transform(rows, lambda r: r[file]).alias("source_csvs"),
+        F.transform(rows, lambda r: S.base_name(r[file])).alias("source_csvs"),
         F.count(F.lit(1)).alias("n_files"),
         F.sum("flow_count").alias("total_flows"),
         F.max("capture_ts").alias("window_ts"),

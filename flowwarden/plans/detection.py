@@ -13,6 +13,7 @@ from flowwarden.operators import windows as W
 from flowwarden.operators.features import align_features
 from flowwarden.operators.forest import score
 from flowwarden.schema import DetectConfig
+from flowwarden.session import durable
 from flowwarden.sources import writers
 
 IDENTITY_COLUMNS = ["src_ip", "dst_ip", "src_port", "dst_port", "protocol", "flow_ts", "duration", "file"]
@@ -26,7 +27,7 @@ def score_flows(model: PipelineModel, flows: DataFrame, keep: tuple[str, ...] =
 
 @dataclass
 class Detection:
-    """Lazy results of one detection run."""
+    """Results of one detection run, from hits and counts that are written already."""
 
     files: DataFrame
     windows: DataFrame
@@ -41,12 +42,16 @@ def detect(
     scored: DataFrame, config: DetectConfig = DetectConfig(), files: DataFrame | None = None, dedupe: bool = False
 ) -> Detection:
     """Hits, windows, alerts and statistics.  `files` lists all capture files where some hold no rows;
-    `dedupe` keeps, per rolling window, the attackers with hits in its newest file."""
+    `dedupe` keeps, per rolling window, the attackers with hits in its newest file.
+
+    Flows are scored once: hits, and counts per file, are written to the shared folder, and everything else
+    is built from those (so jobs run here).
+    """
     n, mode = config.window_files, config.window_mode
-    found = D.hits(scored, config)
-    table = W.file_table(scored, files)
+    found = durable(D.hits(scored, config))
+    table = durable(W.file_table(scored, files))
     windows = W.window_table(table, n, mode)
-    per_file = D.partials(found, ["file", "src_ip"])
+    per_file = durable(D.partials(found, ["file", "src_ip"]))
     groups = W.rolling_file_window(per_file, table, n, ["src_ip"], mode)
     if dedupe and mode == "rolling":
         groups = W.fresh_attackers(groups, per_file, table)

@@ -38,12 +38,16 @@ def train(
 ) -> Training:
     """Split by label, keep the two labels, oversample the train part, fit, evaluate on the rest.
 
-    `key` identifies a row.  Without oversampling the classes are weighted instead.
+    `key` identifies a row.  Without oversampling the classes are weighted instead.  The forest is fitted on about
+    `config.fit_rows` rows of the train part at most, chosen by a hash of the key; evaluation covers all of the rest.
     """
     features = list(features)
     parts = P.stratified_split(labelled, label, key, seed=config.seed)
-    ready = training_frame(parts, features, label, keep=[key, "split"])
+    ready = durable(training_frame(parts, features, label, keep=[key, "split"]))
     fit_rows = ready.filter(F.col("split") == "train").drop("split")
+    size = fit_rows.count()
+    if size > config.fit_rows:
+        fit_rows = fit_rows.filter(P.hash_mix(key, seed=config.seed + 3) < int(P.HASH_SPAN * config.fit_rows / size))
     weight = None
     if oversample:
         packed = fit_rows.select(key, F.array(*[quoted(f) for f in features]).alias("vec"), "target")
@@ -55,7 +59,7 @@ def train(
     model = train_forest(fit_rows, features, "target", weight, config)
     if path:
         save_model(model, path)
-    held_out = score(model, ready.filter(F.col("split") == "test"))
+    held_out = durable(score(model, ready.filter(F.col("split") == "test")).select("target", "pred", "p"))
     train_scored = score(model, fit_rows)
     return Training(
         model=model,

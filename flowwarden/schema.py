@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -170,6 +170,7 @@ class ForestConfig:
     min_leaf: int = 2
     max_bins: int = 128
     seed: int = 42
+    fit_rows: int = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -178,12 +179,6 @@ class RetryConfig:
     max_attempts: int = 5
 
 
-@dataclass(frozen=True)
-class RetentionConfig:
-    minutes: int = 30
-    globs: tuple[str, ...] = field(default=("*.pcap", "*.csv"))
-
-
 CONFIDENCE_TYPE = T.StructType(
     [
         T.StructField("average", T.DoubleType()),
@@ -227,6 +222,8 @@ ALERT_SCHEMA = T.StructType(
         T.StructField("flows", T.ArrayType(ALERT_FLOW_TYPE)),
         T.StructField("source_csvs", T.ArrayType(T.StringType())),
         T.StructField("targets", T.ArrayType(TARGET_TYPE)),
+        T.StructField("part", T.IntegerType()),
+        T.StructField("alert_file", T.StringType()),
     ]
 )
 
@@ -241,10 +238,6 @@ HISTORY_SCHEMA = (
     "ip string, blocked_at timestamp, unblocked_at timestamp, tier string, "
     "confidence_avg double, total_flows bigint, attempts bigint, month string"
 )
-QUEUE_SCHEMA = (
-    "ip string, tier string, alias string, confidence double, flows bigint, alert_file string, "
-    "blocked_at timestamp, attempts int, last_attempt timestamp, next_retry timestamp"
-)
 INVENTORY_SCHEMA = "path string, length bigint, modificationTime timestamp"
 PACKET_SCHEMA = (
     "ts timestamp, src_ip string, src_port int, dst_ip string, dst_port int, protocol int, "

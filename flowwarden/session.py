@@ -1,4 +1,4 @@
-"""Session helpers: durable materialisation and size-checked broadcasts."""
+"""Session helpers: durable materialisation and small constant tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Largest side that is broadcast without asking the optimiser (rows of a few dozen bytes).
 BROADCAST_ROWS = 100_000
@@ -45,18 +44,6 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when `df` holds at most `max_rows` rows; reads no more than it needs to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check; a larger side is left to a shuffled join."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
-
-
-
-
 def local_column(spark: SparkSession, name: str, values: list) -> DataFrame:
     """A small constant table that the optimiser knows as such (no job, no Python worker)."""
     kind = pa.int64() if values and isinstance(values[0], int) else pa.string()

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowwarden.operators.features import quoted, with_identity
-from flowwarden.schema import ALERT_SCHEMA, CANONICAL, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
+from flowwarden.schema import ALERT_SCHEMA, CANONICAL, FEATURE_MAP, IDENTITY, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
 
 
 def _with_file(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("file"))
+    """The full path tells files apart; sensors may use the same base names."""
+    return df.select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def read_header(spark: SparkSession, path: str) -> list[str]:
@@ -22,25 +25,70 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return [name for name in first["value"].split(",")] if first else []
 
 
-def read_flows(spark: SparkSession, path: str, header: list[str] | None = None, glob: str = "*.csv") -> DataFrame:
-    """Flow files as text columns, with typed identity columns and the file name.
+def header_groups(spark: SparkSession, path: str, glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line, read in one pass over the lines.
 
-    Columns are read as text and cast later: a numeric CSV schema would turn `inf` into null.
+    A header is a file's line that holds a name of the flow format; a file without such a line has no rows
+    that could be told apart and is left out.  Paths are collected, as every file source does.
     """
-    schema = raw_flow_schema(header)
-    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", glob)
-    return with_identity(_with_file(reader.csv(path)))
+    lines = spark.read.option("pathGlobFilter", glob).text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    names = {source for source, *_ in IDENTITY} | {source for source, _ in FEATURE_MAP}
+    known = F.exists(F.split("value", ","), lambda c: F.trim(c).isin(*sorted(names)))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.filter(known).distinct().collect():
+        groups.setdefault(tuple(row["value"].split(",")), []).append(unquote(row["path"]))
+    return groups
+
+
+def read_flows(
+    spark: SparkSession,
+    path: str,
+    header: list[str] | None = None,
+    glob: str = "*.csv",
+    required: Sequence[str] = (),
+    position: bool = False,
+) -> DataFrame:
+    """Flow files as text columns, with typed identity columns and `file`, the full path.
+
+    Columns are read as text and cast later: a numeric CSV schema would turn `inf` into null.  Each file is
+    read by its own header and columns are matched by name; a column that some files lack is null there.  With `header`
+    all files must have that header, in that order, and no pass is needed to find it; another one is an error.
+    `required` columns must be in every file.  `position` adds `row_pos`, the 0-based place in the file.
+    """
+    if header is not None:
+        groups = {tuple(header): [path]}
+    else:
+        groups = header_groups(spark, path, glob)
+    for names in groups:
+        if absent := set(required) - set(names):
+            raise ValueError(f"files without the columns {sorted(absent)}: {groups[names][:3]}")
+    parts = []
+    for names, paths in sorted(groups.items()) or [((), [])]:
+        if not paths:
+            return with_identity(_empty(spark, position))
+        reader = spark.read.schema(raw_flow_schema(list(names))).option("header", True).option("enforceSchema", False)
+        part = reader.option("pathGlobFilter", glob).csv(paths)
+        parts.append(with_row_position(part) if position else _with_file(part))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return with_identity(out)
+
+
+def _empty(spark: SparkSession, position: bool) -> DataFrame:
+    fields = [*raw_flow_schema().fields, T.StructField("file", T.StringType())]
+    return spark.createDataFrame([], T.StructType(fields + [T.StructField("row_pos", T.LongType())] * position))
 
 
 def with_row_position(flows: DataFrame) -> DataFrame:
-    """Add `row_pos`, the 0-based position of a row in its file.
+    """Add `file` (the full path) and `row_pos`, the 0-based position of a row in its file.
 
     Rows are ranked inside the file block they were read from, which bounds a group by the block
     size; the counts of a file's earlier blocks give the offset.  Call it right on the reader.
     """
     placed = flows.select(
         "*",
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
@@ -57,7 +105,7 @@ def with_row_position(flows: DataFrame) -> DataFrame:
 def read_labelled(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Labelled training files, all of which have to exist, concatenated.
 
-    The header repeats a name, so columns are taken by position.
+    The header repeats a name, so columns are taken by position, and the header must be the known one.
     """
     schema = ", ".join(f"`{name}` string" for name in INTERNAL)
     parts = []
@@ -66,6 +114,8 @@ def read_labelled(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             part = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
         except AnalysisException as missing:
             raise FileNotFoundError(f"required training file not found: {path}") from missing
+        if read_header(spark, path) != labelled_header():
+            raise ValueError(f"the header of {path} is not that of a labelled training file")
         parts.append(part)
     out = parts[0]
     for part in parts[1:]:
@@ -78,11 +128,25 @@ def labelled_header() -> list[str]:
     return [c if c != " Fwd Header Length.1" else " Fwd Header Length" for c in CANONICAL]
 
 
-def read_alerts(spark: SparkSession, path: str, multi_line: bool = True, glob: str = "*.json") -> DataFrame:
-    """Alert documents, one per file (or one per line), with their file name as `alert_file`."""
-    reader = spark.read.schema(ALERT_SCHEMA).option("multiLine", multi_line).option("pathGlobFilter", glob)
-    docs = reader.option("recursiveFileLookup", True).json(path)
-    return docs.select("*", F.col("_metadata.file_name").alias("alert_file"))
+def _alert_rows(docs: DataFrame) -> DataFrame:
+    """Alerts of whole JSON texts: an indented document, or one document a line; bad texts give no row.
+
+    A document that carries its own `alert_file` keeps it; else it is named after the file that holds it.
+    """
+    one = F.from_json("value", ALERT_SCHEMA)
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    each = F.transform(lines, lambda x: F.from_json(x, ALERT_SCHEMA))
+    by_line = F.forall(lines, lambda x: F.trim(x).startswith("{") & F.rtrim(x).endswith("}"))
+    docs = docs.select(F.explode(F.when(by_line, each).otherwise(F.array(one))).alias("doc"), F.col("_metadata.file_name").alias("_name"))
+    named = F.coalesce("alert_file", "_name").alias("alert_file")
+    rows = docs.select("doc.*", "_name").filter(F.coalesce("alert_id", "attacker_ip").isNotNull())
+    return rows.select(*[c for c in ALERT_SCHEMA.names if c != "alert_file"], named)
+
+
+def read_alerts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """Alert documents with their `alert_file`: files hold one indented document, or one document a line."""
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    return _alert_rows(reader.text(path, wholetext=True))
 
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
@@ -111,14 +175,18 @@ def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
 def stream_flows(
     spark: SparkSession,
     path: str,
-    header: list[str] | None = None,
+    header: list[str],
     files_per_batch: int = 100,
     archive: str | None = None,
 ) -> DataFrame:
-    """New flow files of a folder; files that are there at the first start are taken as well."""
+    """New flow files of a folder; files that are there at the first start are taken as well.
+
+    A stream has one schema, so all files must have `header`, in that order; another one is an error.
+    """
     reader = (
         spark.readStream.schema(raw_flow_schema(header))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
     )
@@ -127,16 +195,14 @@ def stream_flows(
     return with_identity(_with_file(reader.csv(path)))
 
 
-def stream_alerts(
-    spark: SparkSession, path: str, multi_line: bool = True, files_per_batch: int = 1000, archive: str | None = None
-) -> DataFrame:
-    """New alert documents of a folder."""
+def stream_alerts(spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:
+    """New alert documents of a folder, in the format that `read_alerts` takes."""
     reader = (
-        spark.readStream.schema(ALERT_SCHEMA)
-        .option("multiLine", multi_line)
+        spark.readStream.format("text")
+        .option("wholetext", True)
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.json(path).select("*", F.col("_metadata.file_name").alias("alert_file"))
+    return _alert_rows(reader.load(path))

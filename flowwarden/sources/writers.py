@@ -11,6 +11,7 @@ from flowwarden.functions import scalars as S
 from flowwarden.sources.readers import read_table
 
 PART_ROWS = 10_000
+FILE_DOCS = 500
 
 
 def alert_documents(alerts: DataFrame, alert_flows: DataFrame, alert_targets: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
@@ -73,7 +74,10 @@ def stats_documents(stats: DataFrame, attackers: DataFrame, part_rows: int = PAR
 
 
 def write_alerts(documents: DataFrame, path: str) -> None:
-    """One JSON line per document, in a folder per window; writing a window again replaces it."""
+    """One JSON document a line, in a folder per window; writing a window again replaces it.
+
+    A file has a bounded number of documents, since the reader takes whole files.
+    """
     _replace_windows(documents, path)
 
 
@@ -82,13 +86,16 @@ def write_stats(documents: DataFrame, path: str) -> None:
 
 
 def _replace_windows(documents: DataFrame, path: str) -> None:
-    writer = documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Rows of a window come together first, so files follow windows, not tasks; execution splits a large one.
+    together = documents.hint("rebalance", "window_id")
+    writer = together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_DOCS)
     writer.partitionBy("window_id").json(path)
 
 
-def append_history(history: DataFrame, path: str) -> None:
-    """Append closed blocks below the month in which they ended."""
-    history.write.mode("append").partitionBy("month").parquet(path)
+def append_history(history: DataFrame, path: str, batch: str) -> None:
+    """Closed blocks below the month in which they ended; writing a batch again replaces what it wrote."""
+    writer = history.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("month", "batch").parquet(path)
 
 
 def save_state(blocks: DataFrame, path: str, version: int) -> str:

@@ -35,9 +35,3 @@ def test_durable_table_keeps_values_and_types(spark):
     kept = session.durable(df)
     assert kept.dtypes == df.dtypes
     assert sorted(kept.collect()) == sorted(kept.collect()) and kept.count() == 10
-
-
-def test_small_enough_reads_no_more_than_it_needs(spark):
-    assert session.small_enough(spark.range(5), 5) and not session.small_enough(spark.range(6), 5)
-    plan = session.broadcast_if_small(spark.range(3), 5).join(spark.range(9), "id")._jdf.queryExecution().toString()
-    assert "broadcast" in plan.lower()

@@ -34,7 +34,7 @@ def test_flow_file_with_infinities(spark, tmp_path):
     put(str(tmp_path / "in"), "notes.txt", "ignored")
     assert Rd.read_header(spark, path) == header.split(",")
     flows = Rd.read_flows(spark, str(tmp_path / "in"), header=header.split(","))
-    got = [(r["src_ip"], r["src_port"], r["dst_port"], r["file"]) for r in flows.orderBy("Flow ID").collect()]
+    got = [(r["src_ip"], r["src_port"], r["dst_port"], os.path.basename(r["file"])) for r in flows.orderBy("Flow ID").collect()]
     assert got == [("1.1.1.1", 50000, 22, name), ("1.1.1.1", 0, 22, name), ("unknown", 1, 80, name)]
     aligned = align_features(flows)
     assert aligned.filter(F.col("flow_bytes_per_s") == float("inf")).count() == 1
@@ -44,6 +44,40 @@ def test_flow_file_with_infinities(spark, tmp_path):
     assert rows(pos.select("Flow ID", "row_pos")) == [("x", 0), ("y", 1), ("z", 2)]
 
 
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put(folder, "capture_20250101_000000.pcap_Flow.csv", "Src IP,Dst Port,Flow Duration,Extra\n1.1.1.1,22,80,x\n1.1.1.2,23,81,y\n")
+    put(folder, "capture_20250101_000100.pcap_Flow.csv", "Flow Duration,Src IP,Dst Port\n90,2.2.2.2,24\n")
+    put(os.path.join(folder, "other"), "capture_20250101_000100.pcap_Flow.csv", "Dst Port,Src IP\n25,3.3.3.3\n")
+    put(folder, "empty.csv", "")
+    flows = Rd.read_flows(spark, f"{folder}/{{*.csv,other/*.csv}}", position=True)
+    got = flows.select("src_ip", "dst_port", "duration", "row_pos", "Extra")
+    assert rows(got) == sorted([("1.1.1.1", 22, 80.0, 0, "x"), ("1.1.1.2", 23, 81.0, 1, "y"), ("2.2.2.2", 24, 90.0, 0, None), ("3.3.3.3", 25, 0.0, 0, None)], key=repr)
+    # Two sensors' files of one name are two files, shown by their base names.
+    files = W.file_table(flows)
+    assert sorted(r["flow_count"] for r in files.collect()) == [1, 1, 2]
+    last = W.window_table(files, 3).orderBy("window_id").collect()[-1]
+    assert last["source_csvs"][1:] == ["capture_20250101_000100.pcap_Flow.csv"] * 2
+    with pytest.raises(ValueError, match="Flow Duration"):
+        Rd.read_flows(spark, f"{folder}/{{*.csv,other/*.csv}}", required=["Flow Duration"])
+    with pytest.raises(Exception, match="(?i)header"):
+        Rd.read_flows(spark, folder, header=["Dst Port", "Src IP", "Flow Duration", "Extra"]).collect()
+    assert Rd.read_flows(spark, put(str(tmp_path), "none.csv", ""), position=True).count() == 0
+
+
+def test_a_long_alert_counts_once(spark, tmp_path):
+    from flowwarden.operators.blocks import to_block_alerts
+
+    run = _run(spark)
+    detail, targets = W.flow_index(run.hits, run.files, 2), W.window_targets(run.hits, run.files, 2, "row_pos")
+    path = str(tmp_path / "alerts")
+    Wr.write_alerts(Wr.alert_documents(run.alerts, detail, targets, 2), path)
+    back = Rd.read_alerts(spark, path)
+    assert back.count() > run.alerts.count()
+    want = rows(run.alerts.select("alert_id", "attacker_ip", "total_flows", "alert_file"))
+    assert rows(to_block_alerts(back).select("alert_id", "ip", "total_flows", "alert_file")) == want
+
+
 def test_labelled_files(spark, tmp_path):
     header = ",".join(Rd.labelled_header())
     assert len(Rd.labelled_header()) == 79 and header.count(" Fwd Header Length,") == 2
@@ -52,6 +86,8 @@ def test_labelled_files(spark, tmp_path):
     df = Rd.read_labelled(spark, [a, b])
     assert df.columns == list(schema.INTERNAL) and sorted(r["label"] for r in df.collect()) == ["BENIGN", "SSH-Patator"]
     assert df.first()["fwd_header_length_1"] == 7.0
+    with pytest.raises(ValueError, match="header"):
+        Rd.read_labelled(spark, [put(str(tmp_path), "odd.csv", header.replace(" Label", "Label") + "\n" + row)])
     with pytest.raises(FileNotFoundError):
         Rd.read_labelled(spark, [a, str(tmp_path / "wed.csv")])
 
@@ -108,7 +144,7 @@ def test_writing_a_window_again_replaces_it(spark, tmp_path):
     a, s = str(tmp_path / "alerts"), str(tmp_path / "stats")
     for _ in range(2):
         write_documents(run, a, s, DetectConfig(window_files=2))
-    assert Rd.read_alerts(spark, a, multi_line=False).count() == run.alerts.count()
+    assert Rd.read_alerts(spark, a).count() == run.alerts.count()
     assert spark.read.json(s).count() == run.stats.count()
 
 
@@ -125,9 +161,9 @@ def test_state_history_and_tables(spark, tmp_path):
     assert Wr.close_blocks(grown, change.limit(1)).count() == 1
     history = spark.createDataFrame([("1.1.1.1", now, now + timedelta(hours=2), "30min", 0.7, 1, 1, "202502")], HISTORY_SCHEMA)
     for _ in range(2):
-        Wr.append_history(history, str(tmp_path / "history"))
+        Wr.append_history(history, str(tmp_path / "history"), "run-1")
     back = Rd.read_table(spark, str(tmp_path / "history"), HISTORY_SCHEMA)
-    assert back.filter("month = '202502'").count() == 2
+    assert back.filter("month = '202502'").count() == 1
     Wr.write_counters(spark.range(1), str(tmp_path / "counters"))
     assert spark.read.json(str(tmp_path / "counters")).count() == 1
 
