@@ -28,6 +28,9 @@ def sf(spark, tmp_path_factory):
     rng = random.Random(12)
     items = [(i, sentence(rng, rng.randint(20, 40))) for i in range(5)]
     rows = corpus(60) + odd() + [(2000 + i, sentence(rng, 60) + " " + items[i][1] + " " + sentence(rng, 60), "aa", "s1", 0) for i in range(5)]
+    # Near copies on one line each: line dedup leaves them, so the stage after it has something to drop.
+    long = sentence(rng, 100).split(" ")
+    rows += [(3000 + i, " ".join([*long[:50], f"other{i}", *long[51:]]), "aa", "s2", 0) for i in range(3)]
     folder = str(tmp_path_factory.mktemp("sf"))
     frame(spark, rows).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -56,7 +59,7 @@ def test_each_stage_on_what_the_one_before_kept(spark, sf):
     before, after = out["near_copies"]
     kept = {d for d, _, _, k in test_minhash.brute([tuple(r) for r in before], 5, 80) if k}
     assert {r["doc_id"] for r in after} - {None} == kept - {None}
-    assert len(after) < len(before)
+    assert len(after) == len(before) - 2
     before, after = out["leaks"]
 
     def leaks(text):
