@@ -8,7 +8,8 @@ is verified by the exact weighted similarity of the two bags of shingles (sum of
 of larger multiplicities), which alone decides.
 
 Windows with too few benchmark shingles to reach the similarity with any item get no fingerprint;
-that gate loses nothing.  At a similarity of 0.8 fingerprints differ by about 10 bits, with a
+that gate loses nothing.  A text with fewer shingles than an item is itself the one window: the items that share
+shingles with it are counted exactly, without a fingerprint.  At a similarity of 0.8 fingerprints differ by about 10 bits, with a
 deviation of 3, so a radius of 22 misses such a pair with a probability of about 1 in 50,000, and
 closer copies less often.
 
@@ -80,6 +81,14 @@ class Items:
                 self.short[n][int(own[0])].append(i)
         self.short = {n: dict(v) for n, v in self.short.items()}
         self.known = np.unique(np.concatenate(known)) if known else np.empty(0, np.uint64)
+        # Items of each shingle, in order of the shingles' hashes, for texts shorter than an item.
+        self.n_shingles = np.array([int(times.sum()) for _, times in self.bags], np.int64)
+        full = np.flatnonzero(count >= K).tolist()
+        held = np.concatenate([self.bags[i][0] for i in full]) if full else np.empty(0, np.uint64)
+        order = np.argsort(held, kind="stable")
+        self.held = held[order]
+        self.holder = np.repeat(np.array(full, np.int32), [len(self.bags[i][0]) for i in full])[order]
+        self.held_times = (np.concatenate([self.bags[i][1] for i in full]) if full else np.empty(0, np.int64)).astype(np.int32)[order]
         self.gate = np.zeros(1 << 20, bool)  # a bit for the top of each known hash, before the search
         self.gate[(self.known >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = {m: np.array(v) for m, v in sorted(self.sizes.items())}
@@ -111,6 +120,18 @@ class Items:
         close = np.bitwise_count(found[w] ^ self.prints[items[place]]) <= RADIUS
         return w[close], items[place[close]]
 
+    def longer(self, text: np.ndarray) -> Iterator[tuple[int, float]]:
+        """(item, similarity) of the items that have more shingles than the whole text and are near enough to it."""
+        have, times = np.unique(text, return_counts=True)
+        low, high = np.searchsorted(self.held, have, "left"), np.searchsorted(self.held, have, "right")
+        n = high - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(self.holder[at], np.minimum(np.repeat(times, n), self.held_times[at])).astype(np.int64)
+        for item in np.flatnonzero(both).tolist():
+            o, m = int(both[item]), int(self.n_shingles[item])
+            if m > len(text) and 100 * o >= PERCENT * (len(text) + m - o):
+                yield item, o / (len(text) + m - o)
+
     def similarity(self, window: np.ndarray, item: int) -> float:
         have, times = np.unique(window, return_counts=True)
         want, wanted = self.bags[item]
@@ -162,6 +183,9 @@ def _long(items: Items, hasher: Hasher, hashes: np.ndarray, words: Words) -> Ite
         a, b = int(first[row]), int(first[row + 1])
         seen = np.concatenate([[0], np.cumsum(hit[a:b])])
         best: dict[int, tuple[float, int]] = {}
+        # At most b - a shingles are shared with an item of more than b - a.
+        if n_hits >= -(-PERCENT * (2 * (b - a) + 1) // (100 + PERCENT)):
+            best = {i: (score, 0) for i, score in items.longer(shingles[a:b])}
         for m in items.sizes:
             # Shared shingles o of two bags of m: o / (2 m - o) >= PERCENT / 100.
             need = -(-2 * PERCENT * m // (100 + PERCENT))
@@ -196,7 +220,8 @@ def contaminations(
     """(id, item_id, similarity, first_word, n_words): each item that a row's text holds, at its best window.
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased.  An item of
-    fewer than five words is found where its whole sequence stands.  Null and empty texts and items
+    fewer than five words is found where its whole sequence stands.  A text with fewer shingles than an item is
+    compared whole, from its first word; `n_words` is always the item's number of words.  Null and empty texts and items
     are never found; repeated rows are found each; of equal windows the first counts.  Nulls in
     other columns change nothing; items without an id are ignored, documents without one have a null id.
     """

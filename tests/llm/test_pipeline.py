@@ -77,6 +77,15 @@ def test_each_stage_on_what_the_one_before_kept(spark, sf):
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in after) == sorted((str(r["doc_id"]), len(encoder.texts([r["text"]])[0]) // 4) for r in before)
 
 
+def test_texts_that_are_shorter_than_an_item_leak(spark, sf):
+    folder, items = sf
+    texts = test_scans.truncated(items) + [sentence(random.Random(3), 25)]
+    docs = frame(spark, [(i, t, "aa", "s1", len(t)) for i, t in enumerate(texts)])
+    want = [i for i, t in enumerate(texts) if all(test_scans.best_similarity(t, item) < 0.8 for _, item in items)]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.leaks(spark, docs, folder).collect()) == want
+    assert len(want) < len(texts) - 30
+
+
 def test_run_equals_the_stages(spark, sf):
     docs = spark.read.parquet(f"{sf[0]}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:

@@ -130,6 +130,45 @@ def test_decontamination(spark):
     assert decontam.contaminations(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def truncated(items, cuts=(1, 2, 3, 5, 8)):
+    """Texts that are an item without some words at one end or both."""
+    out = []
+    for _, item in items:
+        w = item.split(" ")
+        out += [" ".join(part) for n in cuts for part in (w[n:], w[:-n], w[n : len(w) - 1]) if part]
+    return out
+
+
+def best_similarity(text, item):
+    """Best of an item's windows; a text with fewer words than the item is its one window."""
+    w, v = plain_words(text), plain_words(item)
+    tries = range(max(1, len(w) - len(v) + 1))
+    return max((bag_similarity(grams(w[at : at + len(v)]), grams(v)) for at in tries), default=0) if w and v else 0
+
+
+def test_texts_shorter_than_an_item(spark):
+    rng = random.Random(18)
+    items = [(i, sentence(rng, n)) for i, n in enumerate((4, 5, 6, 8, 9, 10, 14, 20, 30, 60, 100))]
+    items += [(50, "a b c d e f " * 8 + "end"), (51, items[-1][1] + " and more of it"), (52, None)]
+    texts = truncated(items[:-1]) + [items[8][1].upper() + "!", "a b c d e f " * 7, "", "a b c"]
+    rows = [(i, t, "aa", "s", len(t)) for i, t in enumerate(texts)] + odd()
+    want = {
+        (d, i): round(score, 9)
+        for d, t, *_ in rows
+        for i, item in items
+        if item and len(t or "") < 5000 and (score := best_similarity(t, item)) >= 0.8
+    }
+    shorter = {(d, i) for d, i in want if len(plain_words(rows[d][1])) < len(plain_words(dict(items)[i]))}
+    assert len(shorter) > 60 and len({i for _, i in shorter}) > 8
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.contaminations(frame(spark, rows), bench).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in got} == want and len(got) == len(want)
+    assert all(r["first_word"] == 0 for r in got if (r["doc_id"], r["item_id"]) in shorter)
+    kept = decontam.decontaminate(frame(spark, rows), bench)
+    leaked = {d for d, _ in want}
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((r[0] for r in rows if r[0] not in leaked), key=str)
+
+
 def test_several_passes_find_the_same(spark, monkeypatch):
     bench = spark.createDataFrame([(i, sentence(random.Random(i), 20)) for i in range(8)], "item_id bigint, text string")
     docs = frame(spark, [(i, "x " + sentence(random.Random(i), 20), "aa", "s", 0) for i in range(0, 12, 2)])
