@@ -1,8 +1,8 @@
 """License scanning by ordered signature rules.
 
 Rules are regular expressions over a text's words (lower-cased, joined by one space), built from
-license families, their versions and the forms in which they are named.  A rule runs only where
-its keyword occurs.  Every rule has a priority; a detection that lies within another of higher or equal
+license families, their versions and the forms in which they are named, and hand-written signatures of license
+bodies.  A rule runs only where its keyword occurs, which every match of the rule has.  Every rule has a priority; a detection that lies within another of higher or equal
 priority, or within a longer one of the same license family, is suppressed.
 """
 
@@ -61,14 +61,47 @@ FAMILIES = (
     ("bsd", "bsd license", ("bsd",), ()),
     ("zlib", "zlib(?: libpng)? license", ("zlib",), ()),
     ("unlicense", "the unlicense", ("unlicense",), ()),
-    ("cc0", "(?:creative commons zero|cc0 license)", ("cc0",), ("1.0",)),
+    ("cc0", "creative commons zero", ("cc0",), ("1.0",)),
     ("postgresql", "postgresql licen[cs]e", ("postgresql",), ()),
     ("python", "python software foundation license", ("psf", "python"), ("2.0",)),
     ("openssl", "openssl license", ("openssl",), ()),
 )
 
+#: Further names of a family.
+NAMES = (("cc0", "cc0 license"),)
+
+# Phrases of license bodies and notices: label, family, phrase.
+BODIES = (
+    ("mit", "mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("bsl-1.0", "bsl", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("isc", "isc", "distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd", "bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "bsd-3-clause", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("apache-2.0", "apache", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-2.0", "apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("gpl-1.0", "gpl", "the license agreements of most software companies try to keep users at the mercy of those companies"),
+    ("gpl-2.0", "gpl", "by contrast the gnu general public license is intended to guarantee your freedom to share and change free software"),
+    ("gpl-3.0", "gpl", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "agpl", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl-2.1", "lgpl", "this is the first released version of the lesser gpl it also counts as the successor of the gnu library public license"),
+    ("lgpl-3.0", "lgpl", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("mpl-2.0", "mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1.1", "mpl", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl", "epl", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("ofl-1.1", "ofl", "the goals of the open font license ofl are to stimulate worldwide development of collaborative font projects"),
+    ("zlib", "zlib", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "unlicense", "this is free and unencumbered software released into the public domain"),
+    ("cc0-1.0", "cc0", "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights"),
+    ("cc0-1.0", "cc0", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("postgresql", "postgresql", "distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("python-2.0", "python", "this license agreement is between the python software foundation psf and the individual or organization"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", "php", "this product includes php software freely available from"),
+    ("artistic-1.0", "artistic", "the intent of this document is to state the conditions under which a package may be copied"),
+)
+
 #: Score of the forms, from a bare name to a machine-readable identifier.
-NAMED, VERSIONED, GRANTED, IDENTIFIED = 0.6, 0.75, 0.9, 1.0
+NAMED, VERSIONED, GRANTED, BODY, IDENTIFIED = 0.6, 0.75, 0.9, 0.95, 1.0
 BASE_SCORE = 0.5
 
 
@@ -83,9 +116,10 @@ class Rule:
 
 
 def build_rules() -> list[Rule]:
-    """For each family and version: identifier, grant, versioned name; for each family: grant and bare name.
+    """For each family and version: identifier, grant, versioned name; for each family: grant and bare name; and the bodies.
 
-    The keyword is the longest plain word that every match has.  More exact forms have higher priority.
+    Each short name, and each name, has rules of its own, so that the keyword is in every match: the name's longest
+    plain word, or the short name's first.  More exact forms have higher priority.
     """
     out = []
 
@@ -94,39 +128,71 @@ def build_rules() -> list[Rule]:
 
     later = "(?: or (?:any )?later(?: version)?| only)?"
     grant = "(?:(?:re)?licen[cs]ed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?"
-    for family, name, shorts, versions in FAMILIES:
-        plain = max(re.findall(r"[a-z0-9]{3,}", re.sub(r"\((?:[^()]|\([^()]*\))*\)\??|\[[a-z]+\]", " ", name)) or [shorts[0]], key=len)
-        either = "|".join(shorts)
+    for family, first, shorts, versions in FAMILIES:
+        names = [first, *(n for f, n in NAMES if f == family)]
+        plain = [max(re.findall(r"[a-z0-9]{3,}", re.sub(r"\((?:[^()]|\([^()]*\))*\)\??|\[[a-z]+\]", " ", n)), key=len) for n in names]
         for version in (*versions, None):
             words = version.replace(".", " ") if version else ""
             if version and version.endswith(".0"):
                 words = words[:-2] + "(?: 0)?"
             number = f"(?: licen[cs]e)?(?: version| v)? {words}(?! \\d){later}" if version else ""
+            glued = ""
             if version:
-                number = f"(?:{number}|(?: licen[cs]e)? v{words}(?! \\d){later})"
+                number = f"{number}|(?: licen[cs]e)? v{words}(?! \\d){later}"
+                glued = f"(?:{number}|v{words}(?! \\d){later})"
+                number = f"(?:{number})"
             label = f"{family}-{version}" if version else family
             more = 1 if version else 0
-            rule(label, family, "spdx", 8 + more, IDENTIFIED, f"spdx license identifier (?:{either}){number}")
-            rule(label, family, plain, 6 + more, GRANTED, f"{grant}(?:{name}){number}")
-            if version:
-                rule(label, family, plain, 4, VERSIONED, f"(?:{name}){number}")
-                rule(label, family, shorts[0].split(" ")[0], 3, VERSIONED, f"(?:{either}){number}")
-            rule(label, family, shorts[0].split(" ")[0], 5 + more, GRANTED, f"{grant}(?:{either}){number}")
-        rule(family, family, plain, 2, NAMED, f"(?:{name})")
+            for name, word in zip(names, plain, strict=True):
+                rule(label, family, word, 6 + more, GRANTED, f"{grant}(?:{name}){number}")
+                if version:
+                    rule(label, family, word, 4, VERSIONED, f"(?:{name}){number}")
+            for short in shorts:
+                word = short.split(" ")[0]
+                rule(label, family, "spdx", 8 + more, IDENTIFIED, f"spdx license identifier {short}{glued}")
+                if version:
+                    rule(label, family, word, 3, VERSIONED, f"{short}{glued}")
+                rule(label, family, word, 5 + more, GRANTED, f"{grant}{short}{glued}")
+        for name, word in zip(names, plain, strict=True):
+            rule(family, family, word, 2, NAMED, f"(?:{name})")
         if " " in shorts[0]:
             rule(family, family, shorts[0].split(" ")[0], 1, NAMED, shorts[0])
+    for label, family, phrase in BODIES:
+        rule(label, family, phrase, 8, BODY, phrase)
     return sorted(out, key=lambda r: -r.priority)
 
 
-#: Texts without any of these have no detection; tried on the lower-cased bytes.
+#: Words joined by one space that have none of these, and no phrase of a body, have no detection.
 GATE = re.compile(
-    b"licen[cs]|spdx|creative commons|unlicense|(?<![0-9a-z\\x80-\\xff])(?:"
+    b"licen[cs]|spdx|creative commons|(?<![^ \n])(?:"
     + b"|".join(sorted({s.split(" ")[0].encode() for _, _, shorts, _ in FAMILIES for s in shorts}))
-    + b")(?![0-9a-z\\x80-\\xff])"
+    + b")(?:v[0-9]+)?(?![^ \n])"
 )
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
+def maybe(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> list[int]:
+    """Rows of lower-cased texts whose words, joined by one space, have what the gate or a body asks for."""
+    data = np.insert(data, offsets[:-1], 10)
+    row_start = offsets[:-1] + np.arange(len(offsets) - 1)
+    inside = table[data]
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]  # one byte after each word
+    keep[row_start] = True
+    line = np.where(inside, data, 32).astype(np.uint8)
+    line[row_start] = 10  # no match runs over the end of a row
+    first = (np.cumsum(keep) - 1)[row_start]
+    raw = line[keep].tobytes()
+    at = [m.start() for m in GATE.finditer(raw)]
+    for _, _, phrase in BODIES:
+        want = phrase.encode()
+        place = raw.find(want)
+        while place >= 0:
+            at.append(place)
+            place = raw.find(want, place + 1)
+    return np.unique(np.searchsorted(first, np.array(at, np.int64), "right") - 1).tolist()
+
+
 class Scanner:
     def __init__(self, rules: list[Rule] | None = None):
         self.by_keyword: dict[str, list[Rule]] = {}
@@ -194,11 +260,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
                 data = lower[data]
                 words = Words(data, offsets, table)
                 counts[a : a + len(offsets) - 1] = np.diff(words.first)
-                raw = data.tobytes()
-                for m in GATE.finditer(raw):
-                    row = int(np.searchsorted(offsets, m.start(), "right")) - 1
-                    if a + row not in rows:
-                        rows[a + row] = scanner.scan(raw[offsets[row] : offsets[row + 1]])
+                for row in maybe(data, offsets, table):
+                    rows[a + row] = scanner.scan(data[offsets[row] : offsets[row + 1]].tobytes())
             out = []
             for i in range(batch.num_rows):
                 base, spans = rows.get(i, ((), ()))

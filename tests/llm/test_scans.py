@@ -83,6 +83,65 @@ def test_rules_are_ordered_and_many():
     assert len(rules) > 300 and [r.priority for r in rules] == sorted((r.priority for r in rules), reverse=True)
 
 
+def match_of(tree, rng):
+    """A random match of a parsed rule; what a rule looks at beside its match is left out."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            out += chr(rng.choice([a for o, a in arg if str(o) == "LITERAL"]))
+        elif op == "BRANCH":
+            out += match_of(rng.choice(arg[1]), rng)
+        elif op == "SUBPATTERN":
+            out += match_of(arg[3], rng)
+        elif op == "MAX_REPEAT":
+            out += match_of(arg[2], rng) if rng.random() < 0.5 else ""
+        else:
+            assert op == "ASSERT_NOT"
+    return out
+
+
+def test_the_keyword_and_the_gate_lose_no_match():
+    import numpy as np
+    from re import _parser
+
+    from flowwarden.llm.text import letters_and_digits
+
+    rng = random.Random(4)
+    texts = []
+    for r in license_scan.build_rules():
+        tree = _parser.parse(r.pattern.pattern)
+        for _ in range(40):
+            match = match_of(tree, rng)
+            assert r.pattern.fullmatch(match) and r.keyword in match, (r.label, r.keyword, match)
+            texts.append(rng.choice(["", "\n", "a ", "."]) + match.replace(" ", rng.choice([" ", "\n", "-", " * "])) + rng.choice(["", ".", " z"]))
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    assert license_scan.maybe(data, offsets, letters_and_digits()) == list(range(len(texts)))
+
+
+def test_license_forms_that_were_lost(spark):
+    cases = [
+        ("Licensed under Creative Commons Zero", "cc0"),
+        ("released under Python License 2.0", "python-2.0"),
+        ("Creative\nCommons Attribution", "cc-by"),
+        ("a Creative-Commons Attribution work", "cc-by"),
+        ("GPLv2", "gpl-2.0"),
+        ("under LGPLv2.1 or later", "lgpl-2.1"),
+        ("GNU GPLv3+", "gpl-3.0"),
+        ("# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files", "mit"),
+        ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:", "bsd"),
+        ("This is free and unencumbered software released into the public domain.", "unlicense"),
+        ("we use apache2 and gplvx", ""),
+        ("creative", ""),
+        ("commons attribution", ""),
+    ]
+    out = license_scan.scan(frame(spark, [(i, t, "aa", "s", len(t)) for i, (t, _) in enumerate(cases)]))
+    assert [r["labels"] for r in out.orderBy("doc_id").collect()] == [want for _, want in cases]
+
+
 def bag_similarity(a, b):
     a, b = Counter(a), Counter(b)
     return sum((a & b).values()) / sum((a | b).values())
