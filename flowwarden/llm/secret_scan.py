@@ -1,8 +1,8 @@
 """Secret scanning by patterns and by novelty under a primed compressor.
 
-Fixed patterns find assignments, access keys and long hex runs.  Beyond them, a string of letters and
-digits beside a sensitive word is a candidate.  Its novelty is what it adds to the compressed size of
-the text before it, with a zstandard compressor primed with common identifiers and code: a
+Fixed patterns find assignments, access keys and long hex runs.  Beyond them, a string of letters, digits
+and marks beside a sensitive word is a candidate.  Its novelty is what it adds to the compressed size of
+the text on both sides of it, with a zstandard compressor primed with common identifiers and code: a
 name or a value seen nearby adds little, random characters add nearly their length.
 """
 
@@ -32,10 +32,10 @@ SENSITIVE = (
     "auth", "bearer", "credential", "cookie", "key", "license", "passphrase", "password", "private", "pwd",
     "secret", "session", "signature", "token",
 )
-CANDIDATE = re.compile(
-    rf"""(?:{'|'.join(SENSITIVE)})[A-Za-z0-9_.-]{{0,24}}["']?\x20{{0,4}}(?:[:=]|=>|\x20)\x20{{0,4}}["']?([A-Za-z0-9+/_.=~-]{{16,}})""",
-    re.IGNORECASE | re.ASCII,
-)
+WORD = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
+#: What may follow a sensitive word in its identifier, then any blanks and tabs with or without a separator, then the candidate.
+SUFFIX = re.compile(r"[A-Za-z0-9_.-]*+", re.ASCII)
+CANDIDATE = re.compile(r"""["']?(?:[\x20\t]*+(?:=>|[:=])[\x20\t]*+|[\x20\t]++)["']?([A-Za-z0-9+/_.=~-]{16,})""", re.ASCII)
 
 # What the compressor knows beforehand: names and phrases that are common in code and settings.
 IDENTIFIERS = (
@@ -47,6 +47,7 @@ IDENTIFIERS = (
     "BEGIN RSA PRIVATE KEY END ssh-rsa sha256 sha1 md5 base64 uuid 0123456789 abcdefghijklmnopqrstuvwxyz "
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ change_me your_password_here placeholder example test development production"
 )
+#: Code points before a candidate, and as many after it, that it is measured against.
 CONTEXT = 256
 #: Least share of a candidate's length that it must add to the compressed size.
 NOVELTY = 0.72
@@ -55,7 +56,7 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint,novelty:double>>"
 
 
 class Novelty:
-    """Marginal compressed bytes of a string after its context, by a primed compressor."""
+    """Marginal compressed bytes of a string in its context, by a primed compressor."""
 
     def __init__(self, dictionary: str = IDENTIFIERS, level: int = 12):
         import zstandard
@@ -66,8 +67,23 @@ class Novelty:
             level=level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False
         ).compress
 
-    def share(self, context: str, candidate: str) -> float:
-        return (self.size(context + candidate) - self.size(context)) / max(1, len(candidate))
+    def share(self, before: str, candidate: str, after: str = "") -> float:
+        return (self.size(before + candidate + after) - self.size(before + after)) / max(1, len(candidate))
+
+
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the strings beside identifiers with a sensitive word.
+
+    Each identifier is read once.  One that ends inside a candidate is a part of it and has no other.
+    """
+    done = inside = 0
+    for m in WORD.finditer(text):
+        if m.start() < done:
+            continue
+        done = SUFFIX.match(text, m.end()).end()
+        if done >= inside and (c := CANDIDATE.match(text, done)):
+            inside = c.end()
+            yield c.span(1)
 
 
 def find(text: str, novelty: Novelty) -> list[tuple[int, int, int, float | None]]:
@@ -81,13 +97,12 @@ def find(text: str, novelty: Novelty) -> list[tuple[int, int, int, float | None]
     out += [(m.start(), 2, m.end(), None) for m in HEX.finditer(text)]
     if any(w in low for w in SENSITIVE):
         base = sorted((a, b) for a, _, b, _ in out)
-        for m in CANDIDATE.finditer(text):
-            a, b = m.span(1)
-            word = m[1]
-            mixed = any(c.isdigit() for c in word) + any(c.islower() for c in word) + any(c.isupper() for c in word)
-            if mixed < 2 or not any(c.isdigit() for c in word) or any(x < b and a < y for x, y in base):
+        for a, b in candidates(text):
+            if any(x < b and a < y for x, y in base):
                 continue
-            share = novelty.share(text[max(0, a - CONTEXT) : a], word)
+            # A later copy of the candidate itself does not make it known, else a secret that stands twice were lost.
+            after = text[b : b + CONTEXT + b - a].replace(text[a:b], "")[:CONTEXT]
+            share = novelty.share(text[max(0, a - CONTEXT) : a], text[a:b], after)
             if share >= NOVELTY:
                 out.append((a, 3, b, round(share, 6)))
     return sorted(out, key=lambda s: s[:3])

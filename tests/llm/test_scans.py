@@ -49,6 +49,31 @@ def test_novelty_is_less_for_what_was_seen_before():
     assert novelty.share("", "your_password_here") < 0.5
 
 
+def test_candidates_that_were_cut():
+    novelty = secret_scan.Novelty()
+
+    def novel(text):
+        return [text[a:b] for a, kind, b, _ in secret_scan.find(text, novelty) if secret_scan.KINDS[kind] == "novel"]
+
+    secret = "qL8zX2vN4kP0wR7tY5uJ3hG1fD9sA6mB"
+    for left in ("aws_secret_access_key      = ", "aws_secret_access_key\t=\t", "key" + "_name" * 9 + ": ", "key =>" + " " * 40, "Bearer \t "):
+        assert novel(f"{left}{secret} and more") == [secret], left
+    assert novel("session key qWzXvBnMkLpRtYgHsDfJcE") == ["qWzXvBnMkLpRtYgHsDfJcE"]
+    assert novel("session key qwzxvbnmklprtyghsdfjce") == ["qwzxvbnmklprtyghsdfjce"]
+    # What stands after a candidate counts as well, but not its own copies.
+    name = "Kp7XwZq2VbN9sTgR"
+    assert novel(f"private {name}Fa") == [f"{name}Fa"] and novel(f"private {name}Fa; use {name} for it") == []
+    assert novel(f"key = {secret} and again {secret}") == [secret]
+    # An identifier that ends a string that is not novel still has its own.
+    assert novel(f"secret access_token_name: '{secret}'") == [secret]
+
+
+def test_candidates_take_time_in_proportion():
+    for unit in ("key=", "keykeykey ", "token ", "key\t", "key" + " " * 9):
+        assert len(list(secret_scan.candidates(unit * 50_000))) <= 50_000
+    assert list(secret_scan.candidates("key" + " " * 300_000)) == []
+
+
 LICENSES = [
     "Licensed under the Apache License, Version 2.0; see CC-BY (and cc by-nc 4.0).",
     "SPDX-License-Identifier: GPL-3.0-or-later",
