@@ -343,14 +343,11 @@ def state_and_history(spark, sf):
 
 @query("whitelist_file", "SELECT c_name AS entry, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS reason FROM customer")
 def whitelist_file(spark, sf):
-    """A whitelist document written as one JSON object and read back; an absent file is an empty list."""
+    """A whitelist written as documents of one entry and read back; an absent file is an empty list."""
     c = table(spark, sf, "customer")
     reason = F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))
-    # A whitelist is one document by its format.
-    line = F.concat(F.expr("substring(to_json(array(c_name)), 2, length(to_json(array(c_name))) - 2)"), F.lit(": "), F.to_json(F.struct(reason.alias("reason"))))
     path = scratch_path(spark, "whitelist")
-    body = c.agg(F.array_join(F.collect_list(line), ",\n").alias("b")).select(F.concat(F.lit("{"), "b", F.lit("}")).alias("value"))
-    body.coalesce(1).write.text(path)
+    writers.write_whitelist(c.select(F.col("c_name").alias("entry"), reason.alias("reason")), path)
     found = readers.read_whitelist(spark, path).unionByName(readers.read_whitelist(spark, f"{path}-absent"))
     return found.select("entry", "reason")
 

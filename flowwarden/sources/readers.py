@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,15 +128,20 @@ def labelled_header() -> list[str]:
     return [c if c != " Fwd Header Length.1" else " Fwd Header Length" for c in CANONICAL]
 
 
+def _documents() -> tuple[Column, Column]:
+    """Lines of a whole text that are not blank, and whether each of them is a document."""
+    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    return lines, F.forall(lines, lambda x: F.trim(x).startswith("{") & F.rtrim(x).endswith("}"))
+
+
 def _alert_rows(docs: DataFrame) -> DataFrame:
     """Alerts of whole JSON texts: an indented document, or one document a line; bad texts give no row.
 
     A document that carries its own `alert_file` keeps it; else it is named after the file that holds it.
     """
     one = F.from_json("value", ALERT_SCHEMA)
-    lines = F.filter(F.split("value", "\n"), lambda x: F.trim(x) != "")
+    lines, by_line = _documents()
     each = F.transform(lines, lambda x: F.from_json(x, ALERT_SCHEMA))
-    by_line = F.forall(lines, lambda x: F.trim(x).startswith("{") & F.rtrim(x).endswith("}"))
     docs = docs.select(F.explode(F.when(by_line, each).otherwise(F.array(one))).alias("doc"), F.col("_metadata.file_name").alias("_name"))
     named = F.coalesce("alert_file", "_name").alias("alert_file")
     rows = docs.select("doc.*", "_name").filter(F.coalesce("alert_id", "attacker_ip").isNotNull())
@@ -150,12 +155,17 @@ def read_alerts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFra
 
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of a whitelist document; a missing file is an empty whitelist."""
+    """Entries of a whitelist document, or of all documents in a folder; a missing file is an empty whitelist.
+
+    A file holds one document, indented or not, or one document a line.
+    """
     try:
         text = spark.read.text(path, wholetext=True)
     except AnalysisException:
         return spark.createDataFrame([], "entry string, reason string, added timestamp, added_by string")
-    entries = text.select(F.explode(F.from_json("value", WHITELIST_ENTRY)).alias("entry", "about"))
+    lines, by_line = _documents()
+    each = text.select(F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("value"))
+    entries = each.select(F.explode(F.from_json("value", WHITELIST_ENTRY)).alias("entry", "about"))
     return entries.select(
         "entry",
         F.col("about.reason").alias("reason"),

@@ -12,6 +12,7 @@ from flowwarden.sources.readers import read_table
 
 PART_ROWS = 10_000
 FILE_DOCS = 500
+FILE_ENTRIES = 10_000
 
 
 def alert_documents(alerts: DataFrame, alert_flows: DataFrame, alert_targets: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
@@ -116,6 +117,16 @@ def close_blocks(state: DataFrame, expired: DataFrame) -> DataFrame:
     return state.join(expired.select("ip"), "ip", "left_anti")
 
 
+def write_whitelist(entries: DataFrame, path: str, file_entries: int = FILE_ENTRIES) -> None:
+    """One JSON object with one entry a line, in files of a bounded number of entries; `read_whitelist` reads the folder.
+
+    Columns besides `entry` (`reason`, `added`, `added_by`) are what is known about it; an entry that is null is left out.
+    """
+    about = F.struct(*[F.col(c) for c in entries.columns if c != "entry"])
+    line = F.to_json(F.create_map("entry", about)).alias("value")
+    entries.filter("entry is not null").select(line).write.option("maxRecordsPerFile", file_entries).text(path)
+
+
 def write_counters(counters: DataFrame, path: str) -> None:
     counters.coalesce(1).write.mode("overwrite").json(path)
 

@@ -100,6 +100,20 @@ def test_whitelist_file(spark, tmp_path):
     assert Rd.read_whitelist(spark, str(tmp_path / "none.json")).count() == 0
 
 
+def test_whitelist_in_many_documents(spark, tmp_path):
+    entries = [(f"10.0.{i}.0/24", None if i % 3 else f'r "{i}"\n{{}}') for i in range(40)] + [("10.0.0.0/24", "again"), (None, "x")]
+    df = spark.createDataFrame(entries, "entry string, reason string")
+    path = str(tmp_path / "list")
+    Wr.write_whitelist(df, path, file_entries=4)
+    files = [open(os.path.join(path, n)).read().splitlines() for n in os.listdir(path) if n.startswith("part")]
+    assert len(files) >= 11 and max(map(len, files)) <= 4 and all(len(json.loads(line)) == 1 for f in files for line in f)
+    put(path, "more.json", json.dumps({"1.1.1.1": {"added": "2025-11-03T12:40:00"}, "2.2.2.2": {}}, indent=2))
+    got = Rd.read_whitelist(spark, path)
+    assert rows(got.select("entry", "reason")) == sorted([*entries[:-1], ("1.1.1.1", None), ("2.2.2.2", None)], key=repr)
+    Wr.write_whitelist(df.limit(0), str(tmp_path / "empty"))
+    assert Rd.read_whitelist(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_alert_documents_one_per_file(spark, tmp_path):
     doc = {
         "alert_id": "A", "timestamp": "2025-10-27T15:33:22.123456", "attacker_ip": "1.1.1.1", "attack_type": "SSH_BRUTE_FORCE",
