@@ -183,3 +183,22 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowwarden.llm.quality_rules import judge
 
     return judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and of its edited text, and how alike they and the next text's are."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.order_minhash import edits, written
+
+    out = edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        written(F.col("signature")).alias("fingerprint"),
+        written(F.col("edited_signature")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
