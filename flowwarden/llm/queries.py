@@ -202,3 +202,17 @@ def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the four leading components of the distinct vectors."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.whitening import whiten
+
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), weights="one")
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    return out.select("vec_id", "n", "deviation", "identity_error", parts).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", "part.whitened", "part.explained", "identity_error"
+    )
