@@ -216,3 +216,20 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "n", "deviation", "identity_error", parts).select(
         "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", "part.whitened", "part.explained", "identity_error"
     )
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proof of every document, folded again from texts of which a fifth was tampered with."""
+    from pyspark.sql import functions as F
+
+    from flowwarden.llm.merkle import audit
+
+    docs = table(spark, sf_dir, "documents")
+    lowered = {"text": F.translate("text", UPPER, LOWER)}
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return audit(docs, MANIFEST_FIELDS, lowered, fifth)
