@@ -75,6 +75,41 @@ def _intake(spark, sf):
     return K.alert_intake(alerts, B.whitelist(spark))
 
 
+# Both families for every customer, and a list that grows with them: addresses and networks of many lengths.
+LONG_LIST = f"""c AS (SELECT c_custkey AS k, c_custkey // 256 AS hi, c_custkey % 256 AS lo FROM customer),
+a AS (SELECT k, hi, lo, '10.' || (hi // 256) || '.' || (hi % 256) || '.' || lo AS v4,
+        '2001:db8:0:0:0:0:' || format('{{:x}}', hi) || ':' || format('{{:x}}', lo) AS v6 FROM c),
+wl AS (SELECT CASE WHEN k % 32 = 3 THEN '10.' || (hi // 256) || '.' || (hi % 256) || '.' || (lo - lo % 8) || '/29'
+               WHEN k % 97 = 5 THEN '10.' || (hi // 256) || '.' || (hi % 256) || '.' || (lo - lo % 64) || '/26' WHEN k % 5 = 0 THEN v4 END AS entry FROM a),
+nets AS (SELECT lo, lo + size - 1 AS hi FROM (
+    SELECT {B.ip_number("split_part(entry, '/', 1)")} AS lo, CASE split_part(entry, '/', 2) WHEN '29' THEN 8 WHEN '26' THEN 64 ELSE 1 END AS size FROM wl)),
+six AS (SELECT DISTINCT hi FROM a WHERE k % 1000 = 300)
+SELECT k AS c_custkey, 4 AS family, EXISTS (SELECT 1 FROM nets WHERE {B.ip_number("v4")} BETWEEN nets.lo AND nets.hi) AS whitelisted FROM a
+UNION ALL SELECT k, 6, k % 11 = 0 OR hi IN (SELECT hi FROM six) FROM a"""
+
+
+@query("whitelist_long", "WITH " + LONG_LIST)
+def whitelist_long(spark, sf):
+    """A whitelist of thousands of IPv4 and IPv6 entries against all addresses of both families."""
+    k = F.col("c_custkey")
+    hi, lo = F.floor(k / 256), k % 256
+    def low(c):
+        return F.lower(F.hex(c))
+
+    def v4(last):
+        return F.concat_ws(".", F.lit("10"), F.floor(hi / 256).cast("string"), (hi % 256).cast("string"), last.cast("string"))
+
+    def v6(last):
+        return F.concat(F.lit("2001:db8:0:0:0:0:"), low(hi), F.lit(":"), last)
+
+    keys = table(spark, sf, "customer").select("c_custkey")
+    net4 = F.when(k % 32 == 3, F.concat(v4(lo - lo % 8), F.lit("/29"))).when(k % 97 == 5, F.concat(v4(lo - lo % 64), F.lit("/26"))).when(k % 5 == 0, v4(lo))
+    net6 = F.when(k % 1000 == 300, v6(F.lit("0/112")))
+    entries = keys.select(F.explode(F.array(net4, net6, F.when(k % 11 == 0, v6(low(lo))))).alias("entry"))
+    both = F.inline(F.array(F.struct(F.lit(4).alias("family"), v4(lo).alias("ip")), F.struct(F.lit(6).alias("family"), v6(low(lo)).alias("ip"))))
+    return L.flag_whitelisted(keys.select("c_custkey", both), entries).drop("ip")
+
+
 @query("alert_intake", B.with_(B.FLOWS, B.whitelist_sql(), INTAKE) + "SELECT event_id, ip, confidence, status FROM intake")
 def alert_intake(spark, sf):
     return _intake(spark, sf).select("event_id", "ip", "confidence", "status")

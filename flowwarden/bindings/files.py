@@ -263,28 +263,35 @@ def alerts_to_blocks(spark, sf):
 
 
 MIXED = {"Src IP": "src_ip", "Dst Port": "dst_port", "Protocol": "protocol", "Flow Duration": "duration", "Tot Fwd Pkts": "event_id"}
+MIXED_SQL = B.with_(B.FLOWS) + """SELECT event_id, src_ip, CASE WHEN event_id % 5 = 1 THEN 0 ELSE dst_port END AS dst_port, protocol, duration,
+  CASE WHEN event_id % 5 = 2 THEN CASE WHEN event_id % 3 = 0 THEN 'Protocol' ELSE 'more, or "less"' END END AS extra FROM flows"""
 
 
-@query(
-    "mixed_headers",
-    B.with_(B.FLOWS)
-    + """SELECT event_id, src_ip, CASE WHEN event_id % 3 = 1 THEN 0 ELSE dst_port END AS dst_port, protocol, duration,
-  CASE WHEN event_id % 3 = 2 THEN 'more' END AS extra FROM flows""",
-)
-def mixed_headers(spark, sf):
-    """Flow files with three headers: another order, a column that is absent, and one that is not known."""
-    f = B.flows(spark, sf)
-    path = scratch_path(spark, "mixed")
+def write_mixed(f, path):
+    """Flow files with five headers: another order, a column that is absent, one that is not known (with values that
+    are a name of the format, or hold a comma and quotes), quoted names, and a byte order mark."""
     names = list(MIXED)
-    orders = [names, [n for n in reversed(names) if n != "Dst Port"], ["Extra", *names[2:], *names[:2]]]
+    orders = [names, [n for n in reversed(names) if n != "Dst Port"], ["Extra", *names[2:], *names[:2]], names, names[::-1]]
+    more = F.when(F.col("event_id") % 3 == 0, "Protocol").otherwise('more, or "less"')
     for part, order in enumerate(orders):
-        rows = f.filter(F.col("event_id") % 3 == part).withColumn("more", F.lit("more"))
-        writers.write_flow_csv(rows.select(*[F.col(MIXED.get(n, "more")).alias(n) for n in order]), f"{path}/{part}")
-    back = readers.read_flows(spark, f"{path}/*")
+        rows = f.filter(F.col("event_id") % 5 == part).withColumn("more", more)
+        out = rows.select(*[F.col(MIXED.get(n, "more")).alias(("\ufeff" if part == 4 and not i else "") + n) for i, n in enumerate(order)])
+        out.write.option("header", True).option("quoteAll", part == 3).option("escape", '"').csv(f"{path}/{part}")
+
+
+def mixed_rows(back):
     event = F.col("`Tot Fwd Pkts`").cast("bigint").alias("event_id")
     return back.select(event, "src_ip", "dst_port", "protocol", "duration", F.col("Extra").alias("extra"))
 
 
+@query("mixed_headers", MIXED_SQL)
+def mixed_headers(spark, sf):
+    """Flow files with five headers, each read by its first line."""
+    path = scratch_path(spark, "mixed")
+    write_mixed(B.flows(spark, sf), path)
+    return mixed_rows(readers.read_flows(spark, f"{path}/*"))
+
+
 @query(
     "two_sensors",
     B.with_(B.FLOWS)

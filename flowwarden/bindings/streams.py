@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowwarden.bindings import base as B
 from flowwarden.bindings.blocking import STATE_COLUMNS, _state
 from flowwarden.bindings.detection import CONFIG, _alerts_sql, _flat_alerts
+from flowwarden.bindings.files import MIXED_SQL, mixed_rows, write_mixed
 from flowwarden.bindings.registry import query, sql_ts, text_ts
 from flowwarden.operators import detect as D
 from flowwarden.session import scratch_path
@@ -94,3 +95,58 @@ def stream_time_windows(spark, sf):
         writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     closed = spark.read.schema(found.schema).parquet(out)
     return closed.select(text_ts("window.start").alias("window_start"), "src_ip", F.col("flows").alias("total_flows"))
+
+
+@query("stream_mixed_headers", MIXED_SQL)
+def stream_mixed_headers(spark, sf):
+    """Flow files with five headers as a stream: each is read by its own first line."""
+    root = scratch_path(spark, "mixed-stream")
+    inbox, out, mark = (os.path.join(root, x) for x in ("inbox", "out", "checkpoint"))
+    write_mixed(B.flows(spark, sf), inbox)
+    stream = readers.stream_flows(spark, f"{inbox}/*", extra=["Extra"])
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return mixed_rows(spark.read.schema(stream.schema).parquet(out).filter("is_flow"))
+
+
+# A file at noon of every day with an odd number of flows; it has a header and no rows.
+NOON = """noon AS (SELECT 'capture_' || strftime(day, '%Y%m%d') || '_120000.pcap_Flow.csv' AS file, day + INTERVAL 12 HOURS AS capture_ts, 0 AS flow_count
+  FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) WHERE n % 2 = 1)"""
+ALL_FILES = """files AS (SELECT *, row_number() OVER (ORDER BY file) AS file_seq FROM (
+  SELECT file, any_value(capture_ts) AS capture_ts, count(*) AS flow_count FROM flows GROUP BY file UNION ALL SELECT file, capture_ts, flow_count FROM noon))"""
+
+
+def _stored_stats(target, spark):
+    stats = target.stats(spark)
+    return stats.select(
+        "window_id", F.array_join("source_csvs", ",").alias("source_csvs"), F.size("source_csvs").cast("bigint").alias("n_files"),
+        F.col("total_flows").cast("bigint").alias("total_flows"), F.col("attack_flows").cast("bigint").alias("attack_flows"),
+    )
+
+
+@query(
+    "stream_empty_files",
+    B.with_(B.FLOWS, B.HITS, NOON, ALL_FILES, B.SLOTS, B.WINDOWS)
+    + """SELECT w.window_id, w.source_csvs, w.n_files, w.total_flows, count(h.event_id) AS attack_flows
+FROM windows w JOIN slots s USING (window_id) LEFT JOIN hits h ON h.file = s.file
+GROUP BY w.window_id, w.source_csvs, w.n_files, w.total_flows HAVING count(h.event_id) > 0""",
+)
+def stream_empty_files(spark, sf):
+    """Files of a header only take a slot in the windows of the stream, in two instalments."""
+    root = scratch_path(spark, "empty")
+    inbox, out, mark = (os.path.join(root, x) for x in ("inbox", "out", "checkpoint"))
+    header = {"src_ip": "Src IP", "dst_ip": "Dst IP", "src_port": "Src Port", "dst_port": "Dst Port", "protocol": "Protocol",
+              "flow_ts": "Timestamp", "duration": "Flow Duration", "p": "p"}
+    for part in _instalments(B.flows(spark, sf)):
+        # A folder stands for a capture file, so that each has its name and one file with one header.
+        rows = part.select(*[F.col(k).alias(v) for k, v in header.items()], "file").repartition("file")
+        rows.write.partitionBy("file").option("header", True).mode("append").csv(inbox)
+        days = part.groupBy(F.date_trunc("day", "ts").alias("day")).agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1")
+        noon = F.concat(F.lit("capture_"), F.date_format("day", "yyyyMMdd"), F.lit("_120000.pcap_Flow.csv"))
+        heads = days.select(F.lit(",".join(header.values())).alias("value"), noon.alias("file"))
+        heads.write.partitionBy("file").mode("append").text(inbox)
+        stream = readers.stream_flows(spark, f"{inbox}/*", extra=["p"], glob="part-*")
+        capture = F.regexp_extract("file", "/file=([^/]+)/[^/]*$", 1)
+        scored = stream.withColumn("p", F.col("p").cast("double")).withColumn("file", capture)
+        DS.alert_stream(scored, out, mark, CONFIG).awaitTermination()
+    return _stored_stats(DS.RollingAlerts(out, CONFIG), spark)

@@ -1,14 +1,29 @@
-"""Whitelist tests: exact addresses and networks, as equality joins."""
+"""Whitelist tests: addresses and networks as intervals of sorted keys.
+
+An entry becomes an interval of address keys (fixed-width hex text behind a family mark, so their order
+as text is the order of the addresses).  Sorted intervals are cut into chunks; a chunk holds the lower ends
+and the running maximum of the upper ends, so the last lower end that is not above an address decides.
+The chunks' first keys are all that the driver and the plan hold, one for `CHUNK` entries.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions import netaddr as N
-from flowwarden.session import BROADCAST_ROWS, local_column
+from flowwarden.functions.search import count_at_most
+from flowwarden.session import durable
+
+CHUNK = 1024
+#: Networks of one family that begin with the same address, at most, and the address itself.
+SAME_START = 130
+#: Mark of an IPv6 address that is listed as such: it is told by its text, as it is written.
+TEXT = "7"
 
 
 def whitelist_networks(whitelist: DataFrame) -> DataFrame:
@@ -17,80 +32,82 @@ def whitelist_networks(whitelist: DataFrame) -> DataFrame:
     return nets.filter(F.col("net").isNotNull()).select("net.prefix", "net.digits").distinct()
 
 
+def whitelist_intervals(whitelist: DataFrame) -> DataFrame:
+    """Distinct (lo, hi) keys of all valid entries, both ends included; malformed entries are ignored."""
+    digits, cut = F.col("digits"), F.col("prefix") % 4
+    width = F.when(digits.startswith("4"), 9).otherwise(33)
+    # The digit that the prefix cuts through takes all its free bits.
+    most = F.conv(F.right(digits, F.lit(1)), 16, 10).cast("int") + F.pow(F.lit(2.0), 4 - cut).cast("int") - 1
+    top = F.when(cut == 0, digits).otherwise(F.concat(F.left(digits, F.length(digits) - 1), F.lower(F.hex(most.cast("bigint")))))
+    nets = whitelist_networks(whitelist).select(F.rpad(digits, width, F.lit("0")).alias("lo"), F.rpad(top, width, F.lit("f")).alias("hi"))
+    entry = F.col("entry")
+    key = F.when(entry.contains(":"), F.concat(F.lit(TEXT), entry)).otherwise(N.ip_key(entry))
+    exact = whitelist.filter(~entry.contains("/")).select(key.alias("lo"), key.alias("hi"))
+    return nets.unionByName(exact).filter(F.col("lo").isNotNull()).distinct()
+
+
+def interval_chunks(intervals: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Sorted intervals in chunks: `first` key, lower ends `los`, running maxima of the upper ends `his`, and the last of these, `top`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, str]] = []
+
+        def packed(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+            los, his = [lo for lo, _ in rows], list(accumulate((hi for _, hi in rows), max))
+            columns = [pa.array([los[0]]), pa.array([los]), pa.array([his]), pa.array([his[-1]])]
+            return pa.RecordBatch.from_arrays(columns, names=["first", "los", "his", "top"])
+
+        for batch in batches:
+            held += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            while len(held) > chunk:
+                # A key that many networks begin with stays in one chunk, or a chunk would not begin with its own key.
+                end = chunk
+                while end < len(held) and held[end][0] == held[end - 1][0]:
+                    end += 1
+                if end == len(held):
+                    break
+                yield packed(held[:end])
+                held = held[end:]
+        if held:
+            yield packed(held)
+
+    placed = intervals.select("lo", "hi").repartitionByRange("lo").sortWithinPartitions("lo")
+    return durable(placed.mapInArrow(run, "first string, los array<string>, his array<string>, top string"))
+
+
 def flag_whitelisted(
-    rows: DataFrame, whitelist: DataFrame, ip: str = "ip", max_rows: int = BROADCAST_ROWS, validity: str | None = None
+    rows: DataFrame, whitelist: DataFrame, ip: str = "ip", validity: str | None = None, chunk: int = CHUNK
 ) -> DataFrame:
     """Add a boolean `whitelisted`, and under the name `validity` whether the address parses.
 
-    A whitelist whose size has been checked is broadcast and probed once per prefix length it
-    uses, so the rows are not shuffled.  A larger one is tested against the distinct addresses,
-    and the verdicts are joined back.  An address that does not parse is never whitelisted.
+    Each row is searched for in the first keys of the chunks, joined with its chunk and searched for in that.  The
+    planner broadcasts chunks by their size in bytes or joins by chunk; no join depends on the prefix lengths in use.
+    An IPv4 address is listed as such, an IPv6 address as it is written; an address that does not parse is never
+    whitelisted.  A null or malformed entry is ignored.
     """
-    spark = rows.sparkSession
-    known = [r["entry"] for r in whitelist.select("entry").distinct().limit(max_rows + 1).collect()]
-    small = len(known) <= max_rows
-    if small:
-        # The checked list becomes a local table, so that its parsing is not repeated per lookup.
-        whitelist = local_column(spark, "entry", known)
-    exact = whitelist.filter(~F.col("entry").contains("/")).select("entry").distinct()
-    nets = whitelist_networks(whitelist)
-    if small:
-        found = [tuple(r) for r in nets.collect()]
-        by_length: dict[tuple[str, int], list[str]] = {}
-        for prefix, digits in found:
-            by_length.setdefault((digits[0], prefix), []).append(digits)
-        return _probe(rows, exact, by_length, ip, validity)
-    # A prefix length per family: at most 33 + 129 rows.
-    family = F.substring("digits", 1, 1).alias("family")
-    lengths = sorted((r["family"], r["prefix"]) for r in nets.select(family, "prefix").distinct().collect())
-    flagged = _by_distinct_address(rows, exact, nets, lengths, ip)
-    return flagged.withColumn(validity, N.is_valid_ip(ip)) if validity else flagged
-
-
-def _probe(
-    rows: DataFrame, exact: DataFrame, by_length: dict[tuple[str, int], list[str]], ip: str, validity: str | None
-) -> DataFrame:
-    spark = rows.sparkSession
-    known = exact.select(F.col("entry").alias("_entry"), F.lit(True).alias("_exact"))
-    # IPv4 is masked as a number; the text form of IPv6 is worked out only where there is a colon.
-    keyed = rows.withColumns({"_v4": N.ip_to_num(ip), "_v6": N.v6_key(ip)})
-    out = keyed.join(F.broadcast(known), F.col(ip) == F.col("_entry"), "left")
-    marks = [F.col("_exact")]
-    for i, ((family, prefix), digits) in enumerate(sorted(by_length.items())):
-        if family == "4":
-            low = [int(d[1:].ljust(8, "0"), 16) for d in digits]
-            side, mine = local_column(spark, f"_d{i}", low), F.col("_v4") - F.col("_v4") % (1 << (32 - prefix))
-        else:
-            side, mine = local_column(spark, f"_d{i}", digits), N.masked("_v6", prefix)
-        out = out.join(F.broadcast(side.withColumn(f"_m{i}", F.lit(True))), mine == F.col(f"_d{i}"), "left")
-        marks.append(F.col(f"_m{i}"))
-    valid = F.col("_v4").isNotNull() | F.col("_v6").isNotNull()
+    chunks = interval_chunks(whitelist_intervals(whitelist), chunk)
+    heads = sorted((r["first"], r["top"]) for r in chunks.select("first", "top").collect())
+    key = N.ip_key(ip)
+    out = rows.withColumn("_key", key)
+    listed = F.lit(False)
+    if heads:
+        probes = {"_key": F.col("_key")}
+        if heads[-1][1].startswith(TEXT):
+            probes["_text"] = F.when(F.col("_key").startswith("6"), F.concat(F.lit(TEXT), F.col(ip)))
+        firsts = F.lit([first for first, _ in heads])
+        # Intervals of earlier chunks may reach into later ones.
+        reach = F.lit(list(accumulate((top for _, top in heads), max)))
+        for name, probe in probes.items():
+            at, found = f"{name}_at", f"{name}_found"
+            out = out.withColumn(at, count_at_most(firsts, probe, len(heads)))
+            side = chunks.select(F.col("first").alias(f"{name}_first"), F.struct("los", "his").alias(found))
+            out = out.join(side, F.get(firsts, F.col(at) - 1) == F.col(f"{name}_first"), "left")
+            his = F.col(found)["his"]
+            inside = F.get(his, count_at_most(F.col(found)["los"], probe, chunk + SAME_START) - 1) >= probe
+            listed = listed | F.coalesce(inside, F.lit(False)) | F.coalesce(F.get(reach, F.col(at) - 2) >= probe, F.lit(False))
+    valid = F.col("_key").isNotNull()
     extra = [valid.alias(validity)] if validity else []
-    return out.select(*rows.columns, (valid & F.coalesce(*marks, F.lit(False))).alias("whitelisted"), *extra)
-
-
-def _by_distinct_address(rows, exact, nets, lengths: Sequence[tuple[str, int]], ip: str) -> DataFrame:
-    addresses = rows.select(ip).distinct().withColumn("_key", N.ip_key(ip)).filter(F.col("_key").isNotNull())
-    matched = addresses.join(exact, addresses[ip] == exact["entry"], "left_semi").select(ip)
-    if lengths:
-        probes = F.filter(
-            F.array(
-                *[
-                    F.when(
-                        F.col("_key").startswith(family),
-                        F.struct(F.lit(prefix).alias("prefix"), N.masked("_key", prefix).alias("digits")),
-                    )
-                    for family, prefix in lengths
-                ]
-            ),
-            lambda x: x.isNotNull(),
-        )
-        spread = addresses.select(ip, F.inline(probes))
-        matched = matched.union(spread.join(nets, ["prefix", "digits"], "left_semi").select(ip))
-    verdicts = matched.distinct().withColumn("_listed", F.lit(True))
-    # One verdict per address; the adaptive planner broadcasts a small table and splits hot addresses.
-    joined = rows.join(verdicts, ip, "left")
-    return joined.select(*rows.columns, F.coalesce("_listed", F.lit(False)).alias("whitelisted"))
+    return out.select(*rows.columns, (valid & listed).alias("whitelisted"), *extra)
 
 
 def whitelist_antijoin(rows: DataFrame, whitelist: DataFrame, ip: str = "ip") -> DataFrame:

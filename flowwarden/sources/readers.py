@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowwarden.operators.features import quoted, with_identity
-from flowwarden.schema import ALERT_SCHEMA, CANONICAL, FEATURE_MAP, IDENTITY, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
+from flowwarden.schema import ALERT_SCHEMA, CANONICAL, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
+from flowwarden.sources.headers import header_groups, parsed_lines
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -25,21 +25,6 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return [name for name in first["value"].split(",")] if first else []
 
 
-def header_groups(spark: SparkSession, path: str, glob: str = "*.csv") -> dict[tuple[str, ...], list[str]]:
-    """Files by their header line, read in one pass over the lines.
-
-    A header is a file's line that holds a name of the flow format; a file without such a line has no rows
-    that could be told apart and is left out.  Paths are collected, as every file source does.
-    """
-    lines = spark.read.option("pathGlobFilter", glob).text(path).select("value", F.col("_metadata.file_path").alias("path"))
-    names = {source for source, *_ in IDENTITY} | {source for source, _ in FEATURE_MAP}
-    known = F.exists(F.split("value", ","), lambda c: F.trim(c).isin(*sorted(names)))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.filter(known).distinct().collect():
-        groups.setdefault(tuple(row["value"].split(",")), []).append(unquote(row["path"]))
-    return groups
-
-
 def read_flows(
     spark: SparkSession,
     path: str,
@@ -47,18 +32,20 @@ def read_flows(
     glob: str = "*.csv",
     required: Sequence[str] = (),
     position: bool = False,
+    unknown: str = "error",
 ) -> DataFrame:
     """Flow files as text columns, with typed identity columns and `file`, the full path.
 
-    Columns are read as text and cast later: a numeric CSV schema would turn `inf` into null.  Each file is
-    read by its own header and columns are matched by name; a column that some files lack is null there.  With `header`
-    all files must have that header, in that order, and no pass is needed to find it; another one is an error.
+    Columns are read as text and cast later: a numeric CSV schema would turn `inf` into null.  Each file is read by its
+    own header, its first line, and columns are matched by name; a column that some files lack is null there.  A header
+    without a known name is an error, or skipped with a warning (`unknown="skip"`).  With `header` all files must have
+    that header, in that order, and no first lines are read; another one is an error.
     `required` columns must be in every file.  `position` adds `row_pos`, the 0-based place in the file.
     """
     if header is not None:
         groups = {tuple(header): [path]}
     else:
-        groups = header_groups(spark, path, glob)
+        groups = header_groups(spark, path, glob, unknown)
     for names in groups:
         if absent := set(required) - set(names):
             raise ValueError(f"files without the columns {sorted(absent)}: {groups[names][:3]}")
@@ -66,7 +53,9 @@ def read_flows(
     for names, paths in sorted(groups.items()) or [((), [])]:
         if not paths:
             return with_identity(_empty(spark, position))
-        reader = spark.read.schema(raw_flow_schema(list(names))).option("header", True).option("enforceSchema", False)
+        # A header that was read from the files needs no check, and may be written with quotes or blanks.
+        reader = spark.read.schema(raw_flow_schema(list(names))).option("header", True).option("enforceSchema", header is None)
+        reader = reader.option("escape", '"')
         part = reader.option("pathGlobFilter", glob).csv(paths)
         parts.append(with_row_position(part) if position else _with_file(part))
     out = parts[0]
@@ -99,7 +88,7 @@ def with_row_position(flows: DataFrame) -> DataFrame:
     offsets = sizes.select("file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     joined = ranked.join(offsets, ["file", "_block"])
     position = (F.col("_before") + F.col("_rank") - 1).alias("row_pos")
-    return joined.select(*flows.columns, "file", position)
+    return joined.select(*[quoted(c) for c in flows.columns], "file", position)
 
 
 def read_labelled(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -185,24 +174,30 @@ def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") ->
 def stream_flows(
     spark: SparkSession,
     path: str,
-    header: list[str],
+    header: list[str] | None = None,
     files_per_batch: int = 100,
     archive: str | None = None,
+    glob: str = "*.csv",
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """New flow files of a folder; files that are there at the first start are taken as well.
 
-    A stream has one schema, so all files must have `header`, in that order; another one is an error.
+    Each file is read by its own header, its first line: columns of the flow format and those named in `extra` are
+    matched by name, one that a file lacks is null, and a file without a known header is an error that names it.  The
+    column `is_flow` is false in one row a file, which stands for the file itself, so a file without flows takes a
+    window slot; a file without a byte does not exist for the stream.
+
+    With `header` all files must have that header, in that order; its columns are all there are, and only files with
+    rows are seen.
     """
-    reader = (
-        spark.readStream.schema(raw_flow_schema(header))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
+    reader = spark.readStream.option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return with_identity(_with_file(reader.csv(path)))
+    if header is None:
+        names = [*raw_flow_schema().names, *extra]
+        return with_identity(parsed_lines(_with_file(reader.text(path).select("value", "_metadata")), names))
+    checked = reader.schema(raw_flow_schema(header)).option("header", True).option("enforceSchema", False).option("escape", '"')
+    return with_identity(_with_file(checked.csv(path)))
 
 
 def stream_alerts(spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:

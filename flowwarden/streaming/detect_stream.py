@@ -28,13 +28,15 @@ PARTIALS_SCHEMA = (
 
 
 def _file_partials(batch: DataFrame, config: DetectConfig) -> DataFrame:
-    hit = D.hit_predicate(config.threshold)
+    """Sums per (file, attacker); a row that is no flow only says that its file is there."""
+    is_flow = F.col("is_flow") if "is_flow" in batch.columns else F.lit(True)
+    hit = D.hit_predicate(config.threshold) & is_flow
     if config.ssh_only:
         hit = hit & (F.col("dst_port") == config.ssh_port)
     key = S.confidence_bucket("p")
     p = F.when(hit, F.col("p"))
     return batch.groupBy("file", "src_ip").agg(
-        F.count(F.lit(1)).alias("all_flows"),
+        F.count_if(is_flow).alias("all_flows"),
         F.count_if(hit).alias("flows"),
         F.sum(p).alias("p_sum"),
         F.min(p).alias("p_min"),

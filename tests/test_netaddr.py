@@ -1,4 +1,5 @@
 import ipaddress
+import random
 
 from pyspark.sql import functions as F
 
@@ -66,8 +67,8 @@ def test_whitelist_both_ways(spark):
     df = spark.createDataFrame([(i, a) for i, a in enumerate(ADDRESSES)], "i int, ip string")
     wl = spark.createDataFrame([(e,) for e in entries], "entry string")
     want = {i: listed(a, entries) for i, a in enumerate(ADDRESSES)}
-    for limit in (100_000, 0):  # broadcast probes, then the join for long lists
-        got = {r["i"]: r["whitelisted"] for r in L.flag_whitelisted(df, wl, max_rows=limit).collect()}
+    for chunk in (1024, 2, 1):  # one chunk, or chunks that networks of earlier ones reach into
+        got = {r["i"]: r["whitelisted"] for r in L.flag_whitelisted(df, wl, chunk=chunk).collect()}
         assert got == want
     kept, gone = L.whitelist_antijoin(df, wl), L.whitelist_skipped(df, wl)
     assert kept.count() + gone.count() == len(ADDRESSES) and gone.count() == sum(want.values())
@@ -76,8 +77,33 @@ def test_whitelist_both_ways(spark):
 def test_empty_whitelist(spark):
     df = spark.createDataFrame([("1.2.3.4",)], "ip string")
     wl = spark.createDataFrame([], "entry string")
-    for limit in (10, -1):
-        assert L.flag_whitelisted(df, wl, max_rows=limit).first()["whitelisted"] is False
+    assert L.flag_whitelisted(df, wl).first()["whitelisted"] is False
+
+
+def test_long_list_of_nested_networks(spark):
+    rng = random.Random(4)
+    entries = [None, "10.0.0.1/8", "0.0.0.0/33"]
+    for _ in range(300):
+        if rng.random() < 0.5:
+            bits = rng.randint(8, 32)
+            entries.append(str(ipaddress.ip_network((rng.randrange(1 << 12) << 20 | rng.randrange(1 << 8), bits), strict=False)))
+        else:
+            bits = rng.randint(20, 128)
+            entries.append(str(ipaddress.ip_network((0x20010DB8 << 96 | rng.randrange(1 << 16) << rng.choice([0, 40, 80]), bits), strict=False)))
+    nets = [ipaddress.ip_network(e) for e in entries[3:]]
+    # Both ends of every network, and the addresses beside them.
+    ends = {(n.version, max(0, min(int(x) + d, 2 ** (32 if n.version == 4 else 128) - 1))) for n in nets for x in (n[0], n[-1]) for d in (-1, 0, 1)}
+    probes = [str(ipaddress.IPv4Address(a) if v == 4 else ipaddress.IPv6Address(a)) for v, a in ends]
+    want = {p: any(ipaddress.ip_address(p) in n for n in nets) for p in probes}
+    df = spark.createDataFrame([(p,) for p in probes], "ip string")
+    wl = spark.createDataFrame([(e,) for e in entries], "entry string")
+    for chunk in (1024, 7):
+        found = L.flag_whitelisted(df, wl, chunk=chunk)
+        assert {r["ip"]: r["whitelisted"] for r in found.collect()} == want
+    assert any(want.values()) and not all(want.values())
+    # One join with the chunks, however many prefix lengths the list has.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
 
 
 def test_set_changes(spark):

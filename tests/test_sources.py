@@ -10,6 +10,7 @@ from flowwarden.operators import windows as W
 from flowwarden.operators.features import align_features, clean_numeric
 from flowwarden.plans.detection import detect, write_documents
 from flowwarden.schema import BLOCK_SCHEMA, HISTORY_SCHEMA, DetectConfig
+from flowwarden.sources import headers as Hd
 from flowwarden.sources import inventory as I
 from flowwarden.sources import readers as Rd
 from flowwarden.sources import writers as Wr
@@ -65,6 +66,61 @@ def test_files_are_read_by_their_own_header(spark, tmp_path):
     assert Rd.read_flows(spark, put(str(tmp_path), "none.csv", ""), position=True).count() == 0
 
 
+HEAD = "Src IP,Dst Port,Flow Duration,Note"
+
+
+def test_a_header_is_the_first_line_alone(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put(folder, "a.csv", f"{HEAD}\n1.1.1.1,22,80,Protocol\n1.1.1.2,23,81,\"Src IP, or \"\"x\"\"\"\n")
+    put(folder, "b.csv", "\ufeff" + '"Flow Duration"," Src IP ","Dst Port"\n"90","2.2.2.2",24\n')
+    put(folder, "c.csv", "Dst Port,Src IP,Src IP,v1.0\n25,3.3.3.3,again,z\n")
+    got = Rd.read_flows(spark, folder, position=True).select("src_ip", "dst_port", "duration", "Note", "row_pos")
+    assert rows(got) == [("1.1.1.1", 22, 80.0, "Protocol", 0), ("1.1.1.2", 23, 81.0, 'Src IP, or "x"', 1), ("2.2.2.2", 24, 90.0, None, 0), ("3.3.3.3", 25, 0.0, None, 0)]
+
+
+def test_an_unknown_header_is_an_error(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put(folder, "good.csv", f"{HEAD}\n1.1.1.1,22,80,x\n")
+    bad = put(folder, "strange.csv", "one,two\n1,2\n")
+    with pytest.raises(ValueError, match="strange.csv"):
+        Rd.read_flows(spark, folder)
+    with pytest.warns(UserWarning, match="strange.csv"):
+        assert Rd.read_flows(spark, folder, unknown="skip").count() == 1
+    stream = Rd.stream_flows(spark, folder)
+    writer = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark"))
+    with pytest.raises(Exception, match="no known header"):
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert os.path.exists(bad)
+
+
+def test_only_first_lines_are_read_for_the_headers(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for i in range(3):
+        put(folder, f"f{i}.csv", HEAD + "\n" + "1.1.1.1,22,80,x\n" * 200_000)
+    groups = Hd.header_groups(spark, folder)
+    assert {k: len(v) for k, v in groups.items()} == {tuple(HEAD.split(",")): 3}
+    with open(f"{folder}/f0.csv", "rb") as f:
+        whole = len(f.read())
+    assert Hd.first_line(f"file:{folder}/f0.csv") == HEAD and whole > 20 * Hd.FIRST_BYTES
+    # A place that Arrow does not know is read through Hadoop's file system.
+    assert list(Hd._first_lines_by_hadoop(spark, [f"file:{folder}/f{i}.csv" for i in range(3)])) == [HEAD] * 3
+
+
+def test_streamed_files_by_their_own_header(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(folder, "a.csv", f"{HEAD}\n1.1.1.1,22,80,Protocol\n1.1.1.2,23\n1.1.1.3,24,82,x,more\n\n")
+    put(folder, "b b.csv", "\ufeff" + 'Dst Port,"Src IP"\r\n25,3.3.3.3\r\n')
+    put(folder, "header.csv", HEAD + "\n")
+    put(folder, "nothing.csv", "")
+    stream = Rd.stream_flows(spark, folder, extra=["Note"])
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "mark"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    back = spark.read.schema(stream.schema).parquet(out).withColumn("name", F.element_at(F.split("file", "/"), -1))
+    flows = rows(back.filter("is_flow").select("src_ip", "dst_port", "duration", "Note"))
+    assert flows == sorted([("1.1.1.1", 22, 80.0, "Protocol"), ("1.1.1.2", 23, 0.0, None), ("1.1.1.3", 24, 82.0, "x"), ("3.3.3.3", 25, 0.0, None)], key=repr)
+    assert rows(back.filter("not is_flow").select("name")) == [("a.csv",), ("b%20b.csv",), ("header.csv",)]
+
+
 def test_a_long_alert_counts_once(spark, tmp_path):
     from flowwarden.operators.blocks import to_block_alerts
 
