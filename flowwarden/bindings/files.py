@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from flowwarden.bindings import base as B
@@ -70,30 +72,96 @@ PACKETS = """packets AS (
   FROM events)"""
 
 # Packets between a user (port 40000) and one server (port 22), in both directions.
+HOUR_US = 3_600_000_000
+
+
+def flat_name(name: str) -> str:
+    """A column of a flow file as a name of this package's queries."""
+    return re.sub("[^a-z0-9]+", "_", name.lower()).strip("_")
+
+
+def _stats(prefix: str, value: str, where: str, seconds: bool = False) -> dict[str, str]:
+    """Largest, smallest, mean and deviation in SQL; times in seconds."""
+    kept = f" FILTER (WHERE {where})" if where else ""
+    out = {k: f"coalesce({f}({value}){kept}, 0)" for k, f in (("Max", "max"), ("Min", "min"), ("Mean", "avg"), ("Std", "stddev_samp"))}
+    wide = {k: f"CAST({e} AS DOUBLE)" for k, e in out.items() if k in ("Max", "Min")}
+    fine = {k: sql_round(f"{e} / 1000000" if seconds else e, 2 if seconds else 4) for k, e in out.items() if k not in wide}
+    return {f"{prefix} {k}": e for k, e in (wide | fine).items()}
+
+
+def _count(where: str = "", of: str = "*") -> str:
+    return f"CAST(count({of}){f' FILTER (WHERE {where})' if where else ''} AS DOUBLE)"
+
+
+def _total(value: str, where: str) -> str:
+    return f"CAST(coalesce(sum({value}) FILTER (WHERE {where}), 0) AS DOUBLE)"
+
+
+def _per_second(amount: str) -> str:
+    return sql_round(f"CASE WHEN max(t) > min(t) THEN ({amount}) * 1000000.0 / (max(t) - min(t)) ELSE 0 END", 6)
+
+
+def packet_columns() -> dict[str, str]:
+    """Every column of a flow file as an SQL aggregate over the packets `r` of a flow, joined with `act`, `lazy` and `bulk`."""
+    sides = (("Fwd", "fwd"), ("Bwd", "NOT fwd"))
+    user, server = "user_ip", "'192.168.1.10'"
+    src, dst = f"CASE WHEN first_out THEN {user} ELSE {server} END", f"CASE WHEN first_out THEN {server} ELSE {user} END"
+    sport, dport = "CASE WHEN first_out THEN 40000 ELSE 22 END", "CASE WHEN first_out THEN 22 ELSE 40000 END"
+    c = {
+        "Flow ID": f"{src} || '-' || {dst} || '-' || ({sport}) || '-' || ({dport}) || '-6'", "Src IP": src, "Src Port": sport, "Dst IP": dst,
+        "Dst Port": dport, "Protocol": "6", "Timestamp": sql_ts("make_timestamp(min(t))"), "Flow Duration": "CAST(max(t) - min(t) AS DOUBLE)",
+    }
+    for d, where in sides:
+        c |= {f"Tot {d} Pkts": _count(where), f"TotLen {d} Pkts": _total("payload", where)} | _stats(f"{d} Pkt Len", "payload", where)
+        c |= {f"{d} IAT Tot": _total("side_gap", where)} | _stats(f"{d} IAT", "side_gap", where, True)
+        c |= {f"{d} PSH Flags": _count(f"flags & 8 <> 0 AND {where}"), f"{d} URG Flags": _count(f"flags & 32 <> 0 AND {where}")}
+        c |= {f"{d} Header Len": _total("header", where), f"{d} Pkts/s": _per_second(f"count(*) FILTER (WHERE {where})")}
+        c |= {f"{d} Seg Size Avg": sql_round(f"coalesce(avg(payload) FILTER (WHERE {where}), 0)", 4)}
+        c |= {f"Init {d} Win Byts": f"CAST(coalesce(arg_min(win, (t, event_id)) FILTER (WHERE {where}), 0) AS DOUBLE)"}
+        pauses = "count(*) FILTER (WHERE inner_gap > 1000000)"
+        for name, amount in (("Pkts", f"count(*) FILTER (WHERE {where})"), ("Byts", f"coalesce(sum(payload) FILTER (WHERE {where}), 0)")):
+            c[f"Subflow {d} {name}"] = f"CAST(CASE WHEN {pauses} > 0 THEN floor(CAST({amount} AS DOUBLE) / {pauses}) ELSE 0 END AS DOUBLE)"
+        for name, amount, per in (("Byts/b", "bytes", "bulks"), ("Pkts/b", "packets", "bulks"), ("Blk Rate", "1000000.0 * bytes", "lasted")):
+            amount = amount.replace("bytes", f"{d}_bytes").replace("packets", f"{d}_packets")
+            c[f"{d} {name} Avg"] = f"CAST(coalesce(any_value(CASE WHEN {d}_{per} > 0 THEN floor(CAST({amount} AS DOUBLE) / {d}_{per}) END), 0) AS DOUBLE)"
+    c |= {"Flow Byts/s": _per_second("sum(payload)"), "Flow Pkts/s": _per_second("count(*)")} | _stats("Flow IAT", "inner_gap", "", True)
+    c |= _stats("Pkt Len", "payload", "") | {"Pkt Len Var": sql_round("coalesce(var_samp(payload), 0)", 4)}
+    for name, bit in (("FIN", 1), ("SYN", 2), ("RST", 4), ("PSH", 8), ("ACK", 16), ("URG", 32), ("ECE", 64)):
+        c[f"{name} Flag Cnt"] = _count(f"flags & {bit} <> 0")
+    c |= {"CWE Flag Count": _count("flags & 128 <> 0"), "Pkt Size Avg": sql_round("avg(payload)", 4)}
+    c |= {"Down/Up Ratio": sql_round("count(*) FILTER (WHERE NOT fwd) / CAST(count(*) FILTER (WHERE fwd) AS DOUBLE)", 6)}
+    c |= {"Fwd Act Data Pkts": _count("fwd AND payload > 0"), "Fwd Seg Size Min": "CAST(coalesce(min(header) FILTER (WHERE fwd), 0) AS DOUBLE)"}
+    c |= _stats("Idle", "inner_gap", f"inner_gap > {HOUR_US}", True)
+    for k in ("Max", "Min", "Mean", "Std"):
+        value = f"coalesce(any_value(active_{k.lower()}), 0)"
+        c[f"Active {k}"] = f"CAST({value} AS DOUBLE)" if k in ("Max", "Min") else sql_round(f"{value} / 1000000", 2)
+    return c
+
+
+_SIDE_BULKS = ", ".join(
+    f"count(*) FILTER (WHERE {w}) AS {d}_bulks, coalesce(sum(n) FILTER (WHERE {w}), 0) AS {d}_packets, "
+    f"coalesce(sum(bytes) FILTER (WHERE {w}), 0) AS {d}_bytes, coalesce(sum(lasted) FILTER (WHERE {w}), 0) AS {d}_lasted"
+    for d, w in (("Fwd", "fwd"), ("Bwd", "NOT fwd"))
+)
 PACKET_FLOWS = f"""WITH {PACKETS},
 g AS (SELECT *, t - lag(t) OVER w AS gap FROM packets WINDOW w AS (PARTITION BY user_ip ORDER BY t, event_id)),
-s AS (SELECT *, sum(CASE WHEN gap <= {GAP_HOURS * 3_600_000_000} THEN 0 ELSE 1 END) OVER (PARTITION BY user_ip ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS session FROM g),
+s AS (SELECT *, sum(CASE WHEN gap <= {GAP_HOURS * HOUR_US} THEN 0 ELSE 1 END) OVER (PARTITION BY user_ip ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS session FROM g),
 o AS (SELECT *, first_value(outbound) OVER (PARTITION BY user_ip, session ORDER BY t, event_id) AS first_out,
              CASE WHEN t > min(t) OVER (PARTITION BY user_ip, session) THEN gap END AS inner_gap FROM s),
 d AS (SELECT *, outbound = first_out AS fwd,
              t - lag(t) OVER (PARTITION BY user_ip, session, outbound ORDER BY t, event_id) AS side_gap FROM o),
-r AS (SELECT *, sum(CASE WHEN inner_gap > 3600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY user_ip, session ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS run FROM d),
+r AS (SELECT *, sum(CASE WHEN inner_gap > {HOUR_US} THEN 1 ELSE 0 END) OVER (PARTITION BY user_ip, session ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS run FROM d),
 runs AS (SELECT user_ip, session, max(t) - min(t) AS lasted FROM r GROUP BY user_ip, session, run),
-act AS (SELECT user_ip, session, avg(lasted) FILTER (WHERE lasted > 0) AS active_mean, max(lasted) FILTER (WHERE lasted > 0) AS active_max
-        FROM runs GROUP BY user_ip, session)
-SELECT CASE WHEN first_out THEN user_ip ELSE '192.168.1.10' END AS src_ip, CASE WHEN first_out THEN '192.168.1.10' ELSE user_ip END AS dst_ip,
-  CASE WHEN first_out THEN 22 ELSE 40000 END AS dst_port, {sql_ts('make_timestamp(min(t))')} AS started,
-  CAST(max(t) - min(t) AS DOUBLE) AS duration, CAST(count(*) FILTER (WHERE fwd) AS DOUBLE) AS fwd_packets, CAST(count(*) FILTER (WHERE NOT fwd) AS DOUBLE) AS bwd_packets,
-  CAST(coalesce(sum(payload) FILTER (WHERE fwd), 0) AS DOUBLE) AS fwd_bytes, CAST(coalesce(sum(payload) FILTER (WHERE NOT fwd), 0) AS DOUBLE) AS bwd_bytes,
-  CAST(coalesce(max(payload) FILTER (WHERE fwd), 0) AS DOUBLE) AS fwd_len_max, {sql_round('coalesce(stddev_samp(payload) FILTER (WHERE NOT fwd), 0)', 4)} AS bwd_len_std,
-  {sql_round('coalesce(avg(inner_gap), 0) / 1000000', 2)} AS iat_mean, {sql_round('coalesce(stddev_samp(inner_gap), 0) / 1000000', 2)} AS iat_std,
-  CAST(coalesce(max(side_gap) FILTER (WHERE fwd), 0) AS DOUBLE) AS fwd_iat_max, CAST(coalesce(sum(side_gap) FILTER (WHERE NOT fwd), 0) AS DOUBLE) AS bwd_iat_tot,
-  CAST(count(*) FILTER (WHERE flags & 2 <> 0) AS DOUBLE) AS syn, CAST(count(*) FILTER (WHERE flags & 8 <> 0 AND fwd) AS DOUBLE) AS fwd_psh,
-  CAST(coalesce(sum(header) FILTER (WHERE NOT fwd), 0) AS DOUBLE) AS bwd_header, CAST(arg_min(win, (t, event_id)) FILTER (WHERE fwd) AS DOUBLE) AS fwd_win,
-  {sql_round('coalesce(any_value(active_mean), 0) / 1000000', 2)} AS active_mean, CAST(coalesce(any_value(active_max), 0) AS DOUBLE) AS active_max,
-  CAST(coalesce(max(inner_gap) FILTER (WHERE inner_gap > 3600000000), 0) AS DOUBLE) AS idle_max,
-  {sql_round('coalesce(avg(inner_gap) FILTER (WHERE inner_gap > 3600000000), 0) / 1000000', 2)} AS idle_mean
-FROM r JOIN act USING (user_ip, session) GROUP BY user_ip, session, first_out"""
+act AS (SELECT user_ip, session, {", ".join(f"{f}(lasted) FILTER (WHERE lasted > 0) AS active_{n}" for n, f in (("mean", "avg"), ("max", "max"), ("min", "min"), ("std", "stddev_samp")))}
+        FROM runs GROUP BY user_ip, session),
+pay AS (SELECT *, CASE WHEN lag(fwd) OVER w = fwd AND t - lag(t) OVER w <= {2 * HOUR_US} THEN 0 ELSE 1 END AS begins FROM d WHERE payload > 0
+        WINDOW w AS (PARTITION BY user_ip, session ORDER BY t, event_id)),
+burst AS (SELECT *, sum(begins) OVER (PARTITION BY user_ip, session ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS b FROM pay),
+bulks AS (SELECT user_ip, session, any_value(fwd) AS fwd, count(*) AS n, sum(payload) AS bytes, max(t) - min(t) AS lasted
+          FROM burst GROUP BY user_ip, session, b HAVING count(*) >= 2),
+bulk AS (SELECT user_ip, session, {_SIDE_BULKS} FROM bulks GROUP BY user_ip, session)
+SELECT {", ".join(f"{e} AS {flat_name(n)}" for n, e in packet_columns().items())}
+FROM r JOIN act USING (user_ip, session) LEFT JOIN bulk USING (user_ip, session) GROUP BY user_ip, session, first_out"""
 
 
 def _packets(spark, sf):
@@ -118,26 +186,22 @@ def _packets(spark, sf):
 
 @query("packet_flows", PACKET_FLOWS)
 def packet_flows(spark, sf):
-    f = N.flows_from_packets(_packets(spark, sf), gap_seconds=GAP_HOURS * 3600.0, active_seconds=3600.0, slice_seconds=60.0)
-
-    def col(source, name, places=None):
-        c = F.col(f"`{source}`")
-        return (rounded(c, places) if places is not None else c).alias(name)
-
-    def seconds(source, name):
-        return rounded(F.col(f"`{source}`") / 1000000, 2).alias(name)
-
-    return f.select(
-        col("Src IP", "src_ip"), col("Dst IP", "dst_ip"), col("Dst Port", "dst_port"), col("Timestamp", "started"),
-        col("Flow Duration", "duration"), col("Tot Fwd Pkts", "fwd_packets"), col("Tot Bwd Pkts", "bwd_packets"),
-        col("TotLen Fwd Pkts", "fwd_bytes"), col("TotLen Bwd Pkts", "bwd_bytes"), col("Fwd Pkt Len Max", "fwd_len_max"),
-        col("Bwd Pkt Len Std", "bwd_len_std", 4), seconds("Flow IAT Mean", "iat_mean"),
-        seconds("Flow IAT Std", "iat_std"), col("Fwd IAT Max", "fwd_iat_max"),
-        col("Bwd IAT Tot", "bwd_iat_tot"), col("SYN Flag Cnt", "syn"), col("Fwd PSH Flags", "fwd_psh"),
-        col("Bwd Header Len", "bwd_header"), col("Init Fwd Win Byts", "fwd_win"), seconds("Active Mean", "active_mean"),
-        col("Active Max", "active_max"), col("Idle Max", "idle_max"), seconds("Idle Mean", "idle_mean"),
+    """Flows from packets with all columns of a flow file; two packets of one side within two hours are a bulk here."""
+    f = N.flows_from_packets(
+        _packets(spark, sf), gap_seconds=GAP_HOURS * 3600.0, active_seconds=3600.0, slice_seconds=60.0, bulk_seconds=7200.0, bulk_packets=2
     )
 
+    def shown(name):
+        c = F.col(f"`{name}`")
+        timed = " IAT " in f" {name}" or name.startswith(("Active", "Idle"))
+        if timed and name.endswith(("Mean", "Std")):
+            return rounded(c / 1000000, 2)
+        if name.endswith(("Mean", "Std", "Var", "Size Avg")):
+            return rounded(c, 4)
+        return rounded(c, 6) if name.endswith(("/s", "Ratio")) else c
+
+    return f.select(*[shown(n).alias(flat_name(n)) for n in f.columns])
+
 
 # One file per hour of events; odd hours are flow files, even hours captures.
 INVENTORY = """inventory AS (

@@ -142,15 +142,74 @@ def time_sessions(df: DataFrame, keys: Sequence[str], ts: str, gap: str) -> Data
 SIDES = ("a", "b")  # a: sent by the smaller endpoint, b: sent by the larger one
 
 
-def _packet_slices(packets: DataFrame, width: int) -> DataFrame:
+KEY = ["end_a", "end_b", "protocol"]
+ORDER = ["_t", "side", "length", "tcp_flags"]
+
+
+def _sided(packets: DataFrame, width: int) -> DataFrame:
+    """Packets with the two endpoints in order, the side that sent them, their time and its slice."""
     source = F.concat_ws(":", "src_ip", F.col("src_port").cast("string"))
     target = F.concat_ws(":", "dst_ip", F.col("dst_port").cast("string"))
     p = packets.withColumn("_t", micros("ts"))
     p = p.withColumn("side", F.when(source <= target, "a").otherwise("b"))
     p = p.withColumn("end_a", F.least(source, target)).withColumn("end_b", F.greatest(source, target))
-    p = p.withColumn("slice", F.floor(F.col("_t") / F.lit(width)).cast("bigint"))
-    key = ["end_a", "end_b", "protocol", "slice"]
-    order = ["_t", "side", "length", "tcp_flags"]
+    return p.withColumn("slice", F.floor(F.col("_t") / F.lit(width)).cast("bigint"))
+
+
+BULK_SUMS = ("bulks", "packets", "bytes", "lasted")
+
+
+def _bulk_sums(side: str, long_enough: Column) -> list[Column]:
+    """Number, packets, bytes and duration of one side's runs that are bulks."""
+    mine = (F.col("side") == side) & long_enough
+    values = (F.lit(1), F.col("n"), F.col("bytes"), F.col("last") - F.col("first"))
+    return [F.coalesce(F.sum(F.when(mine, v)), F.lit(0)).cast("bigint").alias(f"{name}_{side}") for name, v in zip(BULK_SUMS, values, strict=True)]
+
+
+def _bulk_slices(p: DataFrame, gap: int, least: int) -> DataFrame:
+    """Runs of payload packets per (key, slice): the runs at both ends, which may go on in other slices, and sums of the rest.
+
+    A run ends where the other side sends payload or nothing is sent for longer than the gap.  `ends` holds one run if the
+    slice has no other, else the first and the last.
+    """
+    key = [*KEY, "slice"]
+    data = p.filter(F.col("payload_length") > 0).select(*key, *ORDER, "payload_length")
+    in_order = Window.partitionBy(*key).orderBy(*ORDER)
+    before, paused = F.lag("side").over(in_order), F.col("_t") - F.lag("_t").over(in_order)
+    begins = F.when((before == F.col("side")) & (paused <= gap), 0).otherwise(1)
+    runs = data.withColumn("_new", begins).withColumn("run", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    each = runs.groupBy(*key, "run").agg(
+        F.min("side").alias("side"), F.count(F.lit(1)).alias("n"), F.sum(F.col("payload_length").cast("bigint")).alias("bytes"),
+        F.min("_t").alias("first"), F.max("_t").alias("last"),
+    )
+    placed = each.withColumn("final", F.max("run").over(Window.partitionBy(*key)))
+    inside = (F.col("run") > 1) & (F.col("run") < F.col("final"))
+    end = F.struct("run", "side", "n", "bytes", "first", "last")
+    return placed.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.when(~inside, end))).alias("ends"),  # two at most
+        *[c for s in SIDES for c in _bulk_sums(s, inside & (F.col("n") >= least))],
+    )
+
+
+def _bulks(p: DataFrame, sessions: DataFrame, gap: int, least: int) -> DataFrame:
+    """Sums of bulks per (key, session, side): a run that is open at the end of a slice goes on in the next one with data."""
+    sliced = _bulk_slices(p, gap, least).join(sessions, [*KEY, "slice"])
+    closed = sliced.groupBy(*KEY, "session").agg(*[F.sum(f"{c}_{s}").alias(f"{c}_{s}") for s in SIDES for c in BULK_SUMS])
+    ends = sliced.select(*KEY, "session", "slice", F.posexplode("ends").alias("part", "e")).select(*KEY, "session", "slice", "part", "e.*")
+    in_order = Window.partitionBy(*KEY, "session").orderBy("slice", "part")
+    goes_on = (F.col("part") == 0) & (F.lag("side").over(in_order) == F.col("side")) & (F.col("first") - F.lag("last").over(in_order) <= gap)
+    marked = ends.withColumn("_new", F.when(goes_on, 0).otherwise(1))
+    whole = marked.withColumn("long_run", F.sum("_new").over(in_order)).groupBy(*KEY, "session", "long_run").agg(
+        F.min("side").alias("side"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("first").alias("first"), F.max("last").alias("last")
+    )
+    joined = whole.groupBy(*KEY, "session").agg(*[c for s in SIDES for c in _bulk_sums(s, F.col("n") >= least)])
+    names = [f"{c}_{s}" for s in SIDES for c in BULK_SUMS]
+    both = closed.unionByName(joined)
+    return both.groupBy(*KEY, "session").agg(*[F.sum(n).alias(n) for n in names])
+
+
+def _packet_slices(p: DataFrame) -> DataFrame:
+    key, order = [*KEY, "slice"], ORDER
     p = p.withColumn("_g", F.col("_t") - F.lag("_t").over(Window.partitionBy(*key).orderBy(*order)))
     p = p.withColumn("_sg", F.col("_t") - F.lag("_t").over(Window.partitionBy(*key, "side").orderBy(*order)))
 
@@ -190,7 +249,12 @@ def _packet_slices(packets: DataFrame, width: int) -> DataFrame:
 
 
 def flows_from_packets(
-    packets: DataFrame, gap_seconds: float = 120.0, active_seconds: float = 5.0, slice_seconds: float = 1.0
+    packets: DataFrame,
+    gap_seconds: float = 120.0,
+    active_seconds: float = 5.0,
+    slice_seconds: float = 1.0,
+    bulk_seconds: float = 1.0,
+    bulk_packets: int = 4,
 ) -> DataFrame:
     """Packets -> bidirectional flows with the columns of a flow file.
 
@@ -198,11 +262,14 @@ def flows_from_packets(
     forward direction is that of its first packet.  Times are in microseconds, lengths are payload
     bytes, deviations are sample deviations.  An active period is a run without a pause longer than
     `active_seconds`, an idle period is such a pause.  A subflow ends at a pause of over a second.
-    Bulk averages are 0.
+    A bulk is a run of at least `bulk_packets` packets with payload from one side, without payload from
+    the other side and without a pause longer than `bulk_seconds` between them; its averages are
+    bytes and packets a bulk and bytes a second of bulks, cut to whole numbers.
     """
     width = int(min(gap_seconds, active_seconds, slice_seconds) * SECOND)
-    slices = _packet_slices(packets, width)
-    key = ["end_a", "end_b", "protocol"]
+    sided = _sided(packets, width)
+    slices = _packet_slices(sided)
+    key = KEY
     in_order = Window.partitionBy(*key).orderBy("slice")
     gap = F.col("first") - F.lag("last").over(in_order)
     s = slices.withColumn("_gap", gap)
@@ -250,7 +317,8 @@ def flows_from_packets(
         *_gap_aggs(F.when(lasted > 0, lasted), "act"),
         *_gap_aggs(F.col("idle"), "rest"),
     )
-    return _flow_columns(flows)
+    bulk = _bulks(sided, s.select(*key, "slice", "session"), int(bulk_seconds * SECOND), bulk_packets)
+    return _flow_columns(flows.join(bulk, [*key, "session"], "left"))
 
 
 def _flow_columns(flows: DataFrame) -> DataFrame:
@@ -295,7 +363,18 @@ def _flow_columns(flows: DataFrame) -> DataFrame:
     def number(c: Column) -> Column:
         return F.coalesce(c, F.lit(0)).cast("double")
 
+    def bulk(forward: bool, amount: str, per: str, unit: int = 1) -> Column:
+        total, n = pick(f"{amount}_{{}}", forward), pick(f"{per}_{{}}", forward)
+        return F.coalesce(F.floor(F.try_divide((total * unit).cast("double"), F.nullif(n, F.lit(0)).cast("double"))), F.lit(0)).cast("double")
+
+    bulks = [
+        bulk(forward, amount, per, unit).alias(f"{d} {name} Avg")
+        for d, forward in (("Fwd", True), ("Bwd", False))
+        for name, amount, per, unit in (("Byts/b", "bytes", "bulks", 1), ("Pkts/b", "packets", "bulks", 1), ("Blk Rate", "bytes", "lasted", SECOND))
+    ]
+    ends = [F.col(f"opening.{c}").cast("string") for c in ("src_ip", "dst_ip", "src_port", "dst_port")]
     return wide.select(
+        F.concat_ws("-", *ends, F.col("protocol").cast("string")).alias("Flow ID"),
         F.col("opening.src_ip").alias("Src IP"),
         F.col("opening.src_port").alias("Src Port"),
         F.col("opening.dst_ip").alias("Dst IP"),
@@ -336,7 +415,7 @@ def _flow_columns(flows: DataFrame) -> DataFrame:
         F.try_divide(F.col("len_s").cast("double"), F.col("n").cast("double")).alias("Pkt Size Avg"),
         _mean("lf").alias("Fwd Seg Size Avg"),
         _mean("lb").alias("Bwd Seg Size Avg"),
-        *[F.lit(0.0).alias(f"{d} {c} Avg") for d in ("Fwd", "Bwd") for c in ("Byts/b", "Pkts/b", "Blk Rate")],
+        *bulks,
         per_subflow("lf_n").alias("Subflow Fwd Pkts"),
         per_subflow("lf_s").alias("Subflow Fwd Byts"),
         per_subflow("lb_n").alias("Subflow Bwd Pkts"),

@@ -26,7 +26,7 @@ def make(spark, seed=1, n=600):
     return out, spark.createDataFrame(out, schema.PACKET_SCHEMA).repartition(5)
 
 
-def brute(data, gap=120.0, active=5.0):
+def brute(data, gap=120.0, active=5.0, bulk=1.0, least=4):
     by_pair = {}
     for p in sorted(data):
         by_pair.setdefault(frozenset([(p[1], p[2]), (p[3], p[4])]), []).append(p)
@@ -58,6 +58,20 @@ def brute(data, gap=120.0, active=5.0):
         std = lambda xs: statistics.stdev(xs) if len(xs) > 1 else 0.0
         mean = lambda xs: statistics.mean(xs) if xs else 0.0
         lens = [p[8] for p in f]
+        sent, bursts = [(u, p[1:3] == f[0][1:3], p[8]) for u, p in zip(us, f) if p[8] > 0], []
+        for i, (u, side, size) in enumerate(sent):
+            if i and sent[i - 1][1] == side and u - sent[i - 1][0] <= bulk * 1e6:
+                bursts[-1].append((u, side, size))
+            else:
+                bursts.append([(u, side, size)])
+        bulks = {d: [b for b in bursts if b[0][1] == d and len(b) >= least] for d in (True, False)}
+        size = {d: sum(x[2] for b in bulks[d] for x in b) for d in bulks}
+        lasted = {d: sum(b[-1][0] - b[0][0] for b in bulks[d]) for d in bulks}
+        bulk_columns = {}
+        for name, d in (("Fwd", True), ("Bwd", False)):
+            bulk_columns[f"{name} Byts/b Avg"] = size[d] // len(bulks[d]) if bulks[d] else 0
+            bulk_columns[f"{name} Pkts/b Avg"] = sum(map(len, bulks[d])) // len(bulks[d]) if bulks[d] else 0
+            bulk_columns[f"{name} Blk Rate Avg"] = size[d] * 1_000_000 // lasted[d] if lasted[d] else 0
         out[(f[0][1], f[0][2], us[0])] = {
             "Flow Duration": us[-1] - us[0], "Tot Fwd Pkts": len(fwd), "Tot Bwd Pkts": len(bwd),
             "TotLen Fwd Pkts": sum(p[8] for p in fwd), "Fwd Pkt Len Std": std([p[8] for p in fwd]),
@@ -70,6 +84,7 @@ def brute(data, gap=120.0, active=5.0):
             "Active Mean": mean(runs), "Active Std": std(runs), "Active Max": max(runs, default=0),
             "Idle Mean": mean(idle), "Idle Min": min(idle, default=0), "Idle Std": std(idle),
             "Subflow Fwd Pkts": len(fwd) // pauses if pauses else 0, "Down/Up Ratio": len(bwd) / len(fwd),
+            **bulk_columns,
             "Flow Pkts/s": len(f) * 1e6 / (us[-1] - us[0]) if us[-1] > us[0] else 0.0, "Fwd Act Data Pkts": sum(p[8] > 0 for p in fwd),
         }
     return out
@@ -87,6 +102,19 @@ def test_flow_features_against_the_packets(spark, slice_seconds):
             assert r[name] == pytest.approx(value, rel=1e-6, abs=1e-3), name
 
 
+@pytest.mark.parametrize("slice_seconds, bulk, least", [(1.0, 1.0, 4), (0.25, 2.0, 2), (5.0, 10.0, 3)])
+def test_bulks_against_the_packets(spark, slice_seconds, bulk, least):
+    data, df = make(spark, seed=5, n=900)
+    want = brute(data, bulk=bulk, least=least)
+    got = N.flows_from_packets(df, slice_seconds=slice_seconds, bulk_seconds=bulk, bulk_packets=least).collect()
+    names = [f"{d} {c} Avg" for d in ("Fwd", "Bwd") for c in ("Byts/b", "Pkts/b", "Blk Rate")]
+    assert len(got) == len(want)
+    for r in got:
+        start = int((datetime.fromisoformat(r["Timestamp"]) - T0).total_seconds() * 1e6 + 0.5)
+        assert [r[n] for n in names] == [want[(r["Src IP"], r["Src Port"], start)][n] for n in names]
+    assert all(sum(r[n] > 0 for r in got) > 3 for n in names)
+
+
 def test_flows_feed_the_feature_mapping(spark):
     _, df = make(spark, n=50)
     flows = N.flows_from_packets(df)
