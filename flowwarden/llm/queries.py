@@ -233,3 +233,48 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = {"text": F.translate("text", UPPER, LOWER)}
     fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return audit(docs, MANIFEST_FIELDS, lowered, fifth)
+
+
+def _manifest_sql(levels: int = 6, arity: int = 16) -> str:
+    """The manifest in SQL, as many levels as it may need written out; a tree that is done passes them unchanged."""
+    coded = " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END" for c in MANIFEST_FIELDS[:-1])
+    last = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}) || ':' || {0} END"
+    # CRC-32, bit by bit: a byte is put in, or -1 stands for a shift.
+    digits = "string_split(CAST(doc_id AS VARCHAR), '')"
+    ops = f"list_prepend(4294967295, flatten(list_transform({digits}, x -> [ascii(x), -1, -1, -1, -1, -1, -1, -1, -1])))"
+    crc = f"xor(list_reduce({ops}, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+    crc = crc.replace("x -> [", "lambda x: [").replace("[ascii(x)", "[CAST(ascii(x) AS BIGINT)").replace("list_prepend(4294967295", "list_prepend(CAST(4294967295 AS BIGINT)")
+    parts = [
+        f"""docs AS (SELECT *, coalesce('=' || source, '') AS k, {crc} % 5 = 0 AS fifth FROM documents)""",
+        f"""leaves AS (SELECT doc_id, k, row_number() OVER (PARTITION BY k ORDER BY doc_id) - 1 AS p, count(*) OVER (PARTITION BY k) AS n,
+  sha256({coded} || {last.format("text")}) AS leaf,
+  CASE WHEN fifth THEN sha256({coded} || {last.format(f"translate(text, '{UPPER}', '{LOWER}')")}) END AS bent FROM docs)""",
+        "a0 AS (SELECT k, p AS i, n, leaf AS h FROM leaves)",
+        "f0 AS (SELECT doc_id, k, p, coalesce(bent, leaf) AS f, '' AS proof FROM leaves)",
+    ]
+
+    def climb(node: str, path: str, at: int) -> list[str]:
+        return [
+            f"""{node}{at + 1} AS (SELECT k, i // {arity} AS i, (n + {arity - 1}) // {arity} AS n,
+  CASE WHEN n = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {node}{at} GROUP BY k, i // {arity}, n)""",
+            f"""{path}{at + 1} AS (SELECT doc_id, f.k, p // {arity} AS p,
+  CASE WHEN any_value(n) = 1 THEN any_value(f) ELSE sha256(string_agg(CASE WHEN l.i = p THEN f ELSE h END, '' ORDER BY l.i)) END AS f,
+  any_value(proof) || coalesce(string_agg(h, '' ORDER BY l.i) FILTER (WHERE n > 1 AND l.i <> p), '') AS proof
+  FROM {path}{at} f JOIN {node}{at} l ON l.k = f.k AND l.i // {arity} = p // {arity} GROUP BY doc_id, f.k, p)""",
+        ]
+
+    for at in range(levels):
+        parts += climb("a", "f", at)
+    parts += [
+        f"tops AS (SELECT k AS name, h, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM a{levels})",
+        "b0 AS (SELECT '' AS k, i, n, h FROM tops)",
+        f"g0 AS (SELECT doc_id, '' AS k, i AS p, f, proof FROM f{levels} JOIN tops ON name = k)",
+    ]
+    for at in range(levels):
+        parts += climb("b", "g", at)
+    return f"""WITH {", ".join(parts)}
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(g.proof) AS proof_sha256, g.f AS folded_root, g.f = r.h AS verified
+FROM leaves l JOIN tops t ON t.name = l.k JOIN g{levels} g ON g.doc_id = l.doc_id CROSS JOIN b{levels} r"""
+
+
+ORACLES["op13_merkle_manifest"] = _manifest_sql()
