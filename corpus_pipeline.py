@@ -13,7 +13,7 @@ from flowwarden.llm.langid import identify, train
 from flowwarden.llm.linededup import dedup_lines
 from flowwarden.llm.minhash import drop_near_duplicates
 from flowwarden.llm.queries import tokenizer_path
-from flowwarden.llm.text import fresh
+from flowwarden.llm.text import fresh, release
 from flowwarden.session import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -65,4 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if at < len(STAGES) - 1:
             docs = durable(docs)
+            release()
     return docs

@@ -28,10 +28,13 @@ from pyspark.sql import types as T
 
 from flowwarden.llm.text import fresh, ship, shipped, slices, utf8
 
-WORD_TABLE = 600_000
-ARC_BITS = 20
+#: What a worker keeps of encoded words, in bytes with the cost of the entries; a fuller table starts anew.
+TABLE_BYTES = 32 << 20
+ENTRY_BYTES = 200
+ARC_BITS = 19
 ARC_TABLE = 1 << ARC_BITS
-TEXT_BYTES = 4 << 20
+#: Texts encoded at once; the work arrays take about 30 bytes for each byte of words that are not known yet.
+TEXT_BYTES = 1 << 19
 #: Words of the byte-level kind, as the public vocabularies split texts.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -131,7 +134,7 @@ def _open(state: int, label: int, removed: dict, copied: dict, made: dict) -> bo
 class Encoder:
     """Table-driven encoding of words and texts with one automaton; ids are packed in 4 bytes each."""
 
-    def __init__(self, automaton: Automaton, pattern: str = WORD_PATTERN, limit: int = WORD_TABLE):
+    def __init__(self, automaton: Automaton, pattern: str = WORD_PATTERN, limit: int = TABLE_BYTES):
         import regex
 
         self.automaton = automaton
@@ -140,13 +143,14 @@ class Encoder:
         self.marks = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.limit = limit
         self.table: dict[str, bytes] = {}
+        self.held = 0
         self._spell()
         self._forget_arcs()
 
     def _spell(self) -> None:
-        """`step[node * 256 + byte]` is the next node or -1, `ends[node]` the label that ends there or -1.
+        """Labels by their bytes: `arc[i]` is node * 256 + byte, sorted, `onto[i]` the next node, `ends[node]` the label there or -1.
 
-        Nodes without a further byte share one empty row of `step`.
+        A dense table would take a kilobyte a node; the sorted arcs of a vocabulary fit a processor's cache.
         """
         made = self.automaton.made
         ids = {label: i for label, i in self.automaton.ids.items() if len(label) == 1 or i in made}
@@ -155,19 +159,24 @@ class Encoder:
             for cut in range(1, len(label)):
                 rows.setdefault(label[:cut], len(rows))
         inner = len(rows)
-        self.step = np.full((inner + 1, 256), -1, np.int32)
         ends = [ids.get(prefix, -1) for prefix in rows]
-        for prefix, node in rows.items():
-            if prefix:
-                self.step[rows[prefix[:-1]], prefix[-1]] = node
+        arcs = {rows[prefix[:-1]] * 256 + prefix[-1]: node for prefix, node in rows.items() if prefix}
         for label, i in ids.items():
             if label not in rows:
-                self.step[rows[label[:-1]], label[-1]] = len(ends)
+                arcs[rows[label[:-1]] * 256 + label[-1]] = len(ends)
                 ends.append(i)
-        self.step, self.inner = self.step.ravel(), inner
-        self.ends = np.array(ends, np.int32)
+        self.arc, self.onto = np.array(sorted(arcs.items()), np.int32).reshape(-1, 2).T.copy()
+        self.first = np.full(256, -1, np.int32)  # the arcs of the empty prefix
+        self.first[self.arc[self.arc < 256]] = self.onto[self.arc < 256]
+        self.ends, self.inner = np.array(ends, np.int32), inner
         self.length = np.array([len(label) for label in self.automaton.labels], np.int64)
 
+    def _step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """Next nodes, -1 where there is none."""
+        wanted = (node << 8 | byte).astype(np.int32)
+        at = np.minimum(np.searchsorted(self.arc, wanted), len(self.arc) - 1)
+        return np.where(self.arc[at] == wanted, self.onto[at], -1)
+
     def _forget_arcs(self) -> None:
         self.arc_key = np.full(ARC_TABLE, -1, np.int64)
         self.arc_open = np.zeros(ARC_TABLE, bool)
@@ -218,9 +227,9 @@ class Encoder:
             at = base[:active] + start
             end = base[:active] + n[:active]
             before = last[at]
-            node = np.zeros(active, np.int64)
+            node = None
             while len(at):
-                node = self.step[node * 256 + data[at]]
+                node = self.first[data[at]] if node is None else self._step(node, data[at])
                 at = at + 1
                 label = np.where(node >= 0, self.ends[node], -1)
                 ask = np.flatnonzero((label >= 0) & (last[at] < 0))
@@ -248,12 +257,13 @@ class Encoder:
         return out
 
     def learn(self, words: set[str]) -> None:
-        """Encodes the words that are not in the table yet; a full table starts anew."""
+        """Encodes the words that are not in the table yet; a table that is full before that starts anew."""
+        if self.held > self.limit:
+            self.table, self.held = {}, 0
         new = list(words - self.table.keys())
-        if len(new) + len(self.table) > self.limit:
-            self.table.clear()
-            new = list(words)
-        self.table.update(zip(new, self.words([w.encode() for w in new]), strict=True))
+        packed = self.words([w.encode() for w in new])
+        self.table.update(zip(new, packed, strict=True))
+        self.held += ENTRY_BYTES * len(new) + sum(map(len, new)) + sum(map(len, packed))
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text; special tokens in a text get their own id."""

@@ -205,9 +205,23 @@ def sample_share(column: Column, share: Column | float) -> Column:
     return F.pmod(F.xxhash64(column, F.lit("sample")), F.lit(1 << 40)) < F.lit(float(1 << 40)) * share
 
 
+_sent: list[Broadcast] = []
+
+
 def ship(spark: SparkSession, value: Any) -> Broadcast:
     """Broadcasts an object with its class, so executors need not have this package installed."""
-    return spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+    _sent.append(spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)}))
+    return _sent[-1]
+
+
+def release() -> None:
+    """Lets executors drop what was shipped so far; a table that still needs it fetches it again."""
+    while _sent:
+        try:
+            _sent.pop().unpersist()
+        except Exception as gone:  # noqa: BLE001
+            if "stopped" not in str(gone).lower():
+                raise
 
 
 def shipped(sent: Broadcast, ready: Callable[[Any], Any] = lambda value: value) -> Any:
