@@ -12,11 +12,14 @@ from flowwarden.bindings.blocking import STATE_COLUMNS, _state
 from flowwarden.bindings.detection import CONFIG, _alerts_sql, _flat_alerts
 from flowwarden.bindings.files import MIXED_SQL, mixed_rows, write_mixed
 from flowwarden.bindings.registry import query, sql_ts, text_ts
+from flowwarden.functions import scalars as S
 from flowwarden.operators import detect as D
+from flowwarden.schema import CONFIDENCE_FLOOR, TIERS, RetryConfig
 from flowwarden.session import scratch_path
 from flowwarden.sources import readers
 from flowwarden.streaming import block_stream as BS
 from flowwarden.streaming import detect_stream as DS
+from flowwarden.streaming import retry_stream as RS
 
 SPLIT = "2024-01-16"  # the second instalment holds all that is not before, whatever its date
 
@@ -150,3 +153,103 @@ def stream_empty_files(spark, sf):
         scored = stream.withColumn("p", F.col("p").cast("double")).withColumn("file", capture)
         DS.alert_stream(scored, out, mark, CONFIG).awaitTermination()
     return _stored_stats(DS.RollingAlerts(out, CONFIG), spark)
+
+
+RETRY = RetryConfig(interval_seconds=3 * 3600, max_attempts=4)
+END = "2024-03-01 00:00:00"  # a tick after all events lets the timers run out
+
+
+def _goes_through(record):
+    return (record["flows"] + record["attempts"]) % 5 == 0
+
+
+@query(
+    "stream_retry",
+    B.with_(B.FLOWS, B.ALERTS)
+    + f""", e AS (SELECT *, CASE WHEN alert_id % 3 = 0 THEN 'failed' WHEN alert_id % 20 = 1 THEN 'whitelisted' WHEN alert_id % 20 = 2 THEN 'blocked' END AS kind FROM alerts),
+n AS (SELECT *, lead(ts) OVER w AS next_ts, lead(kind) OVER w AS next_kind FROM e WHERE kind IS NOT NULL WINDOW w AS (PARTITION BY ip ORDER BY ts, alert_file)),
+f AS (SELECT * FROM n WHERE kind = 'failed'),
+tries AS (SELECT f.*, k, ts + to_seconds(k * {RETRY.interval_seconds}) AS due,
+    CASE WHEN k >= {RETRY.max_attempts} THEN 'gave_up' WHEN (total_flows + k) % 5 = 0 THEN 'blocked' ELSE 'requeued' END AS outcome
+  FROM f, range(1, {RETRY.max_attempts + 1}) t(k)),
+upto AS (SELECT alert_id, min(k) AS last FROM tries WHERE outcome <> 'requeued' GROUP BY alert_id),
+made AS (SELECT t.* FROM tries t JOIN upto u USING (alert_id) WHERE k <= last AND due <= coalesce(next_ts, TIMESTAMP '{END}')),
+log AS (
+  SELECT alert_id, 'queued' AS result, 1 AS attempts, ts AS at, ts + to_seconds({RETRY.interval_seconds}) AS next_retry FROM f
+  UNION ALL SELECT alert_id, outcome, CASE WHEN outcome = 'requeued' THEN k + 1 ELSE k END, due,
+    CASE WHEN outcome = 'requeued' THEN due + to_seconds({RETRY.interval_seconds}) END FROM made
+  UNION ALL SELECT f.alert_id, CASE f.next_kind WHEN 'failed' THEN 'replaced' ELSE f.next_kind END, 1 + count(m.k), any_value(f.next_ts), NULL
+    FROM f LEFT JOIN made m USING (alert_id) WHERE f.next_ts IS NOT NULL
+    GROUP BY f.alert_id, f.next_kind HAVING coalesce(bool_and(m.outcome = 'requeued'), true))
+SELECT f.ip, f.alert_file, log.result, CAST(log.attempts AS BIGINT) AS attempts, {sql_ts('log."at"')} AS at, {sql_ts('log.next_retry')} AS next_retry
+FROM log JOIN f USING (alert_id)""",
+)
+def stream_retry(spark, sf):
+    """Failed blocks wait in keyed state and are tried again by timers, until they pass, are given up, replaced or withdrawn."""
+    root = scratch_path(spark, "retry")
+    inbox, out, mark = (os.path.join(root, x) for x in ("inbox", "out", "checkpoint"))
+    alert = F.col("alert_id")
+    kind = F.when(alert % 3 == 0, "failed").when(alert % 20 == 1, "whitelisted").when(alert % 20 == 2, "blocked")
+    tiered = S.tier_of("confidence", TIERS, CONFIDENCE_FLOOR)
+    events = B.alerts(spark, sf).select(
+        "ip", kind.alias("kind"), "ts", tiered.alias("tier"), S.tier_alias(tiered, TIERS).alias("alias"), "confidence",
+        F.col("total_flows").alias("flows"), "alert_file",
+    ).filter("kind is not null")
+    tick = spark.range(1).select(F.lit("0.0.0.0").alias("ip"), F.lit("tick").alias("kind"), F.to_timestamp(F.lit(END)).alias("ts"))
+    with _few_partitions(spark):
+        for part in [*_instalments(events), tick]:
+            part.write.mode("append").parquet(inbox)
+            stream = spark.readStream.schema(events.schema).parquet(inbox)
+            RS.retry_stream(stream, _goes_through, out, mark, RETRY, late="0 seconds").awaitTermination()
+    log = spark.read.parquet(out)
+    return log.select("ip", "alert_file", "result", "attempts", text_ts("ts").alias("at"), text_ts("next_retry").alias("next_retry"))
+
+
+# An address that the first list knows and the second one does not, and the other way round.
+LATER_LIST = ("10.0.0.5", "10.0.0.40/29", "10.0.0.33/24", "10.0.0.60")
+
+
+@query(
+    "stream_whitelist_change",
+    B.with_(B.FLOWS, B.ALERTS, B.TIERED, B.whitelist_sql())
+    + f""", verdict AS (SELECT *, CASE WHEN ts < TIMESTAMP '{SPLIT} 00:00:00' THEN {B.listed('ip')}
+   ELSE EXISTS (SELECT 1 FROM (VALUES ('10.0.0.5'), ('10.0.0.60')) v(e) WHERE e = ip) OR {B.ip_number('ip')} BETWEEN {B.ip_number("'10.0.0.40'")} AND {B.ip_number("'10.0.0.47'")} END AS listed
+  FROM alerts)
+SELECT alert_id, ip, CASE WHEN confidence < 0.70 THEN 'below_threshold' WHEN listed THEN 'whitelisted' ELSE 'accepted' END AS status FROM verdict""",
+)
+def stream_whitelist_change(spark, sf):
+    """The whitelist file changes between two instalments; each batch is judged by the list of its time."""
+    root = scratch_path(spark, "lists")
+    inbox, mid, listed = (os.path.join(root, x) for x in ("inbox", "intake", "list"))
+    alerts = B.alerts(spark, sf)
+    for part, entries in zip(_instalments(alerts), (B.WHITELIST, LATER_LIST), strict=True):
+        lines = B.whitelist(spark, entries).select(F.to_json(F.create_map("entry", F.struct(F.lit("test").alias("reason")))).alias("value"))
+        lines.write.mode("overwrite").text(listed)
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(alerts.schema).parquet(inbox)
+        BS.intake_stream(stream, mid, os.path.join(root, "c1"), lambda s: readers.read_whitelist(s, listed)).awaitTermination()
+    return BS.verdicts(spark, mid, alerts.schema).select("alert_id", "ip", "status")
+
+
+@query(
+    "stream_unblocks",
+    EPISODES + f"""SELECT ip, episode, tier, attempt_count, {sql_ts('blocked_at')} AS blocked_at, {sql_ts('unblock_at')} AS unblocked_at
+FROM episodes WHERE NOT {B.listed('ip')} AND tier <> 'permanent' AND unblock_at IS NOT NULL""",
+)
+def stream_unblocks(spark, sf):
+    """Every block that ends is lifted by its timer: the unblock rows of the action log, after a last tick of the clock."""
+    root = scratch_path(spark, "unblock")
+    inbox, mid, out = (os.path.join(root, x) for x in ("inbox", "intake", "actions"))
+    alerts = B.alerts(spark, sf)
+    tick = alerts.limit(1).withColumn("ip", F.lit("255.0.0.1")).withColumn("ts", F.to_timestamp(F.lit(END))).withColumn("confidence", F.lit(0.99))
+    with _few_partitions(spark):
+        for part in [*_instalments(alerts), tick]:
+            part.write.mode("append").parquet(inbox)
+            stream = spark.readStream.schema(alerts.schema).parquet(inbox)
+            BS.intake_stream(stream, mid, os.path.join(root, "c1"), B.whitelist).awaitTermination()
+            slices = BS.stream_slices(spark, mid, "bigint")
+            BS.block_stream(slices, out, os.path.join(root, "c2"), id_type="bigint").awaitTermination()
+    gone = spark.read.parquet(out).filter("action = 'unblock'")
+    return gone.select(
+        "ip", "episode", "tier", "attempt_count", text_ts("blocked_at").alias("blocked_at"), text_ts("unblock_at").alias("unblocked_at")
+    )

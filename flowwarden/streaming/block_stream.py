@@ -55,6 +55,12 @@ def accepted_slices(accepted: DataFrame, tiers: Iterable[Tier] = TIERS, floor: f
     )
 
 
+def verdicts(spark: SparkSession, path: str, alerts: T.StructType) -> DataFrame:
+    """The logged verdicts of an intake whose alerts have the given schema."""
+    schema = T.StructType([*alerts.fields, T.StructField("status", T.StringType())])
+    return spark.read.schema(schema).parquet(os.path.join(path, "verdicts"))
+
+
 class Intake:
     """Tables of the intake step below one folder: `verdicts` and `slices`."""
 
