@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 
 from flowwarden.bindings import base as B
 from flowwarden.bindings.registry import query, sql_round, sql_ts, table, text_ts
+from flowwarden.functions import scalars as S
 from flowwarden.functions.scalars import lines_to_list, list_to_lines, rounded
 from flowwarden.operators import detect as D
 from flowwarden.operators import packets as N
 from flowwarden.operators import windows as W
 from flowwarden.operators.blocks import to_block_alerts
 from flowwarden.operators.positions import ordered_position
+from flowwarden.plans.blocking import block
+from flowwarden.plans.detection import detect
 from flowwarden.schema import DetectConfig
 from flowwarden.session import scratch_path
 from flowwarden.sources import inventory as I
 from flowwarden.sources import readers, writers
+from flowwarden.sources import sweep
+from flowwarden.sources.state import StateTable
 
 GAP_HOURS = 6
 
@@ -302,17 +307,30 @@ def flow_csv_roundtrip(spark, sf):
     return back.select("src_ip", "dst_ip", "src_port", "dst_port", "protocol", "flow_ts", "duration", total)
 
 
-@query(
-    "alerts_to_blocks",
+BLOCK_ALERTS_SQL = (
     B.with_(B.FLOWS, B.HITS, B.FILES, B.SLOTS, B.WINDOWS)
-    + f"""SELECT 'SSH_BF_' || replace(src_ip, '.', '') || '_' || strftime(window_ts, '%Y%m%d%H%M%S') AS alert_id, src_ip AS ip,
-  {sql_ts('window_ts')} AS alert_ts, conf_avg AS confidence, n_flows AS total_flows,
-  'alert_' || replace(src_ip, '.', '_') || '_' || strftime(window_ts, '%Y%m%d_%H%M%S') || '.json' AS alert_file
-FROM (SELECT s.window_id, h.src_ip, count(*) AS n_flows, {B.CONFIDENCE} FROM hits h JOIN slots s ON h.file = s.file GROUP BY s.window_id, h.src_ip)
-JOIN windows USING (window_id)""",
+        + f"""SELECT 'SSH_BF_' || replace(src_ip, '.', '') || '_' || strftime(window_ts, '%Y%m%d%H%M%S') AS alert_id, src_ip AS ip,
+      {sql_ts('window_ts')} AS alert_ts, conf_avg AS confidence, n_flows AS total_flows,
+      'alert_' || replace(src_ip, '.', '_') || '_' || strftime(window_ts, '%Y%m%d_%H%M%S') || '.json' AS alert_file
+    FROM (SELECT s.window_id, h.src_ip, count(*) AS n_flows, {B.CONFIDENCE} FROM hits h JOIN slots s ON h.file = s.file GROUP BY s.window_id, h.src_ip)
+    JOIN windows USING (window_id)"""
 )
+
+
+@query("alerts_to_blocks", BLOCK_ALERTS_SQL)
 def alerts_to_blocks(spark, sf):
     """Alerts to documents, some of them in several parts, read back as the block policy takes them: each alert once."""
+    path = scratch_path(spark, "alerts")
+    writers.write_alerts(_alert_parts(spark, sf), path)
+    return _taken(readers.read_alerts(spark, path))
+
+
+def _taken(documents):
+    taken = to_block_alerts(documents)
+    return taken.select("alert_id", "ip", text_ts("ts").alias("alert_ts"), "confidence", "total_flows", "alert_file")
+
+
+def _alert_parts(spark, sf):
     config = DetectConfig(threshold=B.THRESHOLD, window_files=B.N_FILES)
     placed = ordered_position(B.flows(spark, sf), ["event_id"], ["file"], name="row_pos")
     placed = placed.withColumn("row_pos", F.col("row_pos") - 1)
@@ -320,10 +338,64 @@ def alerts_to_blocks(spark, sf):
     found = D.hits(placed, config)
     alerts = D.alerts_from(W.window_groups(found, files, B.N_FILES), W.window_table(files, B.N_FILES), config)
     targets = W.window_targets(found, files, B.N_FILES, "row_pos")
-    path = scratch_path(spark, "alerts")
-    writers.write_alerts(writers.alert_documents(alerts, W.flow_index(found, files, B.N_FILES), targets, part_rows=3), path)
-    taken = to_block_alerts(readers.read_alerts(spark, path))
-    return taken.select("alert_id", "ip", text_ts("ts").alias("alert_ts"), "confidence", "total_flows", "alert_file")
+    return writers.alert_documents(alerts, W.flow_index(found, files, B.N_FILES), targets, part_rows=3)
+
+
+@query("stream_alert_files", BLOCK_ALERTS_SQL)
+def stream_alert_files(spark, sf):
+    """The same documents as a stream of files, split by line."""
+    root = scratch_path(spark, "alert-stream")
+    writers.write_alerts(_alert_parts(spark, sf), f"{root}/inbox")
+    stream = readers.stream_alerts(spark, f"{root}/inbox/*", by_line=True)
+    writer = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return _taken(spark.read.schema(stream.schema).parquet(f"{root}/out"))
+
+
+@query(
+    "stats_roundtrip",
+    B.with_(B.FLOWS, B.HITS, B.FILES, B.SLOTS, B.WINDOWS)
+    + f"""SELECT window_id, 'window_' || n_files || '_csvs' AS csv_filename, total_flows, attack_flows, unique_attackers, unique_attackers AS in_maps,
+  attack_flows AS map_flows, greatest(CAST(ceil(unique_attackers / 20.0) AS BIGINT), 1) AS parts, {sql_ts('window_ts')} AS stats_ts
+FROM (SELECT s.window_id, count(*) AS attack_flows, count(DISTINCT src_ip) AS unique_attackers FROM hits h JOIN slots s ON h.file = s.file GROUP BY s.window_id)
+JOIN windows USING (window_id)""",
+)
+def stats_roundtrip(spark, sf):
+    """Statistics documents in parts, written as JSON and read back: together the maps hold every attacker and hit."""
+    flows = B.flows(spark, sf)
+    config = DetectConfig(threshold=B.THRESHOLD, window_files=B.N_FILES)
+    files = W.file_table(flows)
+    groups, windows = W.window_groups(D.hits(flows, config), files, B.N_FILES), W.window_table(files, B.N_FILES)
+    kept = W.existing_windows(groups, windows)
+    path = scratch_path(spark, "stats")
+    for _ in range(2):  # a window that is written again replaces itself
+        writers.write_stats(writers.stats_documents(D.window_stats(kept, windows, config), D.window_attackers(kept), part_rows=20), path)
+    schema = "window_id bigint, timestamp timestamp, csv_filename string, total_flows bigint, attack_flows bigint, unique_attackers bigint, attackers map<string,bigint>"
+    back = spark.read.schema(schema).json(path)
+    hits = F.aggregate(F.coalesce(F.map_values("attackers"), F.array().cast("array<bigint>")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return back.groupBy("window_id", "csv_filename", "total_flows", "attack_flows", "unique_attackers", text_ts("timestamp").alias("stats_ts")).agg(
+        F.sum(F.size("attackers")).alias("in_maps"), F.sum(hits).alias("map_flows"), F.count(F.lit(1)).alias("parts")
+    )
+
+
+@query(
+    "nothing_found",
+    """SELECT 'files' AS what, count(DISTINCT date_trunc('day', ts)) AS n FROM events
+UNION ALL SELECT w, count(*) FILTER (WHERE event_id < 0) FROM events, (VALUES ('alerts'), ('stats'), ('episodes'), ('aliases'), ('no files')) t(w) GROUP BY w""",
+)
+def nothing_found(spark, sf):
+    """Files without a hit give windows and nothing else, and no flows at all give no files."""
+    flows, config = B.flows(spark, sf), DetectConfig(threshold=B.THRESHOLD, window_files=B.N_FILES)
+    run = detect(flows.withColumn("p", F.lit(0.0)), config)
+    none = detect(flows.filter("event_id < 0"), config)
+    now = F.to_timestamp(F.lit(NOW))
+    policy = block(to_block_alerts(run.alerts), B.whitelist(spark), now, now)
+    parts = {"files": run.files, "alerts": run.alerts, "stats": run.stats, "episodes": policy.episodes, "aliases": policy.active, "no files": none.files}
+    counts = [df.agg(F.lit(what).alias("what"), F.count(F.lit(1)).alias("n")) for what, df in parts.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
 
 
 MIXED = {"Src IP": "src_ip", "Dst Port": "dst_port", "Protocol": "protocol", "Flow Duration": "duration", "Tot Fwd Pkts": "event_id"}
@@ -444,3 +516,69 @@ def text_lines(spark, sf):
     """Alias text to its entries and back."""
     items = table(spark, sf, "benchmark").withColumn("l", lines_to_list("text"))
     return items.select("item_id", F.size("l").cast("bigint").alias("n_lines"), list_to_lines("l").alias("lines"))
+
+
+STATE_BATCHES = 8
+STATE_SQL = f"""WITH e AS (SELECT user_id, event_id, CAST(dayofyear(ts) * {STATE_BATCHES} // 31 AS BIGINT) AS batch FROM events),
+b AS (SELECT user_id, batch, max(event_id) AS newest, count(*) AS n FROM e WHERE (user_id + batch) % 3 <> 0 GROUP BY user_id, batch),
+z AS (SELECT user_id, max(batch) AS batch FROM b GROUP BY user_id)
+SELECT '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip, batch, newest, n FROM b JOIN z USING (user_id, batch) WHERE newest % 7 <> 0"""
+
+
+@query("state_many_batches", STATE_SQL)
+def state_many_batches(spark, sf):
+    """State after many batches of new, replaced and leaving rows, compacted in between; one batch is written twice."""
+    batch = F.floor(F.dayofyear("ts") * STATE_BATCHES / 31).cast("bigint")
+    user = F.col("user_id")
+    ip = F.concat(F.lit("10.0."), F.floor(user / 256).cast("string"), F.lit("."), (user % 256).cast("string"))
+    e = _events(spark, sf).select(user, ip.alias("ip"), "event_id", batch.alias("batch")).filter((user + F.col("batch")) % 3 != 0)
+    sums = e.groupBy("ip", "batch").agg(F.max("event_id").alias("newest"), F.count(F.lit(1)).alias("n"))
+    state = StateTable(spark, scratch_path(spark, "state"), "ip string, batch bigint, newest bigint, n bigint", buckets=16)
+    for b in [r["batch"] for r in sums.select("batch").distinct().orderBy("batch").collect()]:  # a few batches, by the calendar
+        mine = sums.filter(F.col("batch") == b)
+        for _ in range(2 if b == 3 else 1):
+            state.apply(b, mine.filter("newest % 7 <> 0"), mine.filter("newest % 7 = 0").select("ip"))
+        if b % 3 == 2:
+            state.compact(least=2)
+    return state.read()
+
+
+SWEEP_POLICIES = (("csv", 30 * 24 * 60), ("pcap", 20 * 24 * 60))
+SWEEP_SQL = f"""WITH {INVENTORY}, f AS (SELECT *, CASE WHEN path LIKE '%.csv' THEN 'csv' ELSE 'pcap' END AS folder FROM inventory),
+j AS (SELECT *, CASE WHEN folder = 'csv' THEN mtime < TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 30 DAYS ELSE mtime < TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 20 DAYS END AS old,
+  folder = 'csv' AND hour(mtime) >= 12 AS moves FROM f)
+SELECT folder, count(*) FILTER (WHERE old) AS deleted, count(*) FILTER (WHERE NOT old AND moves) AS moved, count(*) FILTER (WHERE NOT old AND NOT moves) AS kept,
+  CAST(0 AS BIGINT) AS again FROM j GROUP BY folder"""
+
+
+@query("archive_and_retention", SWEEP_SQL)
+def archive_and_retention(spark, sf):
+    """Real files, one an hour of events: old ones are deleted by folder, others archived; a second run changes nothing."""
+    root = scratch_path(spark, "sweep")
+    listed = _inventory(spark, sf).withColumn("folder", F.when(F.col("path").endswith(".csv"), "csv").otherwise("pcap"))
+    named = listed.select(F.lit("x").alias("value"), "folder", S.base_name("path").alias("name"))
+    named.write.partitionBy("folder", "name").text(f"{root}/data")
+    name = F.regexp_extract("path", "/name=([^/]+)/", 1)
+    times = listed.select(S.base_name("path").alias("name"), F.col("modificationTime").alias("seen"))
+
+    def now_there():
+        # A folder stands for a file's name; what it is told of its age comes from the events.
+        files = I.file_inventory(spark, f"{root}/data/*/*").withColumn("name", name).join(times, "name")
+        return files.select("path", "length", F.col("seen").alias("modificationTime"), "name")
+
+    folder = F.regexp_extract("path", "/folder=([^/]+)/", 1)
+    base = f"{root}/data".removeprefix("file:")
+    policies = [sweep.Policy(f, f"{base}/folder={f}", ("part-*",), minutes) for f, minutes in SWEEP_POLICIES]
+    now = F.to_timestamp(F.lit("2024-02-10 00:00:00"))
+    runs = []
+    for again in (0, 1):
+        gone = sweep.carry_out(sweep.retention_plan(now_there(), now, policies), f"{root}/journal/delete-{again}")
+        late = now_there().filter((folder == "csv") & (F.hour("modificationTime") >= 12))
+        moves = sweep.archive_plan(late, f"{root}/archive").withColumn("target", F.concat(F.lit(f"{root}/archive/"), name))
+        runs.append(gone.unionByName(sweep.carry_out(moves, f"{root}/journal/move-{again}")).withColumn("folder", folder))
+    done = F.col("outcome") == "done"
+    first = runs[0].groupBy("folder").agg(F.count_if(done & (F.col("action") == "delete")).alias("deleted"), F.count_if(done & (F.col("action") == "move")).alias("moved"))
+    left = I.file_inventory(spark, f"{root}/data/*/*").groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("kept"))
+    second = runs[1].groupBy("folder").agg(F.count_if(done).alias("again"))
+    both = first.join(left, "folder", "full").join(second, "folder", "left")
+    return both.select("folder", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("deleted", "moved", "kept", "again")])

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import os
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from flowwarden.bindings import base as B
 from flowwarden.bindings.registry import query, sql_round, table
 from flowwarden.functions.scalars import rounded
 from flowwarden.operators import metrics as M
 from flowwarden.operators import sampling as P
 from flowwarden.operators import smote as O
-from flowwarden.operators.forest import score, train_forest
-from flowwarden.schema import ForestConfig
-from flowwarden.session import durable
+from flowwarden.operators.detect import hit_predicate
+from flowwarden.operators.features import align_features, clean_numeric, feature_columns, validate_schema
+from flowwarden.operators.forest import load_model, save_model, score, train_forest
+from flowwarden.plans.detection import score_flows
+from flowwarden.schema import INTERNAL, DetectConfig, ForestConfig
+from flowwarden.session import durable, scratch_path
+from flowwarden.sources import readers
 
 
 @query("class_distribution", "SELECT quality, count(*) AS n FROM labels GROUP BY quality")
@@ -181,3 +189,98 @@ def forest_scores(spark, sf):
     return scored.select(
         "vec_id", F.col("target").cast("int").alias("target"), "split", F.col("p").between(0, 1).alias("p_in_range"), fits.alias("pred_fits_p")
     ).withColumn("beats_majority", better.scalar())
+
+
+# A flow to port 22 is an attack here, so what a forest should say is known in SQL as well.
+RULE_FEATURES = ["destination_port", "flow_duration", "total_fwd_packets"]
+RULE_FOREST = ForestConfig(trees=20, depth=6, min_leaf=1)
+RULE_HEADER = {"src_ip": "Src IP", "dst_ip": "Dst IP", "dst_port": "Dst Port", "protocol": "Protocol", "duration": "Flow Duration", "event_id": "Tot Fwd Pkts"}
+
+
+def _rule_flows(spark, sf):
+    return B.flows(spark, sf).select(*[F.col(k).alias(v) for k, v in RULE_HEADER.items()], "file")
+
+
+def _rule_model(spark, sf):
+    """A forest fitted on the even events, saved and loaded again; also the one in memory."""
+    aligned = align_features(_rule_flows(spark, sf), keep=["Tot Fwd Pkts"])
+    fit = aligned.filter(F.col("`Tot Fwd Pkts`") % 2 == 0).withColumn("target", (F.col("destination_port") == 22).cast("int"))
+    model = train_forest(clean_numeric(fit, RULE_FEATURES), RULE_FEATURES, config=RULE_FOREST)
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    return model, load_model(path, RULE_FEATURES)
+
+
+@query(
+    "model_roundtrip",
+    B.with_(B.FLOWS)
+    + """SELECT CASE WHEN dst_port = 22 THEN 1 ELSE 0 END AS target, CASE WHEN dst_port = 22 THEN 1 ELSE 0 END AS pred, count(*) AS n,
+  count(*) AS same_p, CAST(78 AS BIGINT) AS features, CAST(0 AS BIGINT) AS out_of_place FROM flows GROUP BY 1, 2""",
+)
+def model_roundtrip(spark, sf):
+    """Confusion counts of a forest that was saved and loaded, its scores against the one in memory, and the feature checks."""
+    model, loaded = _rule_model(spark, sf)
+    flows = _rule_flows(spark, sf)
+    aligned = align_features(flows, keep=["Tot Fwd Pkts"], canonical=False)
+    rows = aligned.withColumn("target", (F.col("destination_port") == 22).cast("int"))
+    both = score(loaded, score(model, rows).withColumnsRenamed({"p": "p0", "pred": "pred0"}))
+    shown = align_features(flows, canonical=True)
+    counts = both.groupBy("target", "pred").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p") == F.col("p0")).alias("same_p"))
+    return counts.select(
+        "target", "pred", "n", "same_p", F.lit(len(feature_columns(shown))).cast("bigint").alias("features"),
+        F.lit(len(validate_schema(shown))).cast("bigint").alias("out_of_place"),
+    )
+
+
+@query(
+    "stream_model_scores",
+    B.with_(B.FLOWS)
+    + """SELECT src_ip, count(*) AS flows, count(*) FILTER (WHERE dst_port = 22) AS hits, count(*) FILTER (WHERE dst_port = 22) AS alarms FROM flows GROUP BY src_ip""",
+)
+def stream_model_scores(spark, sf):
+    """Flow files stream in, each by its own header, and a forest that was saved and loaded scores them."""
+    _, loaded = _rule_model(spark, sf)
+    root = scratch_path(spark, "scores")
+    inbox, out, mark = (os.path.join(root, x) for x in ("inbox", "out", "checkpoint"))
+    names = list(RULE_HEADER.values())
+    flows = _rule_flows(spark, sf)
+    for part, order in enumerate((names, names[::-1])):
+        mine = flows.filter(F.col("`Tot Fwd Pkts`") % 2 == part).select(*order)
+        mine.write.option("header", True).csv(f"{inbox}/{part}")
+    stream = readers.stream_flows(spark, f"{inbox}/*").filter("is_flow")
+    writer = score_flows(loaded, stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", mark)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    scored = spark.read.parquet(out)
+    hit = hit_predicate(DetectConfig().threshold)
+    return scored.groupBy("src_ip").agg(
+        F.count(F.lit(1)).alias("flows"), F.count_if(hit).alias("hits"), F.count_if(F.col("pred") == 1).alias("alarms")
+    )
+
+
+LABELLED_SQL = """SELECT CASE WHEN event_id % 5 = 0 THEN 'SSH-Patator' WHEN event_id % 5 = 1 THEN 'FTP-Patator' ELSE 'BENIGN' END AS label, count(*) AS n,
+  CAST(sum(event_id % 1000) AS DOUBLE) AS fwd_packets, CAST(sum(event_id % 65536) AS DOUBLE) AS port FROM events GROUP BY 1"""
+
+
+@query("labelled_scan", LABELLED_SQL)
+def labelled_scan(spark, sf):
+    """Two labelled files in the training format, one of its names twice, written and read back by position."""
+    e = table(spark, sf, "events").select("event_id")
+    label = F.when(F.col("event_id") % 5 == 0, "SSH-Patator").when(F.col("event_id") % 5 == 1, "FTP-Patator").otherwise("BENIGN")
+    known = {"total_fwd_packets": F.col("event_id") % 1000, "destination_port": F.col("event_id") % 65536, "label": label}
+    root = scratch_path(spark, "labelled")
+    header = ",".join(readers.labelled_header())
+    line = F.concat_ws(",", *[known.get(n, F.lit(0)).cast("string") for n in INTERNAL]).alias("value")
+
+    def headed(batches):
+        # The repeated name cannot be a column, so every file of lines begins with the header as one of them.
+        for values in ([header], *(batch.column(0).to_pylist() for batch in batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
+
+    paths = []
+    for day in range(2):
+        paths.append(f"{root}/day{day}")
+        e.filter(F.col("event_id") % 2 == day).select(line).mapInArrow(headed, "value string").write.text(paths[-1])
+    back = readers.read_labelled(spark, paths)
+    return back.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_fwd_packets").alias("fwd_packets"), F.sum("destination_port").alias("port")
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -14,15 +13,16 @@ BROADCAST_ROWS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only in local mode."""
+    """The shared folder that `spark.checkpoint.dir` names; where it is unset, a folder of the warehouse that all executors reach."""
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    local = not warehouse or warehouse.startswith(("file:", "/"))
+    if not warehouse or (local and not context.master.startswith("local")):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="flowwarden-"))
-    return context.getCheckpointDir()
+    return f"{warehouse.rstrip('/')}/flowwarden-scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

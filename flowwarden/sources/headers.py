@@ -47,8 +47,8 @@ def is_known(names: Sequence[str]) -> bool:
     return not KNOWN.isdisjoint(names)
 
 
-def first_line(uri: str) -> str:
-    """The first line of a file, without the rest; raises where no Arrow file system knows the place."""
+def first_line(uri: str, most: int | None = None) -> str:
+    """The first line of a file (or its first `most` bytes), without the rest; raises where no Arrow file system knows the place."""
     parts = urlsplit(uri)
     if parts.scheme in ("", "file"):
         system, at = pfs.LocalFileSystem(), parts.path
@@ -56,7 +56,7 @@ def first_line(uri: str) -> str:
         system, at = pfs.FileSystem.from_uri(quote(uri, safe=":/@?&=%"))
     with system.open_input_stream(at) as stream:
         data = b""
-        while b"\n" not in data and (more := stream.read(FIRST_BYTES)):
+        while b"\n" not in data and (most is None or len(data) < most) and (more := stream.read(FIRST_BYTES)):
             data += more
     return data.split(b"\n", 1)[0].decode("utf-8", "replace").removeprefix(MARK).rstrip("\r")
 
@@ -77,7 +77,7 @@ def _first_lines_by_hadoop(spark: SparkSession, paths: Sequence[str]) -> Iterato
         yield from pool.map(one, paths)
 
 
-def first_lines(files: DataFrame) -> DataFrame:
+def first_lines(files: DataFrame, most: int | None = None) -> DataFrame:
     """(path, line) of a listing; a null line where no Arrow file system reads the place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +85,7 @@ def first_lines(files: DataFrame) -> DataFrame:
             paths, lines = batch.column(0).to_pylist(), []
             for path in paths:
                 try:
-                    lines.append(first_line(path))
+                    lines.append(first_line(path, most))
                 except FileNotFoundError:
                     raise
                 except (OSError, pa.ArrowException):

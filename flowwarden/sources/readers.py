@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from flowwarden.operators.features import quoted, with_identity
 from flowwarden.schema import ALERT_SCHEMA, CANONICAL, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
-from flowwarden.sources.headers import header_groups, parsed_lines
+from flowwarden.sources.headers import FIRST_BYTES, first_lines, header_groups, parsed_lines
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -123,24 +123,45 @@ def _documents() -> tuple[Column, Column]:
     return lines, F.forall(lines, lambda x: F.trim(x).startswith("{") & F.rtrim(x).endswith("}"))
 
 
-def _alert_rows(docs: DataFrame) -> DataFrame:
-    """Alerts of whole JSON texts: an indented document, or one document a line; bad texts give no row.
+def _alert_rows(docs: DataFrame, by_line: bool = False) -> DataFrame:
+    """Alerts of JSON texts: one document a row with `by_line`, else whole files, indented or one document a line; bad texts give no row.
 
     A document that carries its own `alert_file` keeps it; else it is named after the file that holds it.
     """
     one = F.from_json("value", ALERT_SCHEMA)
-    lines, by_line = _documents()
-    each = F.transform(lines, lambda x: F.from_json(x, ALERT_SCHEMA))
-    docs = docs.select(F.explode(F.when(by_line, each).otherwise(F.array(one))).alias("doc"), F.col("_metadata.file_name").alias("_name"))
+    if by_line:
+        doc = one
+    else:
+        lines, each_line = _documents()
+        each = F.transform(lines, lambda x: F.from_json(x, ALERT_SCHEMA))
+        doc = F.explode(F.when(each_line, each).otherwise(F.array(one)))
+    docs = docs.select(doc.alias("doc"), F.col("_metadata.file_name").alias("_name"))
     named = F.coalesce("alert_file", "_name").alias("alert_file")
     rows = docs.select("doc.*", "_name").filter(F.coalesce("alert_id", "attacker_ip").isNotNull())
     return rows.select(*[c for c in ALERT_SCHEMA.names if c != "alert_file"], named)
 
 
 def read_alerts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Alert documents with their `alert_file`: files hold one indented document, or one document a line."""
+    """Alert documents with their `alert_file`: files hold one indented document, or one document a line.
+
+    The beginning of each file tells which: an indented document starts with a line that is a brace only.  Files of lines
+    are read by the splittable reader, so a file's size does not matter; an indented document is one row.
+    """
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    return _alert_rows(reader.text(path, wholetext=True))
+    listing = reader.format("binaryFile").load(path).select("path", "length").filter(F.col("length") > 0)
+    # Beyond its first bytes a line is not looked at; a place that Arrow does not know is read whole.
+    line = F.trim("line")
+    kinds = first_lines(listing, FIRST_BYTES).select("path", F.coalesce((line != "{") & line.startswith("{"), F.lit(False)).alias("by_line"))
+    paths: dict[bool, list[str]] = {True: [], False: []}
+    for r in kinds.collect():
+        paths[r["by_line"]].append(r["path"])
+    parts = []
+    if paths[True]:
+        parts.append(_alert_rows(spark.read.text(paths[True]), by_line=True))
+    if paths[False] or not parts:
+        whole = spark.read.text(paths[False], wholetext=True) if paths[False] else reader.text(path, wholetext=True)
+        parts.append(_alert_rows(whole))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
@@ -200,14 +221,19 @@ def stream_flows(
     return with_identity(_with_file(checked.csv(path)))
 
 
-def stream_alerts(spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:
-    """New alert documents of a folder, in the format that `read_alerts` takes."""
+def stream_alerts(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, archive: str | None = None, by_line: bool = False
+) -> DataFrame:
+    """New alert documents of a folder, in the formats that `read_alerts` takes.
+
+    With `by_line` all files hold one document a line, and large ones are split.
+    """
     reader = (
         spark.readStream.format("text")
-        .option("wholetext", True)
+        .option("wholetext", not by_line)
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return _alert_rows(reader.load(path))
+    return _alert_rows(reader.load(path), by_line)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,6 +45,16 @@ def _file_partials(batch: DataFrame, config: DetectConfig) -> DataFrame:
     )
 
 
+def retire(spark: SparkSession, folder: str, key: str, before: int) -> None:
+    """Deletes the subfolders `key`=N with N below a bound; there are few, as each step leaves few behind."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(at):
+        name = status.getPath().getName()
+        if name.startswith(f"{key}=") and int(name.split("=", 1)[1]) < before:
+            system.delete(status.getPath(), True)
+
+
 class RollingAlerts:
     """Tables of a running detection below one folder, and the step that a micro-batch takes."""
 
@@ -85,16 +95,19 @@ class RollingAlerts:
         groups = W.rolling_file_window(per_file, files, n, ["src_ip"], mode)
         if self.dedupe and mode == "rolling":
             groups = W.fresh_attackers(groups, per_file, files)
-        self._replace(D.alerts_from(groups, windows, self.config), "alerts")
-        self._replace(D.window_stats(W.existing_windows(groups, windows), windows, self.config), "stats")
-
-    def _replace(self, rows: DataFrame, name: str) -> None:
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("window_id").parquet(self._at(name))
+        alerts = D.alerts_from(groups, windows, self.config)
+        stats = D.window_stats(W.existing_windows(groups, windows), windows, self.config)
+        for rows, name in ((alerts, "alerts"), (stats, "stats")):
+            rows.write.mode("overwrite").parquet(self._at(name, f"batch_id={batch_id}"))
+        # What a repeat of this batch, or the next one, reads is kept; older partials have left all windows.
+        retire(spark, self._at("partials"), "batch_id", origins[0])
+        retire(spark, self._at("files"), "batch_id", batch_id - 1)
 
     def _windows(self, spark, name: str) -> DataFrame:
+        """Rows of every window from the last batch that wrote it: a fixed window grows over several batches."""
         stored = spark.read.parquet(self._at(name))
-        return stored.withColumn("window_id", F.col("window_id").cast("bigint"))
+        last = stored.groupBy("window_id").agg(F.max("batch_id").alias("batch_id"))
+        return stored.join(last, ["window_id", "batch_id"], "left_semi").drop("batch_id")
 
     def alerts(self, spark) -> DataFrame:
         return self._windows(spark, "alerts")

@@ -6,28 +6,20 @@ from pyspark.sql import functions as F
 from flowwarden import session
 
 
-class Context:
-    def __init__(self, master):
-        self.master, self.folder = master, None
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-def fake(master, configured=None):
-    conf = SimpleNamespace(get=lambda name, default=None: configured if name == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(sparkContext=Context(master), conf=conf)
+def fake(master, configured=None, warehouse=None):
+    known = {"spark.checkpoint.dir": configured, "spark.sql.warehouse.dir": warehouse}
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default=None: known.get(name) or default))
 
 
 def test_shared_folder():
-    assert session.shared_dir(fake("yarn", "hdfs:///work")) == "hdfs:///work"
-    local = fake("local[2]")
-    assert session.shared_dir(local) == session.shared_dir(local)
-    with pytest.raises(ValueError):
-        session.shared_dir(fake("yarn"))
+    assert session.shared_dir(fake("yarn", "hdfs:///work", "hdfs:///house")) == "hdfs:///work"
+    assert session.shared_dir(fake("local[2]", None, "file:/here/house")) == "file:/here/house/flowwarden-scratch"
+    assert session.shared_dir(fake("yarn", None, "hdfs:///house/")) == "hdfs:///house/flowwarden-scratch"
+    # A folder of one machine is not shared.
+    for warehouse in (None, "/here/house", "file:/here/house"):
+        with pytest.raises(ValueError):
+            session.shared_dir(fake("yarn", None, warehouse))
 
 
 def test_durable_table_keeps_values_and_types(spark):
