@@ -1,5 +1,6 @@
 """Language ID and the neighbour classifier: held-out accuracy, plain versions of their parts, odd rows."""
 
+import math
 import random
 import zlib
 
@@ -111,3 +112,70 @@ def test_quality_without_labels(spark):
     docs = frame(spark, corpus(5))
     model = knn_quality.train(docs, spark.createDataFrame([], LABELS))
     assert {r["score"] for r in knn_quality.score(docs, model).collect()} == {0.0}
+
+
+TONGUES = {"k": ("bdk", "ae"), "l": ("lmn", "iu"), "m": ("rst", "oy"), "n": ("gvz", "éà"), "o": ("pfh", "aou")}
+
+
+def spoken(rng, tongue, words):
+    first, second = TONGUES[tongue]
+    return " ".join("".join(rng.choice(first) + rng.choice(second) for _ in range(rng.randint(1, 4))) for _ in range(words))
+
+
+def tongues(names, n, seed, low=20, high=200):
+    rng = random.Random(seed)
+    return [(i, spoken(rng, t := names[i % len(names)], rng.randint(low, high)), t, "s", 0) for i in range(n)]
+
+
+def test_texts_of_no_known_language_are_rejected(spark):
+    for left_out in "kn":
+        known = [t for t in TONGUES if t != left_out]
+        model = langid.train(frame(spark, tongues(known, 400, 1)))
+        own = langid.identify(frame(spark, tongues(known, 400, 2)), model)
+        assert own.filter("not accepted").count() <= 4  # one in a hundred
+        assert own.filter("lang = lang_pred").count() >= 396
+        foreign = langid.identify(frame(spark, tongues([left_out], 200, 3)), model)
+        assert foreign.filter("not accepted").count() >= 180
+        assert foreign.filter("score > 0.5").count() <= 20
+
+
+def plain_grams(text):
+    """Hashed n-grams of a text, one by one."""
+    data = [0x20]
+    for b in text.encode():
+        c = b + 32 if 0x41 <= b <= 0x5A else b
+        if data[-1] == 0xC3 and 0x80 <= c <= 0x9E and c != 0x97:
+            c += 0x20
+        c = c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20
+        if c != 0x20 or data[-1] != 0x20:
+            data.append(c)
+    if data[-1] != 0x20:
+        data.append(0x20)
+    out = []
+    for n in langid.GRAMS:
+        for i in range(len(data) - n + 1):
+            code = data[i] * 0x9E3779B1 & 0xFFFFFFFF
+            for j in range(1, n):
+                code ^= ((code << 5 & 0xFFFFFFFF) + data[i + j] * (0x85EBCA6B + 2 * j)) & 0xFFFFFFFF
+            out.append((code * 0xC2B2AE35 & 0xFFFFFFFF) >> (32 - langid.BITS))
+    return out
+
+
+def test_scores_by_hand(spark):
+    rows = [*tongues("klm", 150, 5), (900, "ÀÉÎ Õ×à", "k", "s", 0), (901, "x", "k", "s", 0), (902, "12 !", "k", "s", 0)]
+    model = langid.train(frame(spark, rows))
+    got = {r["doc_id"]: r for r in langid.identify(frame(spark, rows), model).collect()}
+    for doc_id, text, *_ in rows:
+        if not any(c.isalpha() for c in text):
+            assert (got[doc_id]["lang_pred"], got[doc_id]["score"], got[doc_id]["accepted"]) == ("und", 0.0, False)
+            continue
+        grams = plain_grams(text)
+        z = [sum(float(model.logits[g, k]) for g in grams) / len(grams) + model.bias[k] for k in range(3)]
+        e = [math.exp((v - max(z)) / model.temperature) for v in z]
+        best = e.index(max(e))
+        usual = sum(float(model.usual[g, best]) for g in grams) / len(grams)
+        away = (usual - model.mean[best]) / math.sqrt(model.spread[best][0] + model.spread[best][1] / len(grams))
+        sure = 1 / (1 + math.exp(-max(-60, min(60, model.curve[0] * away + model.curve[1]))))
+        want = max(e) / sum(e) * sure
+        assert got[doc_id]["lang_pred"] == model.languages[best]
+        assert abs(got[doc_id]["score"] - want) < 1e-6 and got[doc_id]["accepted"] == (got[doc_id]["score"] >= model.reject)
