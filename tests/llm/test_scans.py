@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("flowwarden.llm")
 from tests.llm.helpers import corpus, frame, odd, sentence, words
@@ -344,25 +345,74 @@ def test_quality_rules(spark):
     assert quality_rules.judge(frame(spark, [])).count() == 0
 
 
-def test_distance_equals_numpy(spark):
+def _many_starts(x, share, starts=300):
+    """Least determinant over concentration steps from many random subsets, the plain way."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    ridge = quality_rules.GRID**2 * np.eye(4)
+    keep = int(np.ceil(share * len(x)))
+    best = None
+    for _ in range(starts):
+        near = x[rng.choice(len(x), 6, replace=False)]
+        for _ in range(40):
+            mean, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+            d = ((x - mean) @ np.linalg.inv(cov + ridge) * (x - mean)).sum(axis=1)
+            chosen = x[np.argsort(d, kind="stable")[:keep]]
+            if np.array_equal(chosen, near):
+                break
+            near = chosen
+        mean, cov = near.mean(axis=0), np.cov(near.T, bias=True)
+        det = np.linalg.slogdet(cov + ridge)[1]
+        if best is None or det < best[0]:
+            best = (det, mean, cov)
+    return best
+
+
+@pytest.mark.parametrize("far", [(300, 300, 300, 300), (60, 40, 60, 70), (20, 5, 90, 3)])
+def test_estimate_equals_many_starts(spark, far):
     import numpy as np
 
     rng = np.random.default_rng(1)
-    cells = [("g", *map(int, row), 1) for row in rng.multivariate_normal([20, 5, 0, 3], np.diag([90.0, 30, 4, 60]), 400).round()]
-    cells += [("g", 300, 300, 300, 300, 40)]
+    near = rng.multivariate_normal([20, 5, 0, 3], np.array([[900.0, 200, 0, 0], [200, 300, 0, 0], [0, 0, 200, 90], [0, 0, 90, 600]]), 400).round()
+    away = rng.multivariate_normal(far, np.diag([40.0, 40, 40, 40]), 80).round()
+    x = np.concatenate([near, away])
+    cells = [("g", *map(int, row), 1) for row in x]
     frame_ = spark.createDataFrame(cells, "group string, q0 bigint, q1 bigint, q2 bigint, q3 bigint, n bigint")
-    row = quality_rules.estimates(frame_).first()
-    x = np.repeat(np.array([c[1:5] for c in cells]), [c[5] for c in cells], axis=0).astype(float)
-    low, mid, high = np.percentile(x, [25, 50, 75], axis=0)
-    mean, cov = mid, np.diag(((high - low) / 1.349) ** 2)
+    row = quality_rules.estimates(frame_.groupBy("group", "q0", "q1", "q2", "q3").agg(F.sum("n").alias("n"))).first()
+    det, mean, cov = _many_starts(x, quality_rules.SHARE)
     ridge = quality_rules.GRID**2 * np.eye(4)
-    for step in range(quality_rules.STEPS):
-        d = ((x - mean) @ np.linalg.inv(cov + ridge) * (x - mean)).sum(axis=1)
-        bins = np.floor(np.log1p(d) * quality_rules.BINS)
-        reach = min(b for b in np.unique(bins) if (bins <= b).sum() >= quality_rules.SHARE * len(x))
-        near = x[bins <= reach]
-        mean, cov = near.mean(axis=0), np.cov(near.T, bias=True) * (quality_rules.CONSISTENT if step == quality_rules.STEPS - 1 else 1)
-    factor = np.linalg.cholesky(cov + ridge)
-    assert [row[f"m{i}"] for i in range(4)] == pytest.approx(list(mean))
-    assert [row[f"c{i}{j}"] for i in range(4) for j in range(i + 1)] == pytest.approx([factor[i, j] for i in range(4) for j in range(i + 1)])
-    assert row["size"] == 440
+    own = np.zeros((4, 4))
+    for i in range(4):
+        for j in range(i + 1):
+            own[i, j] = own[j, i] = row[f"v{i}{j}"] / quality_rules.CONSISTENT
+    # The subset ends with a whole step of the distance, so it may hold a few texts more.
+    assert abs(np.linalg.slogdet(own + ridge)[1] - det) < 0.15
+    assert np.abs(np.array([row[f"m{i}"] for i in range(4)]) - mean).max() < 2.5
+    # All texts far away are beyond the cut, nearly all others are not.
+    m = np.array([row[f"m{i}"] for i in range(4)])
+    d = ((x - m) @ np.linalg.inv(own * quality_rules.CONSISTENT + ridge) * (x - m)).sum(axis=1)
+    assert row["size"] == 480 and (d[:400] <= quality_rules.CUT).mean() > 0.97
+    if far[0] == 300:
+        assert (d[400:] > quality_rules.CUT).all()
+
+
+def test_one_text_more_does_not_switch(spark):
+    """A source of long words beside one of short ones: distances move little with each text, and a large source is its own measure."""
+    rng = random.Random(4)
+
+    def text(length):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(length)) for _ in range(80))
+
+    short = [(i, text(5), "aa", "one", 0) for i in range(300)]
+    long = [(1000 + i, text(11), "aa", "two", 0) for i in range(251)]
+    far, kept = {}, {}
+    for n in (1, 24, 25, 39, 40, 250, 251):
+        out = quality_rules.judge(frame(spark, short + long[:n])).filter("doc_id >= 1000").collect()
+        far[n] = {r["doc_id"]: r["distance"] for r in out}
+        kept[n] = {r["doc_id"]: r["kept"] for r in out}
+    for n in (24, 39, 250):
+        assert all(abs(far[n + 1][i] - d) < 0.1 * d for i, d in far[n].items())
+    assert all(kept[39][i] == kept[40][i] for i in kept[39])
+    assert all(kept[250].values()) and not any(kept[1].values())
+
