@@ -38,6 +38,10 @@ HEADLINE = (
     "alert_roundtrip",
     "stream_rolling_alerts",
     "stream_blocks",
+    "stream_model_scores",
+    "stream_retry",
+    "whitelist_long",
+    "state_many_batches",
 )
 
 
@@ -66,6 +70,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - start, 3)
     total = round(sum(seconds.values()), 3)
     window = seconds.get("rolling_window_alerts")
+    forest = seconds.get("stream_model_scores")  # with the fit of the forest, saved, loaded and scoring a stream
     print(
         json.dumps(
             {
@@ -76,6 +81,7 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "flows": flows,
                 "flows_per_second_to_alerts": round(flows / window) if window else None,
+                "flows_per_second_with_forest": round(flows / forest) if forest else None,
             }
         )
     )

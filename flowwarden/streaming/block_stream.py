@@ -20,6 +20,7 @@ from flowwarden.functions import scalars as S
 from flowwarden.operators.blocks import _slice, alert_intake
 from flowwarden.schema import CONFIDENCE_FLOOR, TIERS, Tier
 from flowwarden.sources.readers import read_table
+from flowwarden.streaming.detect_stream import retire
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -64,23 +65,25 @@ def verdicts(spark: SparkSession, path: str, alerts: T.StructType) -> DataFrame:
 class Intake:
     """Tables of the intake step below one folder: `verdicts` and `slices`."""
 
-    def __init__(self, path: str, whitelist: Callable[[SparkSession], DataFrame], tiers: Iterable[Tier] = TIERS):
+    def __init__(
+        self, path: str, whitelist: Callable[[SparkSession], DataFrame], tiers: Iterable[Tier] = TIERS, floor: float = CONFIDENCE_FLOOR
+    ):
         self.path = path
         self.whitelist = whitelist
         self.tiers = tuple(tiers)
+        self.floor = floor
 
     def step(self, batch: DataFrame, batch_id: int) -> None:
         verdicts = os.path.join(self.path, "verdicts", f"batch_id={batch_id}")
-        judged = alert_intake(batch, self.whitelist(batch.sparkSession))
+        judged = alert_intake(batch, self.whitelist(batch.sparkSession), self.floor)
         judged.write.mode("overwrite").parquet(verdicts)
         stored = batch.sparkSession.read.schema(judged.schema).parquet(verdicts)
         accepted = stored.filter(F.col("status") == "accepted")
-        sums = accepted_slices(accepted, self.tiers).withColumn("source_batch", F.lit(batch_id).cast("bigint"))
+        sums = accepted_slices(accepted, self.tiers, self.floor).withColumn("source_batch", F.lit(batch_id).cast("bigint"))
         # All rows of an address go to one file, so the block step takes a batch's share as a whole.
         whole = sums.withColumn("clock", F.timestamp_micros(F.lit(self._clock(accepted, batch_id)).cast("bigint"))).repartition("ip")
         whole.write.mode("overwrite").parquet(os.path.join(self.path, "slices", f"batch_id={batch_id}"))
 
-
     def _clock(self, accepted: DataFrame, batch_id: int) -> int | None:
         """Newest alert time of this batch and all before it, in microseconds.
 
@@ -93,6 +96,7 @@ class Intake:
         newest = before.unionByName(accepted.select(F.unix_micros("ts").alias("micros"))).agg(F.max("micros").alias("micros"))
         at = os.path.join(self.path, "clock", f"batch_id={batch_id}")
         newest.coalesce(1).write.mode("overwrite").parquet(at)
+        retire(spark, os.path.join(self.path, "clock"), "batch_id", batch_id - 1)
         return spark.read.schema(schema).parquet(at).first()["micros"]
 
 
@@ -103,9 +107,10 @@ def intake_stream(
     whitelist: Callable[[SparkSession], DataFrame],
     tiers: Iterable[Tier] = TIERS,
     trigger: dict | None = None,
+    floor: float = CONFIDENCE_FLOOR,
 ) -> StreamingQuery:
     """Judge a stream of alerts (ip, ts, alert_id, confidence, total_flows, alert_file)."""
-    target = Intake(path, whitelist, tiers)
+    target = Intake(path, whitelist, tiers, floor)
     writer = alerts.writeStream.foreachBatch(target.step).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
