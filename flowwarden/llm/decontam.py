@@ -1,7 +1,8 @@
 """Benchmark decontamination.
 
 Each benchmark item has a SimHash fingerprint of its five-word shingles.  A document is read in
-windows of each item's size; a window's fingerprint is looked up in an index of blocks: the 64 bits
+windows of each item's size.  A window can only hold items that have one of its rarest shingles, which
+leaves few of them.  Their fingerprints are compared in blocks: the 64 bits
 are cut into eight blocks, each with an allowance such that two fingerprints within `RADIUS` bits
 agree within the allowance in one block at least.  So all items within the radius are found.  Each
 is verified by the exact weighted similarity of the two bags of shingles (sum of smaller over sum
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,11 @@ def allowances(radius: int = RADIUS, blocks: int = BLOCKS) -> list[int]:
     return [base - 1 + (i < more) for i in range(blocks)]
 
 
+WIDTH = 64 // BLOCKS
+SHIFTS = np.arange(BLOCKS, dtype=np.uint64) * np.uint64(WIDTH)
+ALLOWED = np.array(allowances())
+
+
 def sequences(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n < K words, as a text of n words has it."""
     long = max(0, len(hashes) - n + 1)
@@ -93,32 +98,37 @@ class Items:
         self.gate[(self.known >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = {m: np.array(v) for m, v in sorted(self.sizes.items())}
         self.prints = prints
-        width = 64 // BLOCKS
-        self.index: dict[int, list[list[np.ndarray]]] = {}
-        for m, items in self.sizes.items():
-            blocks = []
-            for b, allowed in enumerate(allowances()):
-                cells: list[list[int]] = [[] for _ in range(1 << width)]
-                near = [sum(1 << x for x in flips) for f in range(allowed + 1) for flips in combinations(range(width), f)]
-                for place, item in enumerate(items.tolist()):
-                    value = int(prints[item]) >> (b * width) & ((1 << width) - 1)
-                    for flip in near:
-                        cells[value ^ flip].append(place)
-                blocks.append([np.array(c, np.int64) for c in cells])
-            self.index[m] = blocks
-
-    def near(self, m: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) of fingerprints within the radius, for windows of m shingles."""
-        width = 64 // BLOCKS
-        items = self.sizes[m]
-        met = np.zeros((len(found), len(items)), bool)
-        for b, cells in enumerate(self.index[m]):
-            values = (found >> np.uint64(b * width)).astype(np.int64) & ((1 << width) - 1)
-            for w, v in enumerate(values.tolist()):
-                met[w, cells[v]] = True
-        w, place = np.nonzero(met)
-        close = np.bitwise_count(found[w] ^ self.prints[items[place]]) <= RADIUS
-        return w[close], items[place[close]]
+
+    def sharing(self, window: np.ndarray, need: int) -> np.ndarray:
+        """Items of the window's size that may share `need` of its shingles: those with one of its rarest.
+
+        Such an item misses less than the rest of the occurrences, so of shingles that together occur more often than that
+        it has one at least.  The rarest ones make the list short.
+        """
+        have, times = np.unique(window, return_counts=True)
+        low, high = np.searchsorted(self.held, have, "left"), np.searchsorted(self.held, have, "right")
+        order = np.argsort(high - low, kind="stable")
+        enough = int(np.searchsorted(np.cumsum(times[order]), len(window) - need + 1)) + 1
+        found = [self.holder[low[i] : high[i]] for i in order[:enough].tolist()]
+        items = np.unique(np.concatenate(found))
+        return items[self.n_shingles[items] == len(window)]
+
+    def near(self, text: np.ndarray, starts: np.ndarray, m: int, need: int) -> Iterator[tuple[int, int]]:
+        """(start, item) of the windows of m shingles of a text whose fingerprints are within the radius of an item's.
+
+        Such fingerprints agree within the allowance in one block at least.  Each window has a list of candidates of its
+        own, so nothing grows with windows times items.
+        """
+        for start, value in zip(starts.tolist(), fingerprints(text, starts, m).tolist(), strict=True):
+            yield from ((start, item) for item in self.within(text[start : start + m], value, need))
+
+    def within(self, window: np.ndarray, value: int, need: int) -> list[int]:
+        """Items that may share `need` shingles with a window and whose fingerprints are within the radius of `value`."""
+        items = self.sharing(window, need)
+        apart = self.prints[items] ^ np.uint64(value)
+        blocks = apart[:, None] >> SHIFTS & np.uint64((1 << WIDTH) - 1)
+        some = (np.bitwise_count(blocks) <= ALLOWED).any(axis=1)
+        return items[some & (np.bitwise_count(apart) <= RADIUS)].tolist()
 
     def longer(self, text: np.ndarray) -> Iterator[tuple[int, float]]:
         """(item, similarity) of the items that have more shingles than the whole text and are near enough to it."""
@@ -193,9 +203,7 @@ def _long(items: Items, hasher: Hasher, hashes: np.ndarray, words: Words) -> Ite
                 continue
             at = np.flatnonzero(seen[m:] - seen[:-m] >= need)
             for part in np.array_split(at, -(-len(at) // 4096)) if len(at) else []:
-                window, item = items.near(m, fingerprints(shingles[a:b], part, m))
-                for w, i in zip(window.tolist(), item.tolist(), strict=True):
-                    start = int(part[w])
+                for start, i in items.near(shingles[a:b], part, m, need):
                     score = items.similarity(shingles[a + start : a + start + m], i)
                     if 100 * score >= PERCENT - 1e-9 and score > best.get(i, (0.0, 0))[0]:
                         best[i] = (score, start)

@@ -276,7 +276,33 @@ def test_blocks_find_all_within_the_radius():
         other = int(items.prints[0])
         for f in flips:
             other ^= 1 << f
-        assert len(items.near(m, np.array([other], np.uint64))[0]) == 1
+        assert items.within(items.bags[0][0], other, m) == [0]
+    beyond = int(items.prints[0]) ^ ((1 << decontam.RADIUS + 1) - 1)
+    assert items.within(items.bags[0][0], beyond, m) == []
+
+
+def test_rarest_shingles_lose_no_item():
+    """All items with enough shared shingles are candidates, also where shingles repeat; few others are."""
+    import numpy as np
+
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(400):
+        old = texts[rng.randrange(len(texts))].split(" ") if texts and i % 3 else [rng.choice(vocab) for _ in range(24)]
+        texts.append(" ".join(rng.choice(vocab) if rng.random() < 0.02 else w for w in old))
+    items = decontam.Items(list(range(400)), texts)
+    bags = [dict(zip(b.tolist(), t.tolist(), strict=True)) for b, t in items.bags]
+    met = 0
+    for i in range(0, 400, 7):
+        window = np.repeat(items.bags[i][0], items.bags[i][1])
+        need = -(-2 * decontam.PERCENT * len(window) // (100 + decontam.PERCENT))
+        found = items.sharing(window, need).tolist()
+        for j, bag in enumerate(bags):
+            if sum(min(n, bag.get(x, 0)) for x, n in bags[i].items()) >= need:
+                assert j in found
+                met += j != i
+    assert met > 50
 
 
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
