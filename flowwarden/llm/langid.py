@@ -36,7 +36,7 @@ RATE = 1.0
 #: Share of the kept-aside rows, in whose language the model was trained, that may be rejected.
 FALSE_REJECTIONS = 0.001
 #: Share of rows judged by other languages than their own that should be rejected.
-FOREIGN_REJECTIONS = 0.97
+FOREIGN_REJECTIONS = 0.95
 #: The rejection score, unless more of the kept-aside rows than that are below it.
 EVEN = 0.5
 #: Numbers of subwords to which kept-aside rows are cut, those from which on a row counts for the curve, and the least
@@ -147,15 +147,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
 
 def _fit(languages: list[str], rows: list) -> LanguageModel:
     rng = np.random.default_rng(5)
+    n = len(languages)
     place = {name: i for i, name in enumerate(languages)}
     data = []
     for r in rows:
         weight = np.frombuffer(r["counts"], np.float32).astype(np.float64)
+        if not len(weight):
+            continue  # a text without a letter has no subword
         data.append((np.frombuffer(r["buckets"], np.uint16).astype(np.int64), weight / weight.sum(), place[r["label"]], weight.sum()))
+    if not data:
+        return LanguageModel(languages, np.zeros((1 << BITS, n), np.float32), np.zeros(n))
     order = rng.permutation(len(data))
     aside = [data[i] for i in order[: len(data) // 5]]
     own = [data[i] for i in order[len(data) // 5 :]] or data
-    n = len(languages)
     vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (1 << BITS, WIDTH))
     layer, bias = np.zeros((WIDTH, n)), np.zeros(n)
     steps = EPOCHS * len(own)
@@ -236,7 +240,7 @@ def _between(inside: np.ndarray, outside: np.ndarray) -> tuple[float, float]:
     Where both overlap, keeping rows of known languages goes first.
     """
     low, high = np.quantile(inside, FALSE_REJECTIONS), np.quantile(outside, FOREIGN_REJECTIONS)
-    centre = high + (low - high) / 4 if high < low else low
+    centre = high + (low - high) / 8 if high < low else low
     slope = 4 / max(1.0, abs(low - centre))
     return float(slope), float(-slope * centre)
 

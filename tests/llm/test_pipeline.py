@@ -97,7 +97,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
 
 
