@@ -278,3 +278,20 @@ FROM leaves l JOIN tops t ON t.name = l.k JOIN g{levels} g ON g.doc_id = l.doc_i
 
 
 ORACLES["op13_merkle_manifest"] = _manifest_sql()
+
+
+ORACLES["op8_minhash"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+bags AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM split),
+sizes AS (SELECT doc_id, len(s) AS n FROM bags),
+grams AS (SELECT doc_id, unnest(s) AS g FROM bags),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * met >= 85 * (a.n + b.n - met)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM sizes UNION SELECT r.doc_id, ways.y FROM reach r JOIN ways ON ways.x = r.other)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n"""
