@@ -43,12 +43,17 @@ def to_block_alerts(documents: DataFrame) -> DataFrame:
 
 
 def alert_intake(
-    alerts: DataFrame, whitelist: DataFrame, floor: float = CONFIDENCE_FLOOR, ip: str = "ip"
+    alerts: DataFrame, whitelist: DataFrame, floor: float = CONFIDENCE_FLOOR, ip: str = "ip", parsed_only: bool = True
 ) -> DataFrame:
-    """Add `status`: invalid, below_threshold, whitelisted or accepted, decided in this order."""
+    """Add `status`: invalid, below_threshold, whitelisted or accepted, decided in this order.
+
+    An address that does not parse is invalid; without `parsed_only` only a missing one is, and any other text
+    that names an attacker goes on, though no entry lists it.
+    """
     flagged = flag_whitelisted(alerts, whitelist, ip, validity="_valid")
+    named = F.col("_valid") if parsed_only else F.coalesce(F.col(ip) != "", F.lit(False))
     status = (
-        F.when(~F.col("_valid") | F.col("confidence").isNull(), "invalid")
+        F.when(~named | F.col("confidence").isNull(), "invalid")
         .when(F.col("confidence") < floor, "below_threshold")
         .when(F.col("whitelisted"), "whitelisted")
         .otherwise("accepted")

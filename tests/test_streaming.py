@@ -1,9 +1,12 @@
 import json
 import os
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from flowwarden.bindings import ORACLES, QUERIES
 from flowwarden.operators import blocks as K
 from flowwarden.operators.forest import train_forest
 from flowwarden.plans.detection import detect, score_flows
@@ -115,3 +118,26 @@ def test_stream_of_alert_documents(spark, tmp_path):
     q.awaitTermination()
     r = spark.table("docs").first()
     assert (r["ip"], r["confidence"], r["alert_file"]) == ("1.1.1.1", 0.8, "alert_a.json")
+
+
+@pytest.fixture(scope="module")
+def far_users(spark, tmp_path_factory):
+    """Events of users whose number does not fit an address: some of their `10.0.x.y` do not parse."""
+    sf = str(tmp_path_factory.mktemp("far"))
+    user = F.when(F.col("id") % 3 == 0, 5).otherwise(65530 + F.col("id") % 40)  # 5 is on the whitelist
+    ts = F.to_timestamp(F.lit("2024-01-02")) + F.make_dt_interval(mins=F.col("id") * 97)
+    events = spark.range(400).select(F.col("id").alias("event_id"), ts.cast("timestamp_ntz").alias("ts"), user.alias("user_id"),
+                                     F.lit("click").alias("event_type"), F.col("id").cast("double").alias("value"))
+    events.write.parquet(f"{sf}/events.parquet")
+    return sf
+
+
+@pytest.mark.parametrize("name", ["stream_blocks"])
+def test_streams_take_addresses_that_do_not_parse_as_their_sql_does(spark, far_users, name):
+    got = QUERIES[name](spark, far_users)
+    columns = ", ".join(f'"{c}"' for c in got.columns)
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW events AS SELECT * FROM '{far_users}/events.parquet/*.parquet'")
+        want = duck.execute(f"SELECT {columns} FROM ({ORACLES[name]})").fetchall()
+    assert any(re.search(r"10\.0\.256\.", str(r)) for r in want)
+    assert rows(got) == sorted(want, key=repr)
