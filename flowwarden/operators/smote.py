@@ -20,35 +20,56 @@ from flowwarden.operators.sampling import HASH_SPAN, hash_mix
 from flowwarden.session import durable
 
 BLOCK_ROWS = 2048
+#: Blocks are cut smaller than `MOST_ROWS` only while they are few: each row travels once for each block that it meets.
+BLOCKS, MOST_ROWS = 16, 8192
 #: Default bound of the minority rows that oversampling draws from.
 FIT_ROWS = 100_000
-STEP = 32  # query rows per distance matrix
+STEP = 256  # query rows per matrix of products
+PAIRS = 1 << 16  # pairs per exact evaluation
 
 
-def _nearest(query: pd.DataFrame, data: pd.DataFrame, k: int):
-    """For each query row: ids and distances of its k nearest data rows, itself excluded, ties by id."""
+def _distances(wanted: np.ndarray, points: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Distances of the pairs (wanted[row], points[at]), a bounded number at a time."""
+    out = np.empty(len(row))
+    for start in range(0, len(row), PAIRS):
+        part = slice(start, start + PAIRS)
+        gaps = wanted[row[part]] - points[at[part]]
+        out[part] = np.sqrt(np.einsum("jk,jk->j", gaps, gaps))
+    return out
+
+
+def _nearest(query: pd.DataFrame, data: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, distance) of the k nearest data rows of each query row, itself excluded, ties by id; rows in order.
+
+    Products of matrices tell which data rows can be among the k nearest, whatever their rounding; only those are
+    measured by their differences.
+    """
     own, ids = query["vid"].to_numpy(), data["vid"].to_numpy()
     by_id = np.argsort(ids, kind="stable")  # columns in order of id, so a stable sort breaks ties
     ids = ids[by_id]
-    if not len(ids):
-        for _ in own:
-            yield ids, np.empty(0)
-        return
-    points = np.stack(data["vec"].to_numpy())[by_id]
-    wanted = np.stack(query["vec"].to_numpy())
-    last = min(k, len(ids)) - 1
-    for start in range(0, len(own), STEP):
-        gaps = wanted[start : start + STEP, None, :] - points[None, :, :]
-        dist = np.sqrt(np.einsum("ijk,ijk->ij", gaps, gaps))
-        dist[own[start : start + STEP, None] == ids[None, :]] = np.inf
-        reach = np.partition(dist, last, axis=1)[:, last]
-        row, at = np.nonzero((dist <= reach[:, None]) & np.isfinite(dist))
-        order = np.lexsort((at, dist[row, at], row))
-        row, at = row[order], at[order]
-        cuts = np.searchsorted(row, np.arange(len(dist) + 1))
-        for r in range(len(dist)):
-            best = at[cuts[r] : cuts[r + 1]][:k]
-            yield ids[best], dist[r, best]
+    found = []
+    if len(own) and len(ids):
+        points, wanted = np.stack(data["vec"].to_numpy())[by_id], np.stack(query["vec"].to_numpy())
+        squares, mine = np.einsum("jk,jk->j", points, points), np.einsum("jk,jk->j", wanted, wanted)
+        last = min(k, len(ids)) - 1
+        unit = 16 * (points.shape[1] + 8) * np.finfo(float).eps
+        for start in range(0, len(own), STEP):
+            some = slice(start, start + STEP)
+            with np.errstate(over="ignore", invalid="ignore"):
+                about = mine[some, None] + squares[None, :] - 2 * (wanted[some] @ points.T)
+                about[own[some, None] == ids[None, :]] = np.inf
+                reach = np.partition(about, last, axis=1)[:, last] + unit * (mine[some] + squares.max())
+                row, at = np.nonzero(~(about > reach[:, None]))  # what is no number is measured
+                dist = _distances(wanted[some], points, row, at)
+            kept = np.isfinite(dist) & (own[some][row] != ids[at])
+            row, at, dist = row[kept], at[kept], dist[kept]
+            order = np.lexsort((at, dist, row))
+            row, at, dist = row[order], at[order], dist[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            found.append((row[best] + start, ids[at[best]], dist[best]))
+    if not found:
+        return np.empty(0, int), ids[:0], np.empty(0)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _distinct_vectors(points: DataFrame, k: int) -> DataFrame:
@@ -73,7 +94,7 @@ def _blocked(vectors: DataFrame, block_rows: int) -> tuple[DataFrame, list[float
         F.zip_with("vec", pivot, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x
     )
     projected = vectors.withColumn("proj", F.sqrt(square))
-    blocks = max(1, n // block_rows)
+    blocks = max(1, min(n // block_rows, max(BLOCKS, n // MOST_ROWS)))
     placed = ordered_position(projected, ["proj", "vid"], name="place")
     block = F.floor((F.col("place") - 1) * F.lit(blocks) / F.lit(n)).cast("bigint")
     placed = placed.withColumn("block", block)
@@ -87,6 +108,7 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
 
     Blocks that the pivot rules out are few in many dimensions, so the work is close to all pairs (in blocks, k
     rows kept for each point and block).  It is meant for inputs of bounded size; `smote` bounds its own.
+    A block has at least `block_rows` rows, and more where they would be more than `BLOCKS`.
     """
     points = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     vectors = durable(_distinct_vectors(points, k))
@@ -95,7 +117,10 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     lo, hi = np.array(lows), np.array(highs)
 
     def reach(pdf: pd.DataFrame) -> pd.DataFrame:
-        radius = np.array([dist[k - 1] if len(dist) >= k else np.inf for _, dist in _nearest(pdf, pdf, k)])
+        row, _, dist = _nearest(pdf, pdf, k)
+        radius = np.full(len(pdf), np.inf)
+        kth = np.arange(len(row)) - np.searchsorted(row, row) == k - 1
+        radius[row[kth]] = dist[kth]
         # The spare margin covers rounding in `proj`.
         margin, proj = radius * (1 + 1e-9) + 1e-9, pdf["proj"].to_numpy()
         first = np.searchsorted(hi, proj - margin, side="left")
@@ -111,9 +136,8 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     targets = placed.join(pairs, F.col("block") == F.col("tb")).select("vid", "vec", "tq", "tb")
 
     def search(q: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
-        found = zip(q["vid"], _nearest(q, data, k), strict=True)
-        rows = [(vid, other, d) for vid, (ids, dist) in found for other, d in zip(ids, dist, strict=True)]
-        return pd.DataFrame(rows, columns=["vid", "other", "distance"])
+        row, other, dist = _nearest(q, data, k)
+        return pd.DataFrame({"vid": q["vid"].to_numpy()[row], "other": other, "distance": dist})
 
     found = (
         queries.select("qblock", "block", "vid", "vec")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,6 +90,28 @@ def test_neighbours_against_brute_force(spark, block_rows, copies):
     assert got == want
 
 
+def test_blocks_stay_few(spark):
+    """Each row travels once for each block, so small blocks may not make many of them."""
+    df = spark.createDataFrame(points(600, 5), "vid bigint, vec array<double>")
+    _, lows, _ = O._blocked(df, 8)
+    assert 1 < len(lows) <= O.BLOCKS
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e6])
+def test_nearest_rows_in_exact_order(shift):
+    """Far from the origin products lose all digits that tell neighbours apart; grid points have many equal distances."""
+    rng = np.random.default_rng(3)
+    vectors = np.concatenate([rng.normal(0, 1e-3, (300, 5)), rng.integers(0, 2, (300, 5))]) + shift
+    frame = pd.DataFrame({"vid": rng.permutation(600), "vec": list(vectors)})
+    row, other, dist = O._nearest(frame, frame, 4)
+    assert len(row) == 4 * 600
+    ids = frame["vid"].to_numpy()
+    for r in range(600):
+        exact = np.sqrt(np.einsum("jk,jk->j", vectors[r] - vectors, vectors[r] - vectors))
+        want = sorted((d, i) for d, i in zip(exact, ids) if i != ids[r])[:4]
+        assert list(zip(dist[row == r], other[row == r])) == want
+
+
 def test_fewer_points_than_neighbours(spark):
     df = spark.createDataFrame(points(3, 1), "id bigint, vec array<double>")
     assert O.nearest_neighbours(df, "id", "vec", 5).count() == 6
