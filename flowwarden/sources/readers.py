@@ -13,6 +13,9 @@ from flowwarden.operators.features import quoted, with_identity
 from flowwarden.schema import ALERT_SCHEMA, CANONICAL, INTERNAL, WHITELIST_ENTRY, raw_flow_schema
 from flowwarden.sources.headers import FIRST_BYTES, first_lines, header_groups, parsed_lines
 
+#: Alert documents, plain or compressed.
+DOCUMENTS = "*.{json,json.gz}"
+
 
 def _with_file(df: DataFrame) -> DataFrame:
     """The full path tells files apart; sensors may use the same base names."""
@@ -141,11 +144,11 @@ def _alert_rows(docs: DataFrame, by_line: bool = False) -> DataFrame:
     return rows.select(*[c for c in ALERT_SCHEMA.names if c != "alert_file"], named)
 
 
-def read_alerts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_alerts(spark: SparkSession, path: str, glob: str = DOCUMENTS) -> DataFrame:
     """Alert documents with their `alert_file`: files hold one indented document, or one document a line.
 
     The beginning of each file tells which: an indented document starts with a line that is a brace only.  Files of lines
-    are read by the splittable reader, so a file's size does not matter; an indented document is one row.
+    are read by lines, plain ones in parts, so a file's size does not matter; an indented document is one row.
     """
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     listing = reader.format("binaryFile").load(path).select("path", "length").filter(F.col("length") > 0)
@@ -226,12 +229,12 @@ def stream_alerts(
 ) -> DataFrame:
     """New alert documents of a folder, in the formats that `read_alerts` takes.
 
-    With `by_line` all files hold one document a line, and large ones are split.
+    With `by_line` all files hold one document a line, and large ones are split unless they are compressed.
     """
     reader = (
         spark.readStream.format("text")
         .option("wholetext", not by_line)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", DOCUMENTS)
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive:

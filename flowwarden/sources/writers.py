@@ -13,6 +13,7 @@ from flowwarden.sources.readers import read_table
 PART_ROWS = 10_000
 FILE_DOCS = 500
 FILE_ENTRIES = 10_000
+COMPRESSION = "gzip"
 
 
 def alert_documents(alerts: DataFrame, alert_flows: DataFrame, alert_targets: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
@@ -74,23 +75,24 @@ def stats_documents(stats: DataFrame, attackers: DataFrame, part_rows: int = PAR
     return spread.join(maps, ["window_id", "part"], "left")
 
 
-def write_alerts(documents: DataFrame, path: str) -> None:
+def write_alerts(documents: DataFrame, path: str, compression: str = COMPRESSION) -> None:
     """One JSON document a line, in a folder per window; writing a window again replaces it.
 
-    A file has a bounded number of documents, since the reader takes whole files.
+    A file has a bounded number of documents, since the reader takes whole files.  Each document repeats its names and
+    its window's files, so files are compressed (`none` gives plain text); the readers take both.
     """
-    _replace_windows(documents, path)
+    _replace_windows(documents, path, compression)
 
 
-def write_stats(documents: DataFrame, path: str) -> None:
-    _replace_windows(documents, path)
+def write_stats(documents: DataFrame, path: str, compression: str = COMPRESSION) -> None:
+    _replace_windows(documents, path, compression)
 
 
-def _replace_windows(documents: DataFrame, path: str) -> None:
+def _replace_windows(documents: DataFrame, path: str, compression: str) -> None:
     # Rows of a window come together first, so files follow windows, not tasks; execution splits a large one.
     together = documents.hint("rebalance", "window_id")
     writer = together.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_DOCS)
-    writer.partitionBy("window_id").json(path)
+    writer.partitionBy("window_id").json(path, compression=compression)
 
 
 def append_history(history: DataFrame, path: str, batch: str) -> None:

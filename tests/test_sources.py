@@ -218,6 +218,27 @@ def test_writing_a_window_again_replaces_it(spark, tmp_path):
     assert spark.read.json(s).count() == run.stats.count()
 
 
+def test_documents_are_compressed(spark, tmp_path):
+    run = _run(spark)
+    documents = Wr.alert_documents(run.alerts, W.flow_index(run.hits, run.files, 2), W.window_targets(run.hits, run.files, 2, "row_pos"), 2)
+    many = documents.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(200)))).drop("copy")
+    default, plain = str(tmp_path / "default"), str(tmp_path / "plain")
+    Wr.write_alerts(many, default)
+    Wr.write_alerts(many, plain, compression="none")
+
+    def size(path):
+        return sum(os.path.getsize(os.path.join(d, n)) for d, _, names in os.walk(path) for n in names if n.startswith("part"))
+
+    assert size(default) * 5 < size(plain)
+    want = rows(Rd.read_alerts(spark, plain).select(F.to_json(F.struct("*"))))
+    assert len(want) == many.count() > 0 and rows(Rd.read_alerts(spark, default).select(F.to_json(F.struct("*")))) == want
+    for at, by_line in ((default, True), (default, False), (plain, True)):
+        out, mark = str(tmp_path / f"out{by_line}{at[-1]}"), str(tmp_path / f"mark{by_line}{at[-1]}")
+        stream = Rd.stream_alerts(spark, f"{at}/*", by_line=by_line)
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+        assert rows(spark.read.schema(stream.schema).parquet(out).select(F.to_json(F.struct("*")))) == want
+
+
 def test_state_history_and_tables(spark, tmp_path):
     now = datetime(2025, 1, 31, 23, 0)
     one = (("1.1.1.1", now, now + timedelta(hours=2), "30min", "a", 0.7, 1, "id", "f", "active", 1, None))
