@@ -177,7 +177,8 @@ def forest_scores(spark, sf):
     parts = P.stratified_split(vectors, "target", "vec_id", mix=F.col("vec_id") * 7919 % 10007, span=10007)
     width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
     features = [f"f{i}" for i in range(width)]
-    wide = durable(parts.select("vec_id", "target", "split", *[F.col("embedding")[i].alias(f) for i, f in enumerate(features)]))
+    wide = parts.select("vec_id", "target", "split", *[F.col("embedding")[i].alias(f) for i, f in enumerate(features)])
+    wide = durable(wide.repartition(spark.sparkContext.defaultParallelism))  # few large files would be scored by as few tasks
     train = P.with_class_weight(wide.filter(F.col("split") == "train"), "target")
     model = train_forest(train, features, weight="weight", config=ForestConfig())
     scored = durable(score(model, wide).select("vec_id", "target", "split", "p", "pred"))

@@ -4,16 +4,24 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowwarden.operators.features import clean_numeric
 from flowwarden.schema import ForestConfig
+from flowwarden.session import scratch_path
+
+#: Parts of a forest that are fitted at the same time, and the distance of their seeds.
+PARTS = 4
+SEED_STEP = 1_000_003
 
 
 def train_forest(
@@ -23,25 +31,50 @@ def train_forest(
     weight: str | None = None,
     config: ForestConfig = ForestConfig(),
 ) -> PipelineModel:
-    """Assemble, scale and fit in one stored pipeline."""
-    forest = RandomForestClassifier(
-        featuresCol="scaled",
-        labelCol=label,
-        numTrees=config.trees,
-        maxDepth=config.depth,
-        minInstancesPerNode=config.min_leaf,
-        maxBins=config.max_bins,
-        seed=config.seed,
-        maxMemoryInMB=1024,  # more nodes in each pass over the rows
-    )
-    if weight:
-        forest = forest.setWeightCol(weight)
+    """Assemble, scale and fit in one stored pipeline, whose last stages are parts of the forest.
+
+    Each pass over the rows fills a histogram a node of the part in every partition, also in an empty one.  So the
+    forest is fitted in `PARTS` parts at the same time, each with its share of the trees, and the rows are dealt out
+    evenly to as few partitions as keep all cores at work; more of them for more rows would make the work grow with
+    the square of the rows.  A row's node in each tree is kept beside it, or each pass would send the trees to all tasks.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():  # the kept nodes' lineage grows with each pass unless it is cut
+        context.setCheckpointDir(scratch_path(spark, "forest"))
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="assembled"),
         StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True),
-        forest,
     ]
-    return Pipeline(stages=stages).fit(df)
+    prepared = Pipeline(stages=stages).fit(df)
+    count = min(PARTS, config.trees)
+    shares = [config.trees // count + (i < config.trees % count) for i in range(count)]
+    ready = prepared.transform(df).select("scaled", label, *([weight] if weight else []))
+    ready = ready.repartition(-(-context.defaultParallelism // count)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(i: int) -> RandomForestClassificationModel:
+        forest = RandomForestClassifier(
+            featuresCol="scaled",
+            labelCol=label,
+            rawPredictionCol=f"raw_{i}",
+            probabilityCol=f"probability_{i}",
+            predictionCol=f"prediction_{i}",
+            numTrees=shares[i],
+            maxDepth=config.depth,
+            minInstancesPerNode=config.min_leaf,
+            maxBins=config.max_bins,
+            seed=config.seed + i * SEED_STEP,
+            maxMemoryInMB=512,  # nodes in each pass over the rows; a task needs half as much again
+            cacheNodeIds=True,
+        )
+        return (forest.setWeightCol(weight) if weight else forest).fit(ready)
+
+    try:
+        with ThreadPool(count) as pool:
+            forests = pool.map(inheritable_thread_target(spark)(fit), range(count))
+    finally:
+        ready.unpersist()
+    return PipelineModel(stages=[*prepared.stages, *forests])
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -52,8 +85,10 @@ def score(model: PipelineModel, df: DataFrame, clean: bool = True) -> DataFrame:
     """Add `p` (probability of class 1) and `pred`; every other column of the row stays."""
     ready = clean_numeric(df, model_features(model)) if clean else df
     scored = model.transform(ready)
-    p = vector_to_array("probability")[1]
-    return scored.select(*df.columns, p.alias("p"), F.col("prediction").cast("int").alias("pred"))
+    forests = [s for s in model.stages if isinstance(s, RandomForestClassificationModel)]
+    votes = [vector_to_array(f.getProbabilityCol())[1] * f.getNumTrees for f in forests]
+    p = reduce(Column.__add__, votes) / sum(f.getNumTrees for f in forests)
+    return scored.withColumn("p", p).select(*df.columns, "p", (F.col("p") > 0.5).cast("int").alias("pred"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

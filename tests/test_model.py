@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from flowwarden.operators import forest
 from flowwarden.operators import metrics as M
 from flowwarden.operators import sampling as P
 from flowwarden.operators import smote as O
@@ -141,6 +142,27 @@ def test_smote(spark):
     assert all(on_a_segment(r[0]) for r in made)
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_a_forest_is_fitted_in_parts_over_few_even_partitions(spark, monkeypatch, parts):
+    """Each partition costs a histogram a node of the fit, also without rows."""
+    fits, fit = [], forest.RandomForestClassifier.fit
+
+    def seen(self, df):
+        sizes = df.groupBy(F.spark_partition_id()).count().collect()
+        fits.append((df.rdd.getNumPartitions(), sorted(r["count"] for r in sizes), self.getCacheNodeIds()))
+        return fit(self, df)
+
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", seen)
+    df = spark.range(4000, numPartitions=parts).selectExpr("id % 2 AS target", "double(id % 2) AS f")
+    model = forest.train_forest(df, ["f"], config=ForestConfig(trees=10, depth=2))
+    cores = spark.sparkContext.defaultParallelism
+    assert len(fits) == forest.PARTS and spark.sparkContext.getCheckpointDir()
+    for number, sizes, kept in fits:
+        assert kept and len(sizes) == number == -(-cores // forest.PARTS) and max(sizes) < 2 * min(sizes) and sum(sizes) == 4000
+    assert sum(s.getNumTrees for s in model.stages[2:]) == 10
+    assert score(model, df).filter("pred = target AND p = target").count() == 4000
+
+
 def test_training_end_to_end(spark):
     rng = random.Random(4)
     data = [(i, rng.gauss(0, 1), rng.gauss(0, 1), "BENIGN") for i in range(300)]
