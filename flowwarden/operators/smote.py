@@ -4,8 +4,7 @@ The neighbour search is exact.  Points are cut into blocks along their distance
 whose range is further away than a point's k-th distance inside its own block cannot hold one of its neighbours.
 Work is grouped by (query block, target block), so a task holds two blocks, and k rows per point and
 block are emitted.  In many dimensions the pivot rules few blocks out, so the work grows nearly with
-the square of the rows; oversampling therefore draws from a bounded number of them.  Exact copies
-are collapsed before the search and expanded after it.
+the square of the rows.  Exact copies are collapsed before the search and expanded after it.
 """
 
 from __future__ import annotations
@@ -16,14 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowwarden.operators.positions import ordered_position
-from flowwarden.operators.sampling import HASH_SPAN, hash_mix
+from flowwarden.operators.sampling import hash_mix
 from flowwarden.session import durable
 
 BLOCK_ROWS = 2048
 #: Blocks are cut smaller than `MOST_ROWS` only while they are few: each row travels once for each block that it meets.
 BLOCKS, MOST_ROWS = 16, 8192
-#: Default bound of the minority rows that oversampling draws from.
-FIT_ROWS = 100_000
 STEP = 256  # query rows per matrix of products
 PAIRS = 1 << 16  # pairs per exact evaluation
 
@@ -99,7 +96,7 @@ def _blocked(vectors: DataFrame, block_rows: int) -> tuple[DataFrame, list[float
     block = F.floor((F.col("place") - 1) * F.lit(blocks) / F.lit(n)).cast("bigint")
     placed = placed.withColumn("block", block)
     ranges = placed.groupBy("block").agg(F.min("proj").alias("lo"), F.max("proj").alias("hi"))
-    bounds = ranges.orderBy("block").collect()  # two numbers a block; oversampling bounds the rows
+    bounds = ranges.orderBy("block").collect()  # two numbers a block
     return placed.drop("place"), [r["lo"] for r in bounds], [r["hi"] for r in bounds]
 
 
@@ -107,7 +104,7 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
     """(id, neighbour_id, distance, rank) of the k nearest other rows, ties by id.  Exact.
 
     Blocks that the pivot rules out are few in many dimensions, so the work is close to all pairs (in blocks, k
-    rows kept for each point and block).  It is meant for inputs of bounded size; `smote` bounds its own.
+    rows kept for each point and block).
     A block has at least `block_rows` rows, and more where they would be more than `BLOCKS`.
     """
     points = df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
@@ -172,13 +169,12 @@ def nearest_neighbours(df: DataFrame, key: str, vector: str, k: int = 5, block_r
 
 def smote(
     df: DataFrame, key: str, vector: str, label: str, minority: int | None = None, k: int = 5, seed: int = 42,
-    block_rows: int = BLOCK_ROWS, fit_rows: int = FIT_ROWS, parents: bool = False,
+    block_rows: int = BLOCK_ROWS, parents: bool = False,
 ) -> DataFrame:
     """Rows of `df` (`vector`, `label`, `synthetic`) plus interpolated minority rows up to parity.
 
-    The minority is the class with fewer rows unless one is named.  Synthetic rows serve to fit a classifier, so base
-    rows and neighbours come from about `fit_rows` minority rows at most, chosen by a hash of the key; all rows of
-    `df` are returned.  With `parents` each synthetic row carries the vectors it lies between, and its fraction.
+    The minority is the class with fewer rows unless one is named.  Base rows and neighbours are all minority rows.
+    With `parents` each synthetic row carries the vectors it lies between, and its fraction.
     Every base row gets an equal share of the draws.  Neighbour and fraction come from a hash of
     (id, draw), so the result does not depend on partitioning or retries.
     """
@@ -193,11 +189,6 @@ def smote(
     if few < 2 or missing <= 0:
         return original
     base = df.filter(F.col(label) == minority)
-    if few > fit_rows:
-        base = durable(base.filter(hash_mix(key, seed=seed + 2) < int(HASH_SPAN * fit_rows / few)))
-        few = base.count()
-        if few < 2:
-            return original
     share, rest = divmod(missing, few)
     picked = base.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     picked = picked.withColumn("_mix", hash_mix("id", seed=seed))

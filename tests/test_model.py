@@ -142,6 +142,16 @@ def test_smote(spark):
     assert all(on_a_segment(r[0]) for r in made)
 
 
+def test_every_minority_row_is_a_base(spark):
+    """However many they are, all rows of the minority are drawn from, each with its own neighbours."""
+    few = 104_000
+    df = spark.range(3 * few).selectExpr("id", "array(double(id)) AS vec", "int(id < %d) AS target" % few)
+    made = O.smote(df, "id", "vec", "target", k=2, parents=True).filter("synthetic").select(F.col("base")[0].alias("b"), F.col("other")[0].alias("o"))
+    beyond = ~F.abs(F.col("b") - F.col("o")).isin(1.0, 2.0)  # at the ends the second neighbour is two away
+    seen = made.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("b").alias("bases"), F.count_if(beyond).alias("beyond")).first()
+    assert (seen["n"], seen["bases"], seen["beyond"]) == (few, few, 0)
+
+
 @pytest.mark.parametrize("parts", [1, 40])
 def test_a_forest_is_fitted_in_parts_over_few_even_partitions(spark, monkeypatch, parts):
     """Each partition costs a histogram a node of the fit, also without rows."""
