@@ -113,6 +113,27 @@ def test_nearest_rows_in_exact_order(shift):
         assert list(zip(dist[row == r], other[row == r])) == want
 
 
+def test_nearest_rows_of_parts():
+    """Blocks met one after another, each with the limits that the earlier ones left, ids in the order of the points; half the points are ties."""
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([np.sort(rng.normal(0, 1e4, (1800, 1)), axis=0), rng.integers(0, 3, (700, 1)) * 1e5])
+    ids, k = np.arange(2500), 3
+    whole = O._closest(ids, vectors, ids, vectors, k, np.full(2500, np.inf))
+    limit, parts = np.full(2500, np.inf), []
+    for part in (slice(0, 1100), slice(1100, 1102), slice(1102, 2500)):
+        new = O._closest(ids, vectors, ids[part], vectors[part], k, limit)
+        limit = np.fmin(limit, O._kth(new[0], new[2], k, limit))
+        parts += zip(*new)
+    got, want = {}, {}
+    for i, j, d in parts:
+        got.setdefault(i, []).append((d, j))
+    for i in ids:
+        gap = np.abs(vectors[:, 0] - vectors[i, 0])
+        want[i] = sorted((d, j) for d, j in zip(gap, ids) if j != i)[:k]
+    assert {i: sorted(x)[:k] for i, x in got.items()} == want
+    assert list(zip(*whole)) == [(i, j, d) for i in ids for d, j in want[i]]
+
+
 def test_fewer_points_than_neighbours(spark):
     df = spark.createDataFrame(points(3, 1), "id bigint, vec array<double>")
     assert O.nearest_neighbours(df, "id", "vec", 5).count() == 6
